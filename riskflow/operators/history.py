@@ -79,8 +79,8 @@ def _version_list(snapshots: DataFrame, version: str, versions: Sequence[Any] |
     """(version, _number, _next) for every version.
 
     There is one row per snapshot taken, not per data row. A list up to the
-    bound goes through the driver and becomes a literal table, small enough to
-    be broadcast by its known size; a longer one is ranked and joined in Spark.
+    bound goes through the driver and is broadcast, its size being known; a
+    longer one is ranked in Spark and joined as the planner sees fit.
     """
     distinct = snapshots.select(version).distinct()
     if versions is None:
@@ -90,7 +90,8 @@ def _version_list(snapshots: DataFrame, version: str, versions: Sequence[Any] |
         ordered = sorted(versions)
         rows = [(v, n, after) for n, (v, after) in enumerate(zip(ordered, [*ordered[1:], None]))]
         kind = snapshots.schema[version].dataType.simpleString()
-        return snapshots.sparkSession.createDataFrame(rows, f"`{version}` {kind}, _number int, _next {kind}")
+        listed = snapshots.sparkSession.createDataFrame(rows, f"`{version}` {kind}, _number int, _next {kind}")
+        return F.broadcast(listed)
     in_order = Window.orderBy(version)
     return distinct.select(
         version, F.row_number().over(in_order).alias("_number"), F.lead(version).over(in_order).alias("_next")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,23 +29,37 @@ def with_provenance(
     return df.withColumns({ingested: F.current_timestamp(), file: path, run: F.lit(run_id)})
 
 
+FIELDS = "map<string,string>"
+
+
+def _declared(df: DataFrame, fields: str, record: str, columns: Sequence[str]) -> DataFrame:
+    """Replace a parsed record by its declared columns and the rescued rest."""
+    declared = F.array(*[F.lit(c) for c in columns])
+    others = F.map_filter(F.col(fields), lambda name, value: ~F.array_contains(declared, name))
+    rescued = F.when(F.col(fields).isNull(), F.col(record)).when(F.size(others) > 0, F.to_json(others))
+    values = {c: F.try_element_at(fields, F.lit(c)) for c in columns}
+    return df.withColumns({**values, RESCUED: rescued}).drop(fields, record)
+
+
 def with_rescued(df: DataFrame, record: str, columns: Sequence[str]) -> DataFrame:
     """Declared fields of a JSON text column, plus all other fields as JSON text.
 
     The record is parsed once, to a map; a record that is not an object is
     rescued whole. Other columns of the frame stay.
     """
-    fields = F.from_json(F.col(record), "map<string,string>")
-    declared = F.array(*[F.lit(c) for c in columns])
-    others = F.map_filter(F.col("_fields"), lambda name, value: ~F.array_contains(declared, name))
-    rescued = (
-        F.when(F.col("_fields").isNull(), F.col(record)).when(F.size(others) > 0, F.to_json(others))
-    )
-    return (
-        df.withColumn("_fields", fields)
-        .withColumns({**{c: F.try_element_at("_fields", F.lit(c)) for c in columns}, RESCUED: rescued})
-        .drop("_fields", record)
+    return _declared(df.withColumn("_fields", F.from_json(record, FIELDS)), "_fields", record, columns)
+
+
+def _documents(files: DataFrame) -> DataFrame:
+    """One row per object of whole JSON documents: parsed fields, or the text that is none."""
+    text = F.col("value")
+    many = F.transform(
+        F.from_json(text, f"array<{FIELDS}>"),
+        lambda m: F.struct(m.alias("_fields"), F.lit(None).cast("string").alias("_record")),
     )
+    single = F.array(F.struct(F.from_json(text, FIELDS).alias("_fields"), text.alias("_record")))
+    located = files.select(F.explode(F.coalesce(many, single)).alias("_row"), F.col("_metadata.file_path").alias("_path"))
+    return located.select("_row.*", "_path")
 
 
 def read_raw(
@@ -75,17 +90,16 @@ def read_raw(
         rows = reader.options(**{**defaults, **(options or {})}).schema(text_schema([*columns, RESCUED])).csv(folder)
         return with_provenance(rows, run_id, stamps)
     if kind == "json":
-        # Each record as a variant keeps fields the declaration does not know.
-        defaults |= {"multiLine": "true", "singleVariantColumn": "_variant"}
-        rows = reader.options(**{**defaults, **(options or {})}).json(folder)
-        record = F.to_json("_variant")
-    elif kind == "jsonl":
-        rows = reader.options(**{**defaults, **(options or {})}).text(folder)
-        record = F.col("value")
-    else:
+        defaults["wholetext"] = "true"
+    elif kind != "jsonl":
         raise ValueError(f"unknown file format {file_format!r}")
-    located = rows.select(record.alias("_record"), F.col("_metadata.file_path").alias("_path"))
-    return with_provenance(with_rescued(located, "_record", columns), run_id, stamps, "_path").drop("_path")
+    lines = reader.options(**{**defaults, **(options or {})}).text(folder)
+    if kind == "json":
+        rows = _declared(_documents(lines), "_fields", "_record", columns)
+    else:
+        located = lines.select(F.col("value").alias("_record"), F.col("_metadata.file_path").alias("_path"))
+        rows = with_rescued(located, "_record", columns)
+    return with_provenance(rows, run_id, stamps, "_path").drop("_path")
 
 
 def read_swipes(spark: SparkSession, folder: str, columns: Sequence[str], run_id: str, **options: str) -> DataFrame:
@@ -107,13 +121,32 @@ def active_sources(control: DataFrame) -> list[Row]:
     return active(control).collect()
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def has_files(spark: SparkSession, folder: str, file_name: str = "*") -> bool:
+    """Whether a landing folder holds any matching file. Lists names, reads none."""
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", file_name).load(folder)
+        return not files.select("path").isEmpty()
+    except AnalysisException:
+        return False
+
+
+def bronze_schema(columns: Sequence[str], stamps: Sequence[str] = BATCH_STAMPS) -> T.StructType:
+    """Columns of a bronze table: the declared ones, rescued fields, provenance."""
+    ingested, file, run = stamps
+    return text_schema([*columns, RESCUED]).add(ingested, T.TimestampType()).add(file, T.StringType()).add(run, T.StringType())
 
 
-def stream_table(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Stream of the rows appended to a stored table; its schema is that of the table."""
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored table. With a schema, columns that older files lack are NULL, at no extra listing."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path)
+
+
+def stream_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, max_files: int | None = None
+) -> DataFrame:
+    """Stream of the rows appended to a stored table."""
+    reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)

@@ -13,13 +13,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from riskflow.operators import alerts, quality, watchlist
 from riskflow.operators.dedup import stream_dedup
 from riskflow.operators.rules import Clock
 from riskflow.plans import gold
 from riskflow.plans.silver import SWIPES
-from riskflow.sources.readers import stream_table
+from riskflow.sources.readers import read_table, stream_table
 from riskflow.sources.writers import append_available_now
 
 VALID, REJECTED = "valid", "rejected"
@@ -30,17 +31,20 @@ class SwipeFlows:
 
     def __init__(self, spark: SparkSession, root: str, clock: Clock = Clock(), timeout: int | None = None):
         self.spark, self.root, self.clock, self.timeout = spark, root.rstrip("/"), clock, timeout
+        # Schemas of the tables filled here; a table without rows yet has no file to tell.
+        self.schemas: dict[str, StructType] = {}
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        return read_table(self.spark, self.path(table), self.schemas.get(table))
 
     def stream(self, table: str) -> DataFrame:
-        return stream_table(self.spark, self.path(table))
+        return stream_table(self.spark, self.path(table), self.schemas.get(table))
 
     def append(self, df: DataFrame, table: str, *partition_by: str) -> StreamingQuery:
+        self.schemas[table] = df.schema
         return append_available_now(
             df, self.path(table), f"{self.root}/_checkpoints/{table}", partition_by, self.timeout
         )
