@@ -96,9 +96,9 @@ def parse_mixed_date(c: ColumnOrName) -> Column:
         return F.concat_ws("-", F.substring(text, year, 4), F.substring(text, month, 2), F.substring(text, day, 2))
 
     rearranged = (
-        F.when(text.rlike(r"^[0-9]{2}/[0-9]{2}/(?!0000)[0-9]{4}$"), iso(7, 4, 1))
-        .when(text.rlike(r"^[0-9]{2}-[0-9]{2}-(?!0000)[0-9]{4}$"), iso(7, 1, 4))
-        .when(text.rlike(r"^(?!0000)[0-9]{4}/[0-9]{2}/[0-9]{2}$"), iso(1, 6, 9))
+        F.when(text.rlike(r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"), iso(7, 4, 1))
+        .when(text.rlike(r"^[0-9]{2}-[0-9]{2}-[0-9]{4}$"), iso(7, 1, 4))
+        .when(text.rlike(r"^[0-9]{4}/[0-9]{2}/[0-9]{2}$"), iso(1, 6, 9))
         .otherwise(text)
     )
     return rearranged.try_cast("date")
