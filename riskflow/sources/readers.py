@@ -93,7 +93,7 @@ def read_raw(
         defaults["wholetext"] = "true"
     elif kind != "jsonl":
         raise ValueError(f"unknown file format {file_format!r}")
-    lines = reader.options(**{**defaults, **(options or {})}).text(folder)
+    lines = reader.format("text").options(**{**defaults, **(options or {})}).load(folder)
     if kind == "json":
         rows = _declared(_documents(lines), "_fields", "_record", columns)
     else:

@@ -51,7 +51,7 @@ def landing(tmp_path):
     write(raw / "customers" / "c1.csv", customers_csv(ALI, SARA, BAD))
     write(raw / "accounts" / "a1.csv", "account_id,customer_id,account_type,status,currency,opened_date\n"
           "ACC0000001,CUST000001,salary,active,aed,2020-02-01\nACC0000002,CUST000009,salary,active,aed,2020-02-01\n")
-    write(raw / "transactions" / "t1.json", json.dumps([transaction(1), transaction(2, customer="CUST000077"), transaction(3, surprise="x")]))
+    write(raw / "transactions" / "t1.json", json.dumps([transaction(1), transaction(2, customer="CUST000077"), transaction(3, surprise="x")], indent=1))
     write(raw / "sanctions" / "s1.json", json.dumps([{
         "entry_id": "SANC0001", "name": "ali khan", "aliases": "[\"A K\"]", "date_of_birth": "1991-01-17",
         "nationality": "AE", "entity_type": "individual", "list_source": "UN Consolidated List"}]))

@@ -1,0 +1,118 @@
+import json
+import os
+
+import pytest
+
+from riskflow.session import work_folder
+from riskflow.sources import readers
+from riskflow.sources.writers import append_available_now, write_clustered, write_table
+
+
+def write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def ingest(spark, tmp_path, **kw):
+    raw = readers.read_raw(spark, f"{tmp_path}/in", ["a", "b"], "run-1", **kw)
+    append_available_now(raw, f"{tmp_path}/out", f"{tmp_path}/cp", timeout=300)
+    return spark.read.parquet(f"{tmp_path}/out")
+
+
+def rows(df):
+    return sorted((r.a, r.b, r._rescued_data) for r in df.collect())
+
+
+def test_csv(spark, tmp_path):
+    write(f"{tmp_path}/in/1.csv", "a,b\n1,x\n007,\n")
+    write(f"{tmp_path}/in/2.csv", "a,b\n3,z,surplus\n")
+    write(f"{tmp_path}/in/ignored.txt", "a,b\n9,9\n")
+    out = ingest(spark, tmp_path, file_name="*.csv")
+    assert rows(out) == [("007", None, None), ("1", "x", None), ("3", "z", "3,z,surplus")]
+    assert {r.adf_run_id for r in out.collect()} == {"run-1"}
+    assert {os.path.basename(r.source_file) for r in out.collect()} == {"1.csv", "2.csv"}
+    assert all(r._ingested_at for r in out.collect())
+
+
+def test_options_win_over_defaults(spark, tmp_path):
+    write(f"{tmp_path}/in/1.csv", "1;x\n")
+    out = ingest(spark, tmp_path, options={"header": "false", "sep": ";"})
+    assert rows(out) == [("1", "x", None)]
+
+
+def test_json_documents(spark, tmp_path):
+    write(f"{tmp_path}/in/1.json", json.dumps([{"a": "1", "b": 2.5}, {"a": "3", "new": {"x": [1]}}], indent=2))
+    write(f"{tmp_path}/in/2.json", json.dumps({"b": "only"}, indent=2))
+    write(f"{tmp_path}/in/3.json", "{broken")
+    out = ingest(spark, tmp_path, file_format="json")
+    found = {(r.a, r.b, r._rescued_data) for r in out.collect()}
+    assert found == {("1", "2.5", None), ("3", None, '{"new":"{\\"x\\":[1]}"}'), (None, "only", None), (None, None, "{broken")}
+
+
+def test_json_lines_and_incremental_runs(spark, tmp_path):
+    write(f"{tmp_path}/in/1.jsonl", '{"a":"1","b":true}\n{"a":"2","c":9}\nnot json\n')
+    kw = {"file_format": "jsonl", "file_name": "*.jsonl", "stamps": readers.SWIPE_STAMPS}
+    first = ingest(spark, tmp_path, **kw)
+    assert set(first.columns) == {"a", "b", "_rescued_data", "ingested_at", "file_name", "adf_run_id"}
+    assert {(r.a, r.b, r._rescued_data) for r in first.collect()} == {("1", "true", None), ("2", None, '{"c":"9"}'), (None, None, "not json")}
+    write(f"{tmp_path}/in/2.jsonl", '{"a":"4"}\n')
+    assert ingest(spark, tmp_path, **kw).count() == 4
+    assert ingest(spark, tmp_path, **kw).count() == 4
+
+
+def test_unknown_format(spark, tmp_path):
+    with pytest.raises(ValueError, match="xml"):
+        readers.read_raw(spark, str(tmp_path), ["a"], "r", file_format="xml")
+
+
+def test_archive_moves_confirmed_files(spark, tmp_path):
+    for n in (1, 2, 3):
+        write(f"{tmp_path}/in/{n}.csv", f"a,b\n{n},x\n")
+        ingest(spark, tmp_path, archive_dir=f"{tmp_path}/archive", file_name="*.csv")
+    archived = [f for _, _, files in os.walk(f"{tmp_path}/archive") for f in files if f.endswith(".csv")]
+    assert "1.csv" in archived and not os.path.exists(f"{tmp_path}/in/1.csv")
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 3
+
+
+def test_control_table(spark, tmp_path):
+    entry = {"source_folder": "f", "source_file": "*.csv", "file_format": "csv", "target_schema": "bronze",
+             "target_table": "t", "cluster_keys": ["a"], "is_active": True}
+    entries = [entry, {**entry, "source_folder": "g", "is_active": False}, {**entry, "source_folder": "h", "is_active": None}]
+    write(f"{tmp_path}/control.json", json.dumps(entries, indent=1))
+    active = readers.active_sources(readers.control_table(spark, f"{tmp_path}/control.json"))
+    assert [(r.source_folder, r.cluster_keys) for r in active] == [("f", ["a"])]
+
+
+def test_has_files(spark, tmp_path):
+    write(f"{tmp_path}/in/1.csv", "a\n")
+    assert readers.has_files(spark, f"{tmp_path}/in", "*.csv")
+    assert not readers.has_files(spark, f"{tmp_path}/in", "*.json")
+    assert not readers.has_files(spark, f"{tmp_path}/absent")
+
+
+def test_stored_table_with_new_column(spark, tmp_path):
+    write_table(spark.createDataFrame([("1",)], "a string"), f"{tmp_path}/t")
+    schema = readers.bronze_schema(["a", "b"])
+    row = readers.read_table(spark, f"{tmp_path}/t", schema).first()
+    assert (row.a, row.b, row._rescued_data) == ("1", None, None)
+
+
+def test_clustered_files_split_a_hot_key(spark, tmp_path):
+    """One key owns two thirds of the rows; no file may get all of them."""
+    df = spark.range(0, 30000, 1, 16).selectExpr("IF(id % 3 = 0, id, 7) AS k", "id")
+    write_clustered(df, f"{tmp_path}/t", ["k"], partitions=8)
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    assert stored.count() == 30000
+    per_file = stored.where("k = 7").groupBy("_metadata.file_path").count()
+    sizes = [r["count"] for r in per_file.collect()]
+    assert sum(sizes) == 20000 and max(sizes) < 10000
+    spans = stored.groupBy("_metadata.file_path").agg({"k": "min"}).count()
+    assert spans == 8
+
+
+def test_work_folder_uses_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    folder = work_folder(spark, "x")
+    assert folder != work_folder(spark, "x")
+    assert folder.startswith(f"{shared.rstrip('/')}/x-" if shared else "/")
