@@ -142,6 +142,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan to all cores if its files give fewer tasks than that.
+
+    For row-wise work that costs far more than the shuffle. A scan with at
+    least as many tasks as cores, as any large table has, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stream_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None, max_files: int | None = None
 ) -> DataFrame:

@@ -12,6 +12,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskflow.sources.readers import read_table, spread
+
 # The instant all check queries take as now.
 NOW = "2024-02-01 00:00:00"
 
@@ -189,7 +191,7 @@ def tables_of(text: str) -> set[str]:
 
 def as_spark(spark: SparkSession, folder: str, text: str) -> DataFrame:
     """The feed as a Spark frame over the tables in ``folder``."""
-    return spark.sql(text, **{t: spark.read.parquet(f"{folder}/{t}.parquet") for t in tables_of(text)})
+    return spark.sql(text, **{t: spread(read_table(spark, f"{folder}/{t}.parquet")) for t in tables_of(text)})
 
 
 def as_sql(text: str) -> str:
