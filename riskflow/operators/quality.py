@@ -20,9 +20,20 @@ def with_reference(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     and otherwise the join shuffles and adaptive execution splits hot keys
     (a left join may split its left side at will). A streaming frame needs no
     other code: without state its micro-batches run adaptively as well.
+
+    Adaptive splitting needs both sides fresh from a shuffle. Keys made
+    distinct by the key alone would be joined as that aggregate left them, so
+    they are made distinct together with their hash, which is the same set but
+    has the key list shuffled once more; it is the small side.
     """
     match = MATCH_PREFIX + key
-    known = dimension.select(F.col(key).alias(match)).where(F.col(match).isNotNull()).distinct()
+    known = (
+        dimension.select(F.col(key).alias(match))
+        .where(F.col(match).isNotNull())
+        .select(match, F.xxhash64(match).alias("_hash"))
+        .distinct()
+        .drop("_hash")
+    )
     return df.join(known, F.col(key) == F.col(match), "left")
 
 
