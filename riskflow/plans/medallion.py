@@ -7,7 +7,7 @@ it. The steps log their start and end; the log feeds the run alerts.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -23,7 +23,8 @@ from riskflow.sources.lakehouse import FAILED, IN_PROGRESS, SUCCEEDED, Lakehouse
 from riskflow.sources.writers import append_available_now
 from riskflow.streaming.flows import REJECTED, VALID, SwipeFlows
 
-# Columns the stored tables are ordered by: what their readers join and filter on.
+# Columns the stored tables are ordered by, unless the control table names others:
+# what their readers join and filter on.
 CLUSTER_BY = {
     "customers": ("customer_id",),
     "accounts": ("account_id",),
@@ -50,6 +51,7 @@ class Medallion:
         self.spark, self.run_id, self.clock, self.timeout = spark, run_id, clock, timeout
         self.lake = Lakehouse(spark, root, run_id)
         self.swipes = SwipeFlows(spark, f"{self.lake.root}/swipes", clock, timeout)
+        self.cluster_by: dict[str, Sequence[str]] = dict(CLUSTER_BY)
 
     @contextmanager
     def logged(self, name: str):
@@ -78,10 +80,12 @@ class Medallion:
 
         A source without files is skipped. One that fails does not keep the
         others from being ingested, but the step fails at its end. With
-        ``archive_root`` ingested files move there, by source folder.
+        ``archive_root`` ingested files move there, by source folder and day.
+        Cluster keys of a source order the silver table made from it.
         """
         with self.logged("ingest"):
             sources = readers.active_sources(readers.control_table(self.spark, control_path))
+            self.cluster_by |= {s.target_table: s.cluster_keys for s in sources if s.cluster_keys}
             results = [self._ingest_one(s, raw_root, archive_root) for s in sources]
             if swipes_folder:
                 raw = readers.read_swipes(self.spark, swipes_folder, schemas.FEEDS["swipes"], self.run_id)
@@ -103,7 +107,7 @@ class Medallion:
                 self.run_id,
                 files,
                 source.file_format,
-                archive_dir=f"{archive_root}/{folder}" if archive_root else None,
+                archive_dir=f"{archive_root}/{folder}/{self.lake.started:%Y/%m/%d}" if archive_root else None,
             )
             append_available_now(
                 raw, self.lake.path("bronze", table), f"{self.lake.root}/_checkpoints/{table}", timeout=self.timeout
@@ -142,8 +146,12 @@ class Medallion:
         self.lake.publish("silver", f"rejected_{domain.name}", rejected)
         return domain.latest(staged.where(F.col("outcome") == VALID).drop("outcome"))
 
+    def _cluster_keys(self, domain: Domain, df: DataFrame) -> list[str]:
+        """The keys as far as the table has them; a wrong key costs order, not the run."""
+        return [k for k in self.cluster_by[domain.name] if k in df.columns]
+
     def _publish_silver(self, domain: Domain, df: DataFrame) -> DataFrame:
-        stored = self.lake.publish("silver", domain.name, df, CLUSTER_BY[domain.name])
+        stored = self.lake.publish("silver", domain.name, df, self._cluster_keys(domain, df))
         metrics = quality.expectation_metrics(stored, domain.name, self.clock)
         self.lake.publish("monitoring", f"dq_{domain.name}", metrics)
         return stored
@@ -159,7 +167,7 @@ class Medallion:
             current = empty.withColumns({history.START: stamp, history.END: stamp})
         version = F.lit(self.lake.started).cast("timestamp")
         changes = history.scd2_changes(current, snapshot, keys, version)
-        self.lake.publish_history("silver", table, changes, CLUSTER_BY[domain.name])
+        self.lake.publish_history("silver", table, changes, self._cluster_keys(domain, changes))
         return self.lake.open_rows("silver", table, self.run_id).drop(history.START, history.END)
 
     def _transactions(self, known: Mapping[str, DataFrame]) -> DataFrame:

@@ -25,6 +25,9 @@ from riskflow.sources.writers import append_available_now
 
 VALID, REJECTED = "valid", "rejected"
 
+# A backlog is worked off in batches of this many files, each committed by itself.
+FILES_PER_BATCH = 10_000
+
 
 class SwipeFlows:
     """The streaming tables below one root folder, and the jobs that fill them."""
@@ -41,7 +44,7 @@ class SwipeFlows:
         return read_table(self.spark, self.path(table), self.schemas.get(table))
 
     def stream(self, table: str) -> DataFrame:
-        return stream_table(self.spark, self.path(table), self.schemas.get(table))
+        return stream_table(self.spark, self.path(table), self.schemas.get(table), FILES_PER_BATCH)
 
     def append(self, df: DataFrame, table: str, *partition_by: str) -> StreamingQuery:
         self.schemas[table] = df.schema

@@ -62,6 +62,7 @@ def landing(tmp_path):
          "cluster_keys": [], "is_active": True}
         for t, f in [("customers", "csv"), ("accounts", "csv"), ("transactions", "json"), ("sanctions", "json")]
     ]
+    sources[2]["cluster_keys"] = ["city", "no_such_column"]
     sources.append({**sources[0], "source_folder": "closed", "is_active": False})
     write(tmp_path / "control.json", json.dumps(sources, indent=1))
     return tmp_path
@@ -73,7 +74,7 @@ def medallion(spark, landing, run):
 
 def run(spark, landing, name):
     m = medallion(spark, landing, name)
-    m.run(str(landing / "control.json"), str(landing / "raw"), str(landing / "raw" / "swipes"))
+    m.run(str(landing / "control.json"), str(landing / "raw"), str(landing / "raw" / "swipes"), str(landing / "archive"))
     return m
 
 
@@ -117,6 +118,10 @@ def test_two_runs(spark, landing):
     assert [(r.swipe_count, r.distinct_city_count) for r in velocity] == [(2, 2)]
     assert second.swipes.read("fraud_alerts").count() == 3  # a LOW tier with hint scores exactly 0.5
 
+    moved = list((landing / "archive" / "customers").glob("20??/??/??/**/c1.csv"))
+    assert len(moved) == 1 and not (landing / "raw" / "customers" / "c1.csv").exists()
+    assert second.cluster_by["transactions"] == ["city", "no_such_column"]
+
     log = {(r.RunId, r.PipelineName, r.Status) for r in second.lake.run_log().collect()}
     assert ("r1", "master", "Succeeded") in log and ("r2", "gold", "Succeeded") in log
 

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from riskflow.operators import alerts
+from riskflow.operators import alerts, quality
 from riskflow.operators.dedup import stream_dedup
 from riskflow.sources.readers import stream_table
 from riskflow.sources.writers import append_available_now
@@ -109,3 +109,18 @@ def test_stateless_streams_run_adaptively(spark, tmp_path):
     )
     plan = query._jsq.explainInternal(False)
     assert "AdaptiveSparkPlan" in plan
+
+
+def test_stream_reports_expectations(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.arrive(("A", "x", "1", 0), ("B", "", "2", 0), ("C", None, "3", 0))
+    stream = stream_table(spark, f"{tmp_path}/in", feed.all().schema).select(
+        F.lit("SANC0001").alias("entry_id"), F.col("city").alias("name"), F.lit("INDIVIDUAL").alias("entity_type"),
+        F.lit("Other").alias("list_source"), F.lit("f").alias("source_file"), F.lit("r").alias("adf_run_id"),
+        F.col("swipe_timestamp").alias("_ingested_at"),
+    )
+    query = append_available_now(
+        quality.observe_expectations(stream, "sanctions", "dq"), f"{tmp_path}/o", f"{tmp_path}/c", timeout=300
+    )
+    metrics = query.recentProgress[0].observedMetrics["dq"]
+    assert (metrics["total"], metrics["valid_name"], metrics["valid_list_source"], metrics["valid_entry_id"]) == (3, 2, 3, 0)
