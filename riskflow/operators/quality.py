@@ -47,10 +47,9 @@ def with_reasons(df: DataFrame, domain: str, clock: Clock = Clock()) -> DataFram
 
     The optimizer would rewrite a later filter on the reasons in terms of the
     raw columns and move it down to the scan, where all cleaning expressions
-    would be expanded into all rules: minutes of planning, and every regex run
-    again for each rule. It leaves filters above a column that is not
-    deterministic, so the reasons hang on a condition that is always true but
-    that it cannot know.
+    would be expanded into all rules; one small query took minutes that way.
+    It leaves filters above a column that is not deterministic, so the reasons
+    hang on a condition that is always true but that it cannot know.
     """
     always = F.spark_partition_id() >= 0
     return df.withColumn(REASONS, F.when(always, reject_reasons(domain, clock)))
