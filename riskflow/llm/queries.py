@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import quality, secrets, sharding
+from riskflow.llm import decontamination, neardup, quality, secrets, sharding
 from riskflow.llm.frames import read
 from riskflow.session import work_folder
 
@@ -25,6 +25,15 @@ def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return decontamination.decontaminate(docs, read(spark, folder, "benchmark")).drop("text")
+
+
+def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, folder, "documents"), shingle=3, percent=85)
+
+
 def op6_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.clean_lines(read(spark, folder, "documents")).select(
         "doc_id",
@@ -56,7 +65,9 @@ def op9_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op4_secrets": op4_secrets,
+    "op5_spaced_seeds": op5_spaced_seeds,
     "op6_line_quality": op6_line_quality,
+    "op7_near_duplicates": op7_near_duplicates,
     "op9_interleaved_shards": op9_interleaved_shards,
 }
 
