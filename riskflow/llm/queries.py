@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import decontamination, neardup, quality, secrets, sharding
+from riskflow.llm import decontamination, neardup, packing, quality, secrets, sharding, warc
 from riskflow.llm.frames import read
 from riskflow.session import work_folder
 
 
+def op2_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents"))
+
+
 def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     scanned = secrets.scan_versions(docs, work_folder(spark, "secret-ledger"))
@@ -49,6 +53,13 @@ def op6_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_seekable_warc(spark: SparkSession, folder: str) -> DataFrame:
+    index = warc.write_archives(read(spark, folder, "pages"), work_folder(spark, "warc"))
+    return warc.read_archives(index).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact", "frame", "offset"
+    )
+
+
 def op9_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.assign_shards(read(spark, folder, "documents"), shards=8)
     return placed.select(
@@ -64,10 +75,12 @@ def op9_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_best_fit": op2_best_fit,
     "op4_secrets": op4_secrets,
     "op5_spaced_seeds": op5_spaced_seeds,
     "op6_line_quality": op6_line_quality,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_seekable_warc": op8_seekable_warc,
     "op9_interleaved_shards": op9_interleaved_shards,
 }
 

@@ -32,7 +32,7 @@ def stratum_of(column: str) -> Column:
     return F.when(value.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), value))
 
 
-def _numbered(df: DataFrame, group: list[str], bucket: str, order: list, name: str) -> DataFrame:
+def numbered(df: DataFrame, group: list[str], bucket: str, order: list, name: str) -> DataFrame:
     """``name``: place of each row in its ``group`` by bucket, then by ``order``; from 0."""
     within = Window.partitionBy(*group, bucket)
     sizes = df.groupBy(*group, bucket).agg(F.count(F.lit(1)).alias("_size"))
@@ -74,7 +74,7 @@ def assign_shards(
     buckets = min(MOST_BUCKETS, max(1, -(-rows // bucket_rows)))
     ties = ["_hash", F.col("_key").asc_nulls_first(), "size", "text_crc32"]
     high = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long")
-    ranked = _numbered(
+    ranked = numbered(
         slim.withColumn("_bucket", F.floor(high * buckets / 2**32).cast("long")), ["_stratum"], "_bucket", ties, "_rank"
     )
     totals = slim.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_total"))
@@ -82,7 +82,7 @@ def assign_shards(
         "_fraction", (2 * F.col("_rank") + 1).cast("double") / (2 * F.col("_total"))
     )
     spread = spread.withColumn("_bucket", F.floor(F.col("_fraction") * buckets).cast("long"))
-    placed = _numbered(spread, [], "_bucket", ["_fraction", "_stratum", *ties], "_position")
+    placed = numbered(spread, [], "_bucket", ["_fraction", "_stratum", *ties], "_position")
     # Shard i starts at position floor(i * rows / shards).
     index = f"({shards} * (_position + 1) - 1) div {max(rows, 1)}"
     return placed.select(
