@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import decontamination, neardup, packing, quality, secrets, sharding, warc
+from riskflow.llm import decontamination, neardup, packing, quality, repeats, secrets, sharding, warc
 from riskflow.llm.frames import read
 from riskflow.session import work_folder
 
@@ -14,6 +14,11 @@ def op2_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"))
 
 
+def op3_deep_shallow(spark: SparkSession, folder: str) -> DataFrame:
+    done = repeats.remove_repeats(read(spark, folder, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     scanned = secrets.scan_versions(docs, work_folder(spark, "secret-ledger"))
@@ -76,6 +81,7 @@ def op9_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_best_fit": op2_best_fit,
+    "op3_deep_shallow": op3_deep_shallow,
     "op4_secrets": op4_secrets,
     "op5_spaced_seeds": op5_spaced_seeds,
     "op6_line_quality": op6_line_quality,
