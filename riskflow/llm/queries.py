@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import decontamination, neardup, packing, quality, repeats, secrets, sharding, warc
+from riskflow.llm import decontamination, neardup, packing, personal, quality, repeats, secrets, sharding, warc
 from riskflow.llm.frames import read
 from riskflow.session import work_folder
 
@@ -79,6 +79,18 @@ def op9_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal.find_personal(read(spark, folder, "documents").select("doc_id", "text"))
+    of = lambda kind: F.size(F.filter("personal", lambda x: x["kind"] == kind)).cast("long")
+    base = F.filter("personal", lambda x: x["kind"].isin(list(personal.KINDS)))
+    return found.select(
+        "doc_id",
+        *[of(kind).alias(f"n_{kind}") for kind in personal.KINDS],
+        F.sha2(personal.spans_text(base).cast("binary"), 256).alias("base_sha256"),
+        personal.spans_text(F.col("personal")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op2_best_fit": op2_best_fit,
     "op3_deep_shallow": op3_deep_shallow,
@@ -88,6 +100,7 @@ QUERIES = {
     "op7_near_duplicates": op7_near_duplicates,
     "op8_seekable_warc": op8_seekable_warc,
     "op9_interleaved_shards": op9_interleaved_shards,
+    "op10_contextual_pii": op10_contextual_pii,
 }
 
 #: For DuckDB. A query without an entry has what SQL cannot express and is tested against brute force.
