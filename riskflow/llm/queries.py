@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import decontamination, neardup, packing, personal, quality, repeats, secrets, sharding, warc
+from riskflow.llm import decontamination, neardup, packing, personal, quality, repeats, secrets, sharding, toxicity, warc
 from riskflow.llm.frames import read
 from riskflow.session import work_folder
 
 
+def op1_subsequence_svm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    learnt = docs.filter(~toxicity.held_out())
+    model = toxicity.fit(learnt, read(spark, folder, "labels"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op2_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"))
 
@@ -92,6 +99,7 @@ def op10_contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_subsequence_svm": op1_subsequence_svm,
     "op2_best_fit": op2_best_fit,
     "op3_deep_shallow": op3_deep_shallow,
     "op4_secrets": op4_secrets,
