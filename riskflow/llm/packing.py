@@ -205,18 +205,19 @@ def pack(docs: DataFrame, key: str = "doc_id", length: Column | None = None, cap
     )
 
 
-def assemble(placed: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text", end: bytes = b"\x00") -> DataFrame:
+def assemble(placed: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text", name: str | None = None, end: bytes = b"\x00") -> DataFrame:
     """The sequences of a packing by ``byte_tokens``: bin_id, capacity, used, doc_ids (in order), content (binary).
 
-    ``end`` is the byte that closes a text. ``key`` must be unique and not null in ``docs``: others cannot be told apart.
-    A sequence is at most as long as its capacity, so one group is of bounded size.
+    ``end`` is the byte that closes a text. ``key`` must be unique and not null in ``docs``: other rows cannot be told apart;
+    ``name`` (default: the key) is what doc_ids lists. A sequence is at most as long as its capacity, so one group is of bounded
+    size.
     """
     body = F.concat(whole_text(text).cast("binary"), F.lit(end))
-    rows = placed.join(docs.select(F.col(key), body.alias("_body")), key)
+    rows = placed.join(docs.select(F.col(key), F.col(name or key).alias("_name"), body.alias("_body")), key)
     cut = F.substring(F.col("_body"), (F.col("start") + 1).cast("int"), F.col("n_tokens").cast("int"))
-    parts = rows.select("bin_id", "capacity", "used", F.struct("offset", F.col(key).alias("id"), cut.alias("part")).alias("one"))
+    parts = rows.select("bin_id", "capacity", "used", F.struct("offset", F.col("_name").alias("id"), cut.alias("part")).alias("one"))
     grouped = parts.groupBy("bin_id", "capacity", "used").agg(F.array_sort(F.collect_list("one")).alias("all"))
-    content = F.aggregate(F.transform("all", lambda x: F.hex(x["part"])), F.lit(""), lambda a, x: F.concat(a, x))
+    content = F.array_join(F.transform("all", lambda x: F.hex(x["part"])), "")
     return grouped.select(
         "bin_id", "capacity", "used", F.transform("all", lambda x: x["id"]).alias("doc_ids"), F.unhex(content).alias("content")
     )
