@@ -1,0 +1,92 @@
+import random
+
+from hypothesis import example, given, settings
+from hypothesis import strategies as st
+
+from riskflow.llm import personal
+from riskflow.llm.queries import QUERIES
+from tests.llm import brute
+
+SCHEMA = "doc_id long, text string, personal string, kind string"
+ALPHABET = "ab1259.@+-_% ()[]\n4é"
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.text(ALPHABET, max_size=60))
+@example("a@b.c.@d.e")
+@example("a@b.c@d.ee @x.y a@@b.c")
+@example("1.2.3.4.5 01.002.0003.4 256.1.1.1 1.1.1.1.1.1.1.1")
+@example("4111 1111-1111 1111 and 41111111111111111111")
+@example("+1 (988) 555-2485 +1-2 ++49 30 1234567-")
+def test_base_spans_against_brute_force(text):
+    assert ",".join(f"{k}:{s}:{e}" for k, s, e in personal.base_spans(text)) == brute.personal(text)
+
+
+def test_long_runs_take_linear_time():
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+1" + " " * 200_000, "@a" * 100_000):
+        personal.occurrences(text)
+
+
+def searched(spark, texts):
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], SCHEMA)
+    rows = personal.find_personal(df).orderBy("doc_id").collect()
+    assert [r.text for r in rows] == texts
+    return [[(p.kind, p.start, p.end) for p in r.personal] for r in rows]
+
+
+def learnt():
+    rng = random.Random(1)
+    out = [f"please call us on +44 20 {rng.randrange(10**7, 10**8)} today" for _ in range(12)]
+    return out + ["please call us on 020 7946 0018 today", "the part 020 7946 0018 is out", "part number 5550000111 here"]
+
+
+def test_context_finds_what_the_base_misses(spark):
+    texts = learnt()
+    found = searched(spark, texts)
+    for text, spans in zip(texts[:12], found):
+        assert [k for k, _, _ in spans] == ["phone"]
+    for text, spans in zip(texts[12:14], found[12:14]):
+        assert [(k, text[s:e]) for k, s, e in spans] == [("phone_context", "020 7946 0018")]
+    assert found[14] == []
+
+
+def test_patterns_that_others_fill_find_nothing(spark):
+    texts = learnt()[:4] + [f"please call us on item number{i} today" for i in range(3)]
+    texts += [f"please call us on {random.Random(i).randrange(10**8, 10**9)} today" for i in range(30)]
+    assert all(k == "phone" for spans in searched(spark, texts) for k, _, _ in spans)
+
+
+def test_redaction(spark):
+    df = spark.createDataFrame(
+        [(1, "é mail a.b@c.de, or 10.0.0.1!", "x", "y"), (2, None, "x", "y"), (3, "", "x", "y"), (4, "plain 12", "x", "y")], SCHEMA
+    )
+    rows = personal.redact(df).orderBy("doc_id").collect()
+    assert [r.text for r in rows] == ["é mail [EMAIL], or [IP]!", None, "", "plain 12"]
+    assert rows[0].kind == "y"
+
+
+def test_overlapping_spans_are_masked_once(spark):
+    text = "+1.10.20.30.40 5"
+    spans = sorted((s, e) for _, s, e in personal.base_spans(text))
+    assert len(spans) == 2 and spans[1][0] < spans[0][1]
+    out = personal.redact(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert not any(c.isdigit() for c in out.text)
+
+
+def test_nulls_repeats_and_empty_table(spark):
+    df = spark.createDataFrame([(None, None, None, None), (None, "a@b.cd", None, None), (1, "a@b.cd", "", ""), (1, "a@b.cd", "", "")], SCHEMA)
+    rows = personal.find_personal(df).collect()
+    assert sorted(len(r.personal) for r in rows) == [0, 1, 1, 1]
+    assert personal.find_personal(df.limit(0)).count() == 0
+    assert personal.redact(df.limit(0)).count() == 0
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = QUERIES["op10_contextual_pii"](spark, folder).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = brute.personal(texts[r.doc_id])
+        assert r.base_sha256 == brute.sha(want)
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [want.count(f"{k}:") for k in personal.KINDS]
