@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.frames import stored, with_renamed
+from riskflow.llm.frames import stored, without
 from riskflow.llm.wordhash import NOT_ALNUM, chain, slices, string_bytes, words
 
 #: Places of the words that count; every choice of 2 places out of 13 misses one of the masks at some shift.
@@ -180,7 +180,7 @@ def decontaminate(
     itself. An empty table gives an empty result. Documents are not shuffled.
     """
     spark = docs.sparkSession
-    base = with_renamed(docs, OWN)
+    base = without(docs, OWN)
     df = base.withColumn("overlaps", F.array().cast(OVERLAPS))
     for items in _blocks(benchmark, item, item_text):
         table = SeedTable(items)

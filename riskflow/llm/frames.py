@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskflow.session import work_folder
 
@@ -28,6 +29,12 @@ def whole_text(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
-def with_renamed(df: DataFrame, taken: Iterable[str]) -> DataFrame:
-    """``df`` whose columns in ``taken`` are dropped: an operator's own output columns win over clashing extra ones."""
-    return df.drop(*[c for c in df.columns if c in set(taken)])
+def without(df: DataFrame, taken: Iterable[str]) -> DataFrame:
+    """``df`` without columns named as in ``taken``, in any case: an operator's own columns win over clashing extra ones."""
+    names = {t.lower() for t in taken}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in names])
+
+
+def extended(df: DataFrame, more: str) -> T.StructType:
+    """The schema of ``df`` with more columns, given as DDL."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(more).fields])

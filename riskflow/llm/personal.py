@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.frames import stored, with_renamed
+from riskflow.llm.frames import extended, stored, without
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 4
@@ -218,8 +218,8 @@ def find_personal(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) ->
     A null or empty text has none. Equal rows are searched alike, each by itself; keys are not read, so they may be null or
     repeat. An empty table gives an empty result.
     """
-    base = with_renamed(docs, ["personal", "_found", "_uid"])
-    scanned = base.mapInArrow(_scanner(text), f"{_ddl(base)}, _found {OCCURRENCE}")
+    base = without(docs, ["personal", "_found", "_uid"])
+    scanned = base.mapInArrow(_scanner(text), extended(base, f"_found {OCCURRENCE}"))
     # Numbered and stored at once: the numbers hold from then on.
     scanned = stored(scanned.withColumn("_uid", F.monotonically_increasing_id()), "personal")
     found = scanned.select("_uid", F.explode("_found").alias("o")).select("_uid", "o.*")
@@ -246,10 +246,6 @@ def find_personal(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) ->
     return scanned.join(context, "_uid", "left").select(*base.columns, personal.alias("personal"))
 
 
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-
-
 def spans_text(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")

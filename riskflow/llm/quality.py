@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.frames import whole_text, with_renamed
+from riskflow.llm.frames import whole_text, without
 
 #: The characters between words, in the order space, tab to carriage return.
 BLANKS = " \t\n\x0b\f\r"
@@ -112,7 +112,7 @@ def clean_lines(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS,
     empty. Repeated rows are judged alike, each by itself; an empty table gives an empty result.
     """
     body = whole_text(text)
-    base = with_renamed(docs, OWN)
+    base = without(docs, OWN)
     df = base.withColumns({"_text": body, "_words": words_of(body), "_lines": F.split(body, "\n", -1)})
     df = df.withColumns(
         {

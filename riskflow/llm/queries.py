@@ -110,6 +110,3 @@ QUERIES = {
     "op9_interleaved_shards": op9_interleaved_shards,
     "op10_contextual_pii": op10_contextual_pii,
 }
-
-#: For DuckDB. A query without an entry has what SQL cannot express and is tested against brute force.
-ORACLES: dict[str, str] = {}
