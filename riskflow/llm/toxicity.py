@@ -29,13 +29,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.frames import with_renamed
+from riskflow.llm.frames import extended, without
 from riskflow.llm.wordhash import slices
 
-ORDER, SPAN, DECAY, WINDOW = 4, 7, 0.7, 8
-MOST_FIT, FIT_CHARS = 2000, 20_000
+ORDER, SPAN, DECAY, WINDOW = 4, 7, 0.8, 8
+MOST_FIT, FIT_CHARS = 1500, 10_000
 LANDMARKS, ROUNDS, PENALTY = 256, 5, 1.0
 SLICE = 1 << 19
+BLOCK = 1 << 19
+#: Symbols of a word that tell it from others when words are counted.
+PACKED = 12
+#: Texts of the sample that are laid out at once.
+FIT_PART = 64
 
 SYMBOLS, PAD = 32, 31
 _GAPS = [g for g in itertools.combinations(range(1, SPAN), ORDER - 1)]
@@ -119,18 +124,30 @@ class Model:
         """Margins of the windows that begin at word starts, and where those are."""
         n = len(codes) - SPAN
         starts = np.flatnonzero((codes[:n] == 0) & (codes[1 : n + 1] != 0) & (codes[1 : n + 1] != PAD)) if n > 0 else np.zeros(0, int)
-        if not len(starts):
-            return np.zeros(0, np.float32), starts
-        wide = codes.astype(np.int32)
-        parts = [wide * SYMBOLS ** (ORDER - 1 - i) for i in range(ORDER)]
-        sums = np.zeros(n, np.float32)
-        for gaps, damp in zip(_GAPS, _DAMP):
-            number = parts[0][:n].copy()
-            for i, g in enumerate(gaps):
-                number += parts[i + 1][g : g + n]
-            sums += np.float32(damp) * self.table[number]
-        total = np.append(0.0, np.cumsum(sums, dtype=np.float64))
-        return (total[np.minimum(starts + WINDOW, n)] - total[starts] + self.bias).astype(np.float32), starts
+        margins = np.empty(len(starts), np.float32)
+        reach = WINDOW + SPAN
+        for first in range(0, n, BLOCK):
+            lo, hi = np.searchsorted(starts, [first, first + BLOCK])
+            if lo == hi:
+                continue
+            part = codes[first : min(len(codes), first + BLOCK + reach)]
+            m = len(part) - SPAN
+            wide = part.astype(np.int32)
+            parts = [wide * SYMBOLS ** (ORDER - 1 - i) for i in range(ORDER)]
+            sums = np.zeros(m, np.float32)
+            for gaps, damp in zip(_GAPS, _DAMP):
+                number = parts[0][:m].copy()
+                for i, g in enumerate(gaps):
+                    number += parts[i + 1][g : g + m]
+                sums += np.float32(damp) * self.table[number]
+            own = starts[lo:hi] - first
+            # Each window is summed by itself: its margin does not depend on what stands before it.
+            total = np.zeros(len(own), np.float32)
+            for i in range(WINDOW):
+                inside = own + i < m
+                total[inside] += sums[own[inside] + i]
+            margins[lo:hi] = total
+        return margins + np.float32(self.bias), starts
 
     def features(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """(largest margin, log of hits, log of words) of each text; a text without words has margin -1 and no hits."""
@@ -215,6 +232,10 @@ class _Kernel:
         return out
 
 
+def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(texts), np.uint8), np.append(0, np.cumsum([len(t) for t in texts])).astype(np.int64)
+
+
 def fit_texts(texts: list[bytes], labels: np.ndarray, class_sizes: tuple[int, int], landmarks: int = LANDMARKS) -> Model:
     """Fit on a sample of documents. ``class_sizes``: documents of class 0 and 1 the sample stands for."""
     sizes = np.array(class_sizes, float)
@@ -223,33 +244,50 @@ def fit_texts(texts: list[bytes], labels: np.ndarray, class_sizes: tuple[int, in
         p = min(max(prior, 1e-3), 1 - 1e-3)
         constant = np.array([0.0, 0.0, 0.0, np.log(p / (1 - p))])
         return Model(np.zeros(SYMBOLS**ORDER, np.float32), -1.0, constant)
-    bounds = np.append(0, np.cumsum([len(t) for t in texts]))
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    codes, begin = encode(data, bounds)
+    # In parts: laying out a text takes many times its size.
+    parts, begins, size = [], [], 0
+    for at in range(0, len(texts), FIT_PART):
+        part, first = encode(*_joined(texts[at : at + FIT_PART]))
+        parts.append(part)
+        begins.append(first + size)
+        size += len(part)
+    codes, begin = np.concatenate(parts), np.concatenate(begins)
+    del parts
     starts = np.flatnonzero((codes[:-1] == 0) & (codes[1:] != 0) & (codes[1:] != PAD))
     of = np.searchsorted(begin, starts, "right") - 1
 
-    # Words by how much likelier a toxic document has them.
-    seen = [Counter(), Counter()]
+    # Words by how much likelier a toxic document has them. A word is its first symbols, packed into one number.
     ends = np.append(np.flatnonzero((codes == 0) | (codes == PAD)), len(codes))
     stops = ends[np.searchsorted(ends, starts + 1)]
-    raw = codes.tobytes()
-    words: dict[int, set[bytes]] = {}
-    for s, e, d in zip(starts.tolist(), stops.tolist(), of.tolist()):
-        words.setdefault(d, set()).add(raw[s + 1 : min(e, s + 1 + WINDOW + SPAN)])
-    for d, own in words.items():
-        seen[int(labels[d])].update(own)
+    packed = np.zeros(len(starts), np.int64)
+    for j in range(1, PACKED + 1):
+        at = np.minimum(starts + j, len(codes) - 1)
+        packed = packed * SYMBOLS + np.where(starts + j < stops, codes[at], 0)
+    order = np.lexsort((packed, of))
+    once = order[np.append(True, (packed[order][1:] != packed[order][:-1]) | (of[order][1:] != of[order][:-1]))] if len(order) else order
+    words, index = np.unique(packed[once], return_inverse=True)
     number = [max(1, int((labels == c).sum())) for c in (0, 1)]
-    odds = lambda w: np.log((seen[1][w] + 0.5) / number[1]) - np.log((seen[0][w] + 0.5) / number[0])
-    suspects = sorted((w for w, n in seen[1].items() if len(w) > 2 and n >= 3), key=lambda w: (-odds(w) * np.sqrt(seen[1][w]), w))
-    harmless = sorted((w for w, n in seen[0].items() if len(w) > 2), key=lambda w: (-seen[0][w], w))
-    bare = lambda w: np.concatenate([[0], np.frombuffer(w, np.uint8), [0]]).astype(np.uint8)
-    chosen = [bare(w) for w in suspects[: landmarks // 2]] + [bare(w) for w in harmless[: landmarks // 4]]
+    seen = [np.bincount(index[labels[of[once]] == c], minlength=len(words)) for c in (0, 1)]
+    odds = np.log((seen[1] + 0.5) / number[1]) - np.log((seen[0] + 0.5) / number[0])
+    long = words % SYMBOLS ** (PACKED - 2) != 0
+    strong = np.flatnonzero(long & (seen[1] >= 3))
+    suspects = strong[np.lexsort((words[strong], -odds[strong] * np.sqrt(seen[1][strong])))][: landmarks // 2]
+    common = np.flatnonzero(long & (seen[0] > 0))
+    harmless = common[np.lexsort((words[common], -seen[0][common]))][: landmarks // 4]
+
+    def bare(word: int) -> np.ndarray:
+        symbols = [(int(word) // SYMBOLS**i) % SYMBOLS for i in range(PACKED - 1, -1, -1)]
+        return np.array([0, *[c for c in symbols if c], 0], np.uint8)
+
+    chosen = [bare(words[i]) for i in [*suspects, *harmless]]
+    if not chosen:
+        chosen = [np.array([0, 1, 2, 0], np.uint8)]
     spare = landmarks - len(chosen)
 
     rng = np.random.RandomState(7)
     kernel = _Kernel(chosen)
-    strength = np.append(np.clip([odds(w) for w in suspects[: landmarks // 2]], 0, None), np.full(len(chosen) - len(suspects[: landmarks // 2]), -1.0))
+    strength = np.full(len(chosen), -1.0)
+    strength[: len(suspects)] = np.clip(odds[suspects], 0, None)
     model = Model(np.zeros(SYMBOLS**ORDER, np.float32), 0.0, np.zeros(4))
     model.table[kernel.known] = kernel.weights @ (strength / np.maximum(1e-9, (kernel.weights**2).sum(0)))
     weight_of = sizes / np.maximum(1, np.array(number))
@@ -271,13 +309,13 @@ def fit_texts(texts: list[bytes], labels: np.ndarray, class_sizes: tuple[int, in
         if turn == 1 and spare:
             # What clean documents have that looks most like abuse.
             worst = sorted(negative[::2], key=lambda s: -margins[np.searchsorted(starts, s)])[:spare]
-            kernel = _Kernel(chosen + [bare(raw[s + 1 : stops[np.searchsorted(starts, s)]][: WINDOW + SPAN]) for s in worst])
+            kernel = _Kernel(chosen + [bare(packed[np.searchsorted(starts, s)]) for s in worst])
         x = kernel.features([window(s) for s in positive + negative])
         y = np.append(np.ones(len(positive)), -np.ones(len(negative)))
         balance = np.where(y > 0, len(y) / 2 / max(1, len(positive)), len(y) / 2 / max(1, len(negative)))
         w, bias = _svm(x, y, balance)
         model = Model(kernel.table(w), bias, np.zeros(4))
-    features = model.features(data, bounds)
+    features = np.concatenate([model.features(*_joined(texts[i : i + FIT_PART])) for i in range(0, len(texts), FIT_PART)])
     model.calibration = _logistic(features, labels.astype(float), weight_of[labels] / weight_of[labels].mean())
     return model
 
@@ -317,10 +355,9 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     Only the text is read. Null and empty texts and texts without letters get the score of a text without words; equal texts get
     equal scores, whatever surrounds them. An empty table gives an empty result.
     """
-    base = with_renamed(docs, ["score", "predicted"])
+    base = without(docs, ["score", "predicted"])
     sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
-    scored = base.mapInArrow(_scorer(sent, text), f"{fields}, score double")
+    scored = base.mapInArrow(_scorer(sent, text), extended(base, "score double"))
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
