@@ -14,6 +14,8 @@ from riskflow.sources.schemas import CONTROL
 RESCUED = "_rescued_data"
 BATCH_STAMPS = ("_ingested_at", "source_file", "adf_run_id")
 SWIPE_STAMPS = ("ingested_at", "file_name", "adf_run_id")
+#: By default a file stream skips files that are a week older than the newest one seen: a backfill would be lost.
+ANY_AGE = {"maxFileAge": "36500d"}
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -50,61 +52,32 @@ def with_rescued(df: DataFrame, record: str, columns: Sequence[str]) -> DataFram
     return _declared(df.withColumn("_fields", F.from_json(record, FIELDS)), "_fields", record, columns)
 
 
-def _documents(files: DataFrame) -> DataFrame:
-    """One row per object of whole JSON documents: parsed fields, or the text that is none."""
-    text = F.col("value")
-    many = F.transform(
-        F.from_json(text, f"array<{FIELDS}>"),
-        lambda m: F.struct(m.alias("_fields"), F.lit(None).cast("string").alias("_record")),
-    )
-    single = F.array(F.struct(F.from_json(text, FIELDS).alias("_fields"), text.alias("_record")))
-    located = files.select(F.explode(F.coalesce(many, single)).alias("_row"), F.col("_metadata.file_path").alias("_path"))
-    return located.select("_row.*", "_path")
-
-
-def read_raw(
+def read_lines(
     spark: SparkSession,
     folder: str,
     columns: Sequence[str],
     run_id: str,
     file_name: str = "*",
-    file_format: str = "csv",
     options: Mapping[str, str] | None = None,
     archive_dir: str | None = None,
     stamps: Sequence[str] = BATCH_STAMPS,
 ) -> DataFrame:
-    """Stream of the new files of a folder as declared text columns with provenance.
+    """Stream of the new JSON-lines files of a folder as declared text columns with provenance, whatever their age.
 
-    ``file_format``: ``csv`` (with header; surplus cells are rescued), ``json``
-    (whole documents or arrays) or ``jsonl`` (one object per line). ``options``
-    override the defaults. With ``archive_dir`` a file is moved there once a
-    later batch has confirmed it.
+    ``options`` override the defaults. With ``archive_dir`` a file is moved there once a later batch has confirmed it. CSV files
+    and whole JSON documents, whose columns each file names itself, are read by ``ingest.ingest_files``.
     """
-    defaults = {"pathGlobFilter": file_name}
+    defaults = {"pathGlobFilter": file_name, **ANY_AGE}
     if archive_dir:
         defaults |= {"cleanSource": "archive", "sourceArchiveDir": archive_dir}
-    reader = spark.readStream
-    kind = file_format.lower()
-    if kind == "csv":
-        defaults |= {"header": "true", "columnNameOfCorruptRecord": RESCUED}
-        rows = reader.options(**{**defaults, **(options or {})}).schema(text_schema([*columns, RESCUED])).csv(folder)
-        return with_provenance(rows, run_id, stamps)
-    if kind == "json":
-        defaults["wholetext"] = "true"
-    elif kind != "jsonl":
-        raise ValueError(f"unknown file format {file_format!r}")
-    lines = reader.format("text").options(**{**defaults, **(options or {})}).load(folder)
-    if kind == "json":
-        rows = _declared(_documents(lines), "_fields", "_record", columns)
-    else:
-        located = lines.select(F.col("value").alias("_record"), F.col("_metadata.file_path").alias("_path"))
-        rows = with_rescued(located, "_record", columns)
-    return with_provenance(rows, run_id, stamps, "_path").drop("_path")
+    lines = spark.readStream.format("text").options(**{**defaults, **(options or {})}).load(folder)
+    located = lines.select(F.col("value").alias("_record"), F.col("_metadata.file_path").alias("_path"))
+    return with_provenance(with_rescued(located, "_record", columns), run_id, stamps, "_path").drop("_path")
 
 
 def read_swipes(spark: SparkSession, folder: str, columns: Sequence[str], run_id: str, **options: str) -> DataFrame:
     """Stream of card swipes from JSON-lines files."""
-    return read_raw(spark, folder, columns, run_id, "*.jsonl", "jsonl", options, stamps=SWIPE_STAMPS)
+    return read_lines(spark, folder, columns, run_id, "*.jsonl", options, stamps=SWIPE_STAMPS)
 
 
 def control_table(spark: SparkSession, path: str) -> DataFrame:
@@ -126,10 +99,17 @@ def has_files(spark: SparkSession, folder: str, file_name: str = "*") -> bool:
     try:
         files = spark.read.format("binaryFile").option("pathGlobFilter", file_name).load(folder)
         return not files.select("path").isEmpty()
-    except AnalysisException:
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
         return False
 
 
+def is_missing(error: AnalysisException) -> bool:
+    """Whether a path is not there, as opposed to not being readable."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def bronze_schema(columns: Sequence[str], stamps: Sequence[str] = BATCH_STAMPS) -> T.StructType:
     """Columns of a bronze table: the declared ones, rescued fields, provenance."""
     ingested, file, run = stamps
@@ -137,26 +117,15 @@ def bronze_schema(columns: Sequence[str], stamps: Sequence[str] = BATCH_STAMPS)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A stored table. With a schema, columns that older files lack are NULL, at no extra listing."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan to all cores if its files give fewer tasks than that.
-
-    For row-wise work that costs far more than the shuffle. A scan with at
-    least as many tasks as cores, as any large table has, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A stored table. With a schema it has exactly those columns: what older files lack is NULL, at no extra listing."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names) if schema else spark.read.parquet(path)
 
 
 def stream_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None, max_files: int | None = None
 ) -> DataFrame:
     """Stream of the rows appended to a stored table."""
-    reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
+    reader = spark.readStream.schema(schema or spark.read.parquet(path).schema).options(**ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)

@@ -5,6 +5,7 @@ import pytest
 
 from riskflow.session import work_folder
 from riskflow.sources import readers
+from riskflow.sources.ingest import ingest_files
 from riskflow.sources.writers import append_available_now, write_clustered, write_table
 
 
@@ -14,10 +15,13 @@ def write(path, text):
         f.write(text)
 
 
-def ingest(spark, tmp_path, **kw):
-    raw = readers.read_raw(spark, f"{tmp_path}/in", ["a", "b"], "run-1", **kw)
-    append_available_now(raw, f"{tmp_path}/out", f"{tmp_path}/cp", timeout=300)
-    return spark.read.parquet(f"{tmp_path}/out")
+def ingest(spark, tmp_path, file_format="csv", **kw):
+    if file_format == "jsonl":
+        raw = readers.read_lines(spark, f"{tmp_path}/in", ["a", "b"], "run-1", **kw)
+        append_available_now(raw, f"{tmp_path}/out", f"{tmp_path}/cp", timeout=300)
+    else:
+        ingest_files(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/cp", ["a", "b"], "run-1", file_format=file_format, timeout=300, **kw)
+    return spark.read.option("mergeSchema", True).parquet(f"{tmp_path}/out")
 
 
 def rows(df):
@@ -46,8 +50,55 @@ def test_json_documents(spark, tmp_path):
     write(f"{tmp_path}/in/2.json", json.dumps({"b": "only"}, indent=2))
     write(f"{tmp_path}/in/3.json", "{broken")
     out = ingest(spark, tmp_path, file_format="json")
-    found = {(r.a, r.b, r._rescued_data) for r in out.collect()}
-    assert found == {("1", "2.5", None), ("3", None, '{"new":"{\\"x\\":[1]}"}'), (None, "only", None), (None, None, "{broken")}
+    found = {(r.a, r.b, r.new, r._rescued_data) for r in out.collect()}
+    assert found == {("1", "2.5", None, None), ("3", None, '{"x":["1"]}', None), (None, "only", None, None), (None, None, None, "{broken")}
+
+
+def test_json_that_is_broken_throughout(spark, tmp_path):
+    write(f"{tmp_path}/in/1.json", "{broken")
+    out = ingest(spark, tmp_path, file_format="json")
+    assert rows(out) == [(None, None, "{broken")]
+
+
+def test_columns_go_by_name(spark, tmp_path):
+    write(f"{tmp_path}/in/1.csv", "a,b\n1,x\n")
+    write(f"{tmp_path}/in/2.csv", "b,a\ny,2\n")
+    write(f"{tmp_path}/in/3.csv", 'a,"new one",B\n3,n,z\n4,"n, m",w,surplus\n')
+    write(f"{tmp_path}/in/4.csv", "b\nonly\n")
+    out = ingest(spark, tmp_path)
+    assert {(r.a, r.b, r["new one"]) for r in out.collect()} == {
+        ("1", "x", None), ("2", "y", None), ("3", "z", "n"), ("4", "w", "n, m"), (None, "only", None)
+    }
+    assert [r._rescued_data for r in out.where("a = 4").collect()] == ['4,"n, m",w,surplus']
+    declared = readers.read_table(spark, f"{tmp_path}/out", readers.bronze_schema(["a", "b"]))
+    assert declared.columns == ["a", "b", "_rescued_data", *readers.BATCH_STAMPS] and declared.count() == 5
+
+
+def test_old_files_are_not_skipped_and_no_file_twice(spark, tmp_path):
+    write(f"{tmp_path}/in/new.csv", "a,b\n1,x\n")
+    assert ingest(spark, tmp_path).count() == 1
+    write(f"{tmp_path}/in/back.csv", "a,b\n2,y\n")
+    os.utime(f"{tmp_path}/in/back.csv", (1e9, 1e9))
+    assert rows(ingest(spark, tmp_path)) == [("1", "x", None), ("2", "y", None)]
+    assert ingest(spark, tmp_path).count() == 2
+
+
+def test_old_lines_are_not_skipped(spark, tmp_path):
+    kw = {"file_format": "jsonl"}
+    write(f"{tmp_path}/in/new.jsonl", '{"a":"1"}\n')
+    ingest(spark, tmp_path, **kw)
+    write(f"{tmp_path}/in/back.jsonl", '{"a":"2"}\n')
+    os.utime(f"{tmp_path}/in/back.jsonl", (1e9, 1e9))
+    assert ingest(spark, tmp_path, **kw).count() == 2
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, tmp_path):
+    write(f"{tmp_path}/in/1.csv", "a,b\n1,x\n")
+    ingest(spark, tmp_path)
+    os.remove(f"{tmp_path}/cp/commits/0")
+    for f in os.listdir(f"{tmp_path}/cp/commits"):
+        os.remove(f"{tmp_path}/cp/commits/{f}")
+    assert ingest(spark, tmp_path).count() == 1
 
 
 def test_json_lines_and_incremental_runs(spark, tmp_path):
@@ -63,7 +114,14 @@ def test_json_lines_and_incremental_runs(spark, tmp_path):
 
 def test_unknown_format(spark, tmp_path):
     with pytest.raises(ValueError, match="xml"):
-        readers.read_raw(spark, str(tmp_path), ["a"], "r", file_format="xml")
+        ingest(spark, tmp_path, file_format="xml")
+
+
+def test_an_unreadable_folder_is_no_missing_one(spark, tmp_path):
+    write(f"{tmp_path}/t/part.parquet", "no parquet")
+    with pytest.raises(Exception) as e:
+        readers.has_files(spark, "nosuchscheme://x/y")
+    assert "nosuchscheme" in str(e.value)
 
 
 def test_archive_moves_confirmed_files(spark, tmp_path):
