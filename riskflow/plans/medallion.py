@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from riskflow.operators import alerts, calendar, history, quality, watchlist
 from riskflow.operators.rules import Clock
 from riskflow.plans import gold
-from riskflow.plans.silver import ACCOUNTS, CUSTOMERS, SANCTIONS, TRANSACTIONS, Domain
-from riskflow.sources import readers, schemas
+from riskflow.plans.silver import ACCOUNTS, CUSTOMERS, SANCTIONS, SWIPES, TRANSACTIONS, Domain
+from riskflow.sources import ingest, readers, schemas
 from riskflow.sources.lakehouse import FAILED, IN_PROGRESS, SUCCEEDED, Lakehouse
 from riskflow.sources.writers import append_available_now
 from riskflow.streaming.flows import REJECTED, VALID, SwipeFlows
@@ -52,9 +52,12 @@ class Medallion:
         self.lake = Lakehouse(spark, root, run_id)
         self.swipes = SwipeFlows(spark, f"{self.lake.root}/swipes", clock, timeout)
         self.cluster_by: dict[str, Sequence[str]] = dict(CLUSTER_BY)
+        # Cluster keys that a source names and its silver table does not have.
+        self.unknown_keys: dict[str, list[str]] = {}
 
     @contextmanager
     def logged(self, name: str):
+        self.lake.begin(name)
         self.lake.report(name, IN_PROGRESS)
         try:
             yield
@@ -100,18 +103,19 @@ class Medallion:
         try:
             if not readers.has_files(self.spark, f"{raw_root}/{folder}", files):
                 return SourceResult(table, skipped=True)
-            raw = readers.read_raw(
-                self.spark,
-                f"{raw_root}/{folder}",
-                schemas.FEEDS[table],
-                self.run_id,
-                files,
-                source.file_format,
-                archive_dir=f"{archive_root}/{folder}/{self.lake.started:%Y/%m/%d}" if archive_root else None,
-            )
-            append_available_now(
-                raw, self.lake.path("bronze", table), f"{self.lake.root}/_checkpoints/{table}", timeout=self.timeout
-            )
+            out = self.lake.path(source.target_schema or "bronze", table)
+            checkpoint = f"{self.lake.root}/_checkpoints/{table}"
+            archive = f"{archive_root}/{folder}/{self.lake.started:%Y/%m/%d}" if archive_root else None
+            # A table that no feed declares has the columns its files name.
+            columns = schemas.FEEDS.get(table, ())
+            where = f"{raw_root}/{folder}"
+            if source.file_format.lower() == "jsonl":
+                raw = readers.read_lines(self.spark, where, columns, self.run_id, files, archive_dir=archive)
+                append_available_now(raw, out, checkpoint, timeout=self.timeout)
+            else:
+                ingest.ingest_files(
+                    self.spark, where, out, checkpoint, columns, self.run_id, files, source.file_format, None, archive, timeout=self.timeout
+                )
             return SourceResult(table)
         except Exception as e:  # recorded per source, raised for all at the end
             return SourceResult(table, str(e))
@@ -128,6 +132,8 @@ class Medallion:
             self.lake.publish("silver", "sanction_hits", watchlist.hits(customers, sanctions))
             if with_swipes:
                 self.swipes.to_silver(known)
+                metrics = quality.expectation_metrics(self.swipes.read("silver_card_swipes"), SWIPES.name, self.clock)
+                self.lake.publish("monitoring", "dq_swipes", metrics)
 
     def _latest(self, domain: Domain, references: Mapping[str, DataFrame]) -> DataFrame:
         """Accepted newest rows of a domain; stores the rejected rows and the metrics.
@@ -147,7 +153,10 @@ class Medallion:
         return domain.latest(staged.where(F.col("outcome") == VALID).drop("outcome"))
 
     def _cluster_keys(self, domain: Domain, df: DataFrame) -> list[str]:
-        """The keys as far as the table has them; a wrong key costs order, not the run."""
+        """The keys as far as the table has them; a wrong key costs order, not the run, and is noted."""
+        unknown = [k for k in self.cluster_by[domain.name] if k not in df.columns]
+        if unknown:
+            self.unknown_keys[domain.name] = unknown
         return [k for k in self.cluster_by[domain.name] if k in df.columns]
 
     def _publish_silver(self, domain: Domain, df: DataFrame) -> DataFrame:
@@ -179,18 +188,22 @@ class Medallion:
 
     # -- gold --
 
+    def _silver_run(self) -> str:
+        """The newest state of silver: this run's if it has one."""
+        return self.lake.finished_runs("silver")[-1]
+
     def gold(self, with_swipes: bool = False) -> None:
         with self.logged("gold"):
             lake, clock = self.lake, self.clock
-            customers = lake.open_rows("silver", "dim_customers").drop(history.START, history.END)
+            customers = lake.open_rows("silver", "dim_customers", self._silver_run()).drop(history.START, history.END)
             lake.publish("gold", "dim_customers", gold.dim_customers(lake.history("silver", "dim_customers"), clock))
             lake.publish("gold", "dim_accounts", gold.dim_accounts(lake.history("silver", "dim_accounts"), clock=clock))
             lake.publish("gold", "dim_date", calendar.dim_date(self.spark))
             transactions = lake.publish(
-                "gold", "fact_transactions", gold.fact_transactions(lake.previous("silver", "transactions"), clock=clock)
+                "gold", "fact_transactions", gold.fact_transactions(lake.read("silver", "transactions", self._silver_run()), clock=clock)
             )
             hits = lake.publish(
-                "gold", "dim_sanction_hits", gold.dim_sanction_hits(lake.previous("silver", "sanction_hits"), clock=clock)
+                "gold", "dim_sanction_hits", gold.dim_sanction_hits(lake.read("silver", "sanction_hits", self._silver_run()), clock=clock)
             )
             lake.publish("gold", "sanction_alerts_transactions", watchlist.alerts_on_transactions(hits, transactions))
             if with_swipes:

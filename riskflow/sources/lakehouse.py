@@ -1,12 +1,13 @@
 """Tables of a lakehouse as versioned Parquet folders, and the log of runs.
 
-A table keeps one folder per run (``run=<id>``); what readers see is decided by
-the run log, so a failed run leaves nothing behind that anyone reads, and no
-table is ever overwritten while it is read.
+A table keeps one folder per run and attempt (``run=<id>/attempt=<id>``); what readers see is decided by the run log, so a
+failed run leaves nothing behind that anyone reads, and no table is ever overwritten: a step that is run again writes new
+folders, and its last attempt that succeeded counts.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
@@ -15,9 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.operators.history import END
+from riskflow.sources.readers import is_missing
 from riskflow.sources.writers import write_clustered, write_table
 
-RUN_LOG = "RunId string, PipelineName string, Status string, Start timestamp, TimeGenerated timestamp"
+RUN_LOG = "RunId string, PipelineName string, Status string, Start timestamp, TimeGenerated timestamp, Attempt string"
+# The step that writes a layer.
+STEP = {"staging": "silver", "silver": "silver", "monitoring": "silver", "gold": "gold"}
 IN_PROGRESS, SUCCEEDED, FAILED = "InProgress", "Succeeded", "Failed"
 OPEN, CLOSED = "open", "closed"
 
@@ -28,30 +32,52 @@ class Lakehouse:
     def __init__(self, spark: SparkSession, root: str, run_id: str):
         self.spark, self.root, self.run_id = spark, root.rstrip("/"), run_id
         self.started = datetime.now(timezone.utc)
+        # Steps of this run that are under way or done, by their attempt.
+        self.attempts: dict[str, str] = {}
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
+    def begin(self, pipeline: str) -> None:
+        """A new attempt of a step."""
+        self.attempts[pipeline] = uuid.uuid4().hex
+
     def _run_path(self, layer: str, table: str, run: str) -> str:
-        return f"{self.path(layer, table)}/run={run}"
+        step = STEP.get(layer, layer)
+        if run == self.run_id and step in self.attempts:
+            attempt = self.attempts[step]
+        else:
+            attempt = self._succeeded(step).get(run, "none")
+        return f"{self.path(layer, table)}/run={run}/attempt={attempt}"
 
     # -- run log --
 
     def report(self, pipeline: str, status: str) -> None:
         now = datetime.now(timezone.utc)
-        row = [(self.run_id, pipeline, status, self.started, now)]
+        row = [(self.run_id, pipeline, status, self.started, now, self.attempts.get(pipeline))]
         self.spark.createDataFrame(row, RUN_LOG).coalesce(1).write.mode("append").parquet(self.path("monitoring", "run_log"))
 
     def run_log(self) -> DataFrame:
         return self.spark.read.schema(RUN_LOG).parquet(self.path("monitoring", "run_log"))
 
-    def finished_runs(self, pipeline: str) -> list[str]:
-        """Ids of succeeded runs, oldest first: one entry per run of the pipeline."""
+    def _succeeded(self, pipeline: str) -> dict[str, str]:
+        """The last succeeded attempt of each run of a step, runs in the order they first succeeded in. One row per run."""
         try:
             log = self.run_log().where((F.col("PipelineName") == pipeline) & (F.col("Status") == SUCCEEDED))
-            return [r.RunId for r in log.orderBy("TimeGenerated").select("RunId").collect()]
-        except AnalysisException:
-            return []
+            runs = log.groupBy("RunId").agg(F.min("TimeGenerated").alias("first"), F.max_by("Attempt", "TimeGenerated").alias("attempt"))
+            return {r.RunId: r.attempt for r in runs.orderBy("first", "RunId").collect()}
+        except AnalysisException as e:
+            if not is_missing(e):
+                raise
+            return {}
+
+    def finished_runs(self, pipeline: str) -> list[str]:
+        """Ids of succeeded runs, oldest first, each once."""
+        return list(self._succeeded(pipeline))
+
+    def other_runs(self, pipeline: str) -> list[str]:
+        """Succeeded runs but this one: what a retry of this run builds on."""
+        return [r for r in self.finished_runs(pipeline) if r != self.run_id]
 
     # -- tables --
 
@@ -68,8 +94,8 @@ class Lakehouse:
         return self.spark.read.parquet(self._run_path(layer, table, run))
 
     def previous(self, layer: str, table: str) -> DataFrame | None:
-        """The table as of the last succeeded run of its layer, if there is one."""
-        runs = self.finished_runs(layer)
+        """The table as of the last succeeded run of its layer other than this one, if there is one."""
+        runs = self.other_runs(STEP.get(layer, layer))
         return self.read(layer, table, runs[-1]) if runs else None
 
     # -- type 2 history --
@@ -86,8 +112,8 @@ class Lakehouse:
         write_clustered(staged.where(F.col(END).isNotNull()), f"{path}/state={CLOSED}", cluster_by)
 
     def open_rows(self, layer: str, table: str, run: str | None = None) -> DataFrame | None:
-        """Current rows as of ``run`` (default: the last succeeded one)."""
-        runs = [run] if run else self.finished_runs(layer)
+        """Current rows as of ``run`` (default: the last succeeded one other than this)."""
+        runs = [run] if run else self.other_runs(STEP.get(layer, layer))
         if not runs:
             return None
         return self.spark.read.parquet(f"{self._run_path(layer, table, runs[-1])}/state={OPEN}")

@@ -87,7 +87,9 @@ def test_two_runs(spark, landing):
     assert lake.read("silver", "rejected_accounts", "r1").first().rejected_reasons == ["CUSTOMER_NOT_FOUND"]
     assert lake.read("silver", "rejected_transactions", "r1").first().rejected_reasons == ["CUSTOMER_ID_DOES_NOT_EXIST"]
     bronze = spark.read.parquet(lake.path("bronze", "transactions"))
-    assert [r[0] for r in bronze.select("_rescued_data").where("_rescued_data is not null").collect()] == ['{"surprise":"x"}']
+    assert [r.surprise for r in bronze.where("surprise is not null").collect()] == ["x"]
+    metrics = {r.expectation: (r.passed, r.failed) for r in lake.read("monitoring", "dq_swipes", "r1").collect()}
+    assert metrics["valid_card_id"] == (2, 0)
 
     hit = lake.read("gold", "dim_sanction_hits", "r1").first()
     assert (hit.customer_id, hit.entry_id) == ("CUST000001", "SANC0001")
@@ -120,7 +122,7 @@ def test_two_runs(spark, landing):
 
     moved = list((landing / "archive" / "customers").glob("20??/??/??/**/c1.csv"))
     assert len(moved) == 1 and not (landing / "raw" / "customers" / "c1.csv").exists()
-    assert second.cluster_by["transactions"] == ["city", "no_such_column"]
+    assert second.unknown_keys == {"transactions": ["no_such_column"]}
 
     log = {(r.RunId, r.PipelineName, r.Status) for r in second.lake.run_log().collect()}
     assert ("r1", "master", "Succeeded") in log and ("r2", "gold", "Succeeded") in log
@@ -143,3 +145,48 @@ def test_source_without_files_is_skipped(spark, landing):
     write(landing / "control.json", json.dumps(control))
     results = medallion(spark, landing, "r1").ingest(str(landing / "control.json"), str(landing / "raw"))
     assert [r.table for r in results if r.skipped] == ["customers"]
+
+
+def versions(lake):
+    history = lake.history("silver", "dim_customers").collect()
+    return sorted((r.customer_id, r.risk_tier, r[END] is not None) for r in history)
+
+
+def test_history_survives_a_retry(spark, landing):
+    control, raw = str(landing / "control.json"), str(landing / "raw")
+    first = medallion(spark, landing, "r0")
+    first.run(control, raw)
+    write(landing / "raw" / "customers" / "c2.csv", customers_csv(ALI.replace("high", "low")))
+    second = medallion(spark, landing, "r1")
+    second.ingest(control, raw)
+    second.silver()
+    want = [("CUST000001", "HIGH", True), ("CUST000001", "LOW", False), ("CUST000002", "LOW", False)]
+    assert versions(second.lake) == want
+    # Gold failed: the run's silver step is taken again, by the same process and by another one.
+    second.silver()
+    assert versions(second.lake) == want
+    third = medallion(spark, landing, "r1")
+    third.silver()
+    third.gold()
+    assert versions(third.lake) == want
+    assert third.lake.finished_runs("silver") == ["r0", "r1"]
+    assert third.lake.read("gold", "dim_customers", "r1").count() == 3
+
+
+def test_a_log_that_cannot_be_read_is_no_empty_log(spark, landing):
+    m = medallion(spark, landing, "r1")
+    assert m.lake.finished_runs("silver") == []
+    write(landing / "lake" / "monitoring" / "run_log" / "part-0.parquet", "no parquet")
+    with pytest.raises(Exception):
+        m.lake.finished_runs("silver")
+
+
+def test_any_source_of_the_control_table(spark, landing):
+    control = json.loads((landing / "control.json").read_text())
+    control = [{**control[0], "source_folder": "branches", "target_table": "branches", "target_schema": "extra"}]
+    write(landing / "control.json", json.dumps(control))
+    write(landing / "raw" / "branches" / "b.csv", "branch_id,city\n7,Dubai\n")
+    m = medallion(spark, landing, "r1")
+    m.ingest(str(landing / "control.json"), str(landing / "raw"))
+    row = spark.read.parquet(m.lake.path("extra", "branches")).first()
+    assert (row.branch_id, row.city, row.adf_run_id) == ("7", "Dubai", "r1")
