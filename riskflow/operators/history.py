@@ -13,14 +13,15 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 START, END = "__START_AT", "__END_AT"
 
 # Stamps that change on every run; comparing them would make every row new.
 RUN_STAMPS = ("_silver_processed_at", "_ingested_at", "source_file", "adf_run_id")
 
-# More versions than this are not held by the driver; they are joined instead.
-MAX_LISTED_VERSIONS = 100_000
+# Versions are ordered in groups of up to this many bits of their number.
+LEVEL_BITS = 22
 
 
 def tracked_columns(df: DataFrame, keys: Sequence[str], ignore: Collection[str] = RUN_STAMPS) -> list[str]:
@@ -42,19 +43,20 @@ def scd2_from_snapshots(
 
     One shuffle by key and one sort serve all window steps. A key has at most
     one row per snapshot, so no group outgrows the number of snapshots.
-    ``versions`` may name all versions if the caller knows them.
+    ``versions`` may name all versions if the caller knows them; they must be named if they are neither numbers nor times.
     """
     compared = list(tracked) if tracked is not None else tracked_columns(snapshots, [*keys, version])
-    numbered = snapshots.join(_version_list(snapshots, version, versions), version)
+    followed = snapshots.join(_followers(snapshots, version, versions), version)
 
-    by_version = Window.partitionBy(*keys).orderBy("_number")
+    by_version = Window.partitionBy(*keys).orderBy(version)
     state = F.struct(*compared) if compared else F.lit(True)
+    next_version, next_state = F.lead(version).over(by_version), F.lead("_state").over(by_version)
     edges = (
-        numbered.withColumn("_state", state)
+        followed.withColumn("_state", state)
         .withColumns(
             {
-                "_opens": _breaks(F.lag("_number").over(by_version) + 1, F.lag("_state").over(by_version)),
-                "_closes": _breaks(F.lead("_number").over(by_version) - 1, F.lead("_state").over(by_version)),
+                "_opens": ~(F.lag("_next").over(by_version).eqNullSafe(F.col(version)) & F.lag("_state").over(by_version).eqNullSafe(F.col("_state"))),
+                "_closes": ~(next_version.isNotNull() & next_version.eqNullSafe(F.col("_next")) & next_state.eqNullSafe(F.col("_state"))),
             }
         )
         .where("_opens or _closes")
@@ -65,37 +67,53 @@ def scd2_from_snapshots(
         edges.withColumn(END, own_end)
         .where("_opens")
         .withColumnRenamed(version, START)
-        .drop("_number", "_next", "_state", "_opens", "_closes")
+        .drop("_next", "_state", "_opens", "_closes")
         .select(*keys, *[c for c in snapshots.columns if c not in {*keys, version}], START, END)
     )
 
 
-def _breaks(neighbour: Column, state: Column) -> Column:
-    same = neighbour.eqNullSafe(F.col("_number")) & state.eqNullSafe(F.col("_state"))
-    return ~same
+def _order_number(versions: DataFrame, version: str) -> Column:
+    """A whole number that orders the versions."""
+    kind = versions.schema[version].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.col(version).cast("bigint")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(version).cast("bigint")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(version).cast("timestamp"))
+    raise TypeError(f"versions must be whole numbers, dates or times, or be listed; {version} is {kind.simpleString()}")
 
 
-def _version_list(snapshots: DataFrame, version: str, versions: Sequence[Any] | None) -> DataFrame:
-    """(version, _number, _next) for every version.
+def _followers(snapshots: DataFrame, version: str, versions: Sequence[Any] | None) -> DataFrame:
+    """(version, _next): for every version the one after it, NULL for the last.
 
-    There is one row per snapshot taken, not per data row. A list up to the
-    bound goes through the driver and is broadcast, its size being known; a
-    longer one is ranked in Spark and joined as the planner sees fit.
+    Versions named by the caller become a literal table. Otherwise they are ordered like digits: within groups that agree in all
+    but the lowest bits of their number; the first versions of these groups within groups that agree in all but the next bits;
+    and so on. No group has more than 2 ** LEVEL_BITS rows, and nothing goes through the driver.
     """
-    distinct = snapshots.select(version).distinct()
-    if versions is None:
-        head = distinct.limit(MAX_LISTED_VERSIONS + 1).collect()
-        versions = sorted(r[0] for r in head)
-    if len(versions) <= MAX_LISTED_VERSIONS:
+    if versions is not None:
         ordered = sorted(versions)
-        rows = [(v, n, after) for n, (v, after) in enumerate(zip(ordered, [*ordered[1:], None]))]
         kind = snapshots.schema[version].dataType.simpleString()
-        listed = snapshots.sparkSession.createDataFrame(rows, f"`{version}` {kind}, _number int, _next {kind}")
-        return F.broadcast(listed)
-    in_order = Window.orderBy(version)
-    return distinct.select(
-        version, F.row_number().over(in_order).alias("_number"), F.lead(version).over(in_order).alias("_next")
-    )
+        rows = list(zip(ordered, [*ordered[1:], None]))
+        return snapshots.sparkSession.createDataFrame(rows, f"`{version}` {kind}, _next {kind}")
+    level = snapshots.select(version).distinct()
+    level = level.select(F.col(version).alias("_first"), _order_number(level, version).alias("_key"))
+    levels = []
+    for _ in range(0, 64, LEVEL_BITS):
+        above = F.shiftright("_key", LEVEL_BITS)
+        within = Window.partitionBy("_above").orderBy("_key")
+        # The highest level has one group of 2 ** LEVEL_BITS numbers at most, negative ones first.
+        ordered = level.withColumn("_above", above if len(levels) < 64 // LEVEL_BITS else F.pmod(F.col("_key"), F.lit(1)))
+        ordered = ordered.withColumn("_after", F.lead("_first").over(within))
+        levels.append(ordered)
+        level = ordered.groupBy("_above").agg(F.min("_first").alias("_first")).withColumnRenamed("_above", "_key")
+    # From the top down: who is last in a group is followed by the first of the next group.
+    found = levels[-1].select("_key", "_after")
+    for ordered in reversed(levels[:-1]):
+        upper = found.select(F.col("_key").alias("_above"), F.col("_after").alias("_over"))
+        joined = ordered.join(upper, "_above")
+        found = joined.select("_key", "_first", F.coalesce("_after", "_over").alias("_after"))
+    return found.select(F.col("_first").alias(version), F.col("_after").alias("_next"))
 
 
 def scd2_changes(

@@ -35,11 +35,32 @@ def test_insert_change_delete_return(spark):
     }
 
 
-def test_versions_beyond_the_list_bound_are_joined(spark, monkeypatch):
-    rows = [("a", random.Random(i).choice("xy"), "i", i) for i in range(20) if i % 7]
-    expected = full(spark, rows)
-    monkeypatch.setattr(history, "MAX_LISTED_VERSIONS", 3)
-    assert full(spark, rows) == expected
+@pytest.mark.parametrize("kind", ["int", "bigint", "date", "timestamp", "timestamp_ntz"])
+def test_versions_are_followed_in_order(spark, kind):
+    rng = random.Random(kind)
+    numbers = sorted({rng.choice([1, 3, 10**4, 10**5, 3 * 10**6]) * rng.randrange(1, 200) for _ in range(60)})
+    make = {
+        "date": "date_from_unix_date(cast(n % 3000000 as int))",
+        "timestamp": "timestamp_micros(n * 1000003)",
+        "timestamp_ntz": "cast(timestamp_micros(n * 1000003) as timestamp_ntz)",
+    }.get(kind, f"cast(n - 50000 as {kind})")
+    df = spark.createDataFrame([(n,) for n in numbers], "n bigint").selectExpr(f"{make} AS v")
+    ordered = sorted(r.v for r in df.distinct().collect())
+    got = {r.v: r["_next"] for r in history._followers(df, "v", None).collect()}
+    assert got == dict(zip(ordered, [*ordered[1:], None]))
+
+
+def test_version_order_takes_no_single_partition_and_no_job(spark):
+    df = spark.createDataFrame([("a", "x", "i", 1)], SNAPSHOT)
+    plan = history.scd2_from_snapshots(df, ["k"], "version")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_versions_that_have_no_number_must_be_named(spark):
+    df = spark.createDataFrame([("a", "x", "i", "v1"), ("a", "y", "i", "v2")], "k string, v string, _ingested_at string, version string")
+    with pytest.raises(TypeError):
+        history.scd2_from_snapshots(df, ["k"], "version")
+    assert as_set(history.scd2_from_snapshots(df, ["k"], "version", versions=["v1", "v2"])) == {("a", "x", "v1", "v2"), ("a", "y", "v2", None)}
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -74,4 +95,4 @@ def test_current_rows(spark):
 def test_full_history_shuffles_once_by_key(spark):
     df = spark.createDataFrame([("a", "x", "i", 1)], SNAPSHOT)
     plan = history.scd2_from_snapshots(df, ["k"], "version")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("+- Sort [") == 1
+    assert plan.count("Exchange hashpartitioning(k#") == 1 and plan.count("+- Sort [k#") == 1
