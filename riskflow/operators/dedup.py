@@ -42,25 +42,34 @@ def stream_dedup(
     event_time: str = "swipe_timestamp",
     delay: str = "24 hours",
     exact: bool = False,
-    spread: int = 8,
+    spread: int | None = None,
 ) -> DataFrame:
     """Drop repeated keys from a stream.
 
-    By default a key is remembered until the watermark has moved ``delay``
-    past its first event, so state stays bounded by one delay's worth of keys.
-    ``exact=True`` remembers every key for good: nothing ever repeats, and the
-    state grows with the stream.
+    By default a key is remembered until the watermark has moved ``delay`` past its first event, so state stays bounded by one
+    delay's worth of keys; rows behind the watermark are dropped (``late_rows`` finds them). ``exact=True`` sets no watermark:
+    every key is remembered for good, nothing repeats, nothing is dropped, and the state grows with the stream.
 
-    A streaming shuffle has no map-side combine, so a key repeated in a third
-    of the rows would all reach one task. With ``spread > 1`` copies are first
-    dropped within (key, input partition modulo spread), which lets at most
-    ``spread`` copies of a key through to the final step. The partition number
-    is a property of the task, hence stable when a task is run again.
+    A streaming shuffle has no map-side combine, so a key repeated in a third of the rows would all reach one task. With
+    ``spread > 1`` copies are first dropped within (key, input partition modulo spread), which lets at most ``spread`` copies of a
+    key through to the final step. By default that is the number of state partitions (``spark.sql.shuffle.partitions`` when the
+    query first starts): a hot key is then dealt to as many tasks as there are, and a key that does not repeat costs the same at
+    any spread. The partition number is a property of the task, hence stable when a task is run again.
     """
-    marked = df.withWatermark(event_time, delay)
+    if spread is None:
+        spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    marked = df if exact else df.withWatermark(event_time, delay)
     if spread > 1:
         marked = marked.withColumn("_spread", F.pmod(F.spark_partition_id(), F.lit(spread)))
     drop = DataFrame.dropDuplicates if exact else DataFrame.dropDuplicatesWithinWatermark
     if spread > 1:
         marked = drop(marked, [key, "_spread"]).drop("_spread")
     return drop(marked, [key])
+
+
+def late_rows(df: DataFrame, accepted: DataFrame, key: str = "swipe_id") -> DataFrame:
+    """Rows of a stream that ``stream_dedup`` dropped for being behind the watermark, once it has seen the same input.
+
+    A row it dropped as a copy has its key among the ``accepted``; the key of a late row is not there.
+    """
+    return df.join(accepted.select(key).distinct(), key, "left_anti")

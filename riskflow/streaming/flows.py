@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from riskflow.operators import alerts, quality, watchlist
-from riskflow.operators.dedup import stream_dedup
+from riskflow.operators.dedup import late_rows, stream_dedup
 from riskflow.operators.rules import Clock
 from riskflow.plans import gold
 from riskflow.plans.silver import SWIPES
@@ -66,7 +66,9 @@ class SwipeFlows:
         validated = SWIPES.validate(cleaned, references, self.clock)
         observed = quality.observe_expectations(validated, SWIPES.name, "swipes", self.clock)
         outcome = F.when(F.size(quality.REASONS) == 0, VALID).otherwise(REJECTED)
-        return self.append(observed.withColumn("outcome", outcome), "validated_swipes", "outcome")
+        # Few even files per outcome, however many tasks a batch has.
+        split = observed.withColumn("outcome", outcome).hint("rebalance", "outcome")
+        return self.append(split, "validated_swipes", "outcome")
 
     def outcome(self, name: str) -> DataFrame:
         return self.stream("validated_swipes").where(F.col("outcome") == name).drop("outcome")
@@ -75,6 +77,11 @@ class SwipeFlows:
         """Valid swipes, one row per swipe."""
         return self.append(stream_dedup(SWIPES.accepted(self.outcome(VALID)), exact=exact), "silver_card_swipes")
 
+    def late(self) -> StreamingQuery:
+        """Valid swipes behind the watermark, which ``accept`` dropped; it must have run on the same input before."""
+        stored = self.read("silver_card_swipes")
+        return self.append(late_rows(SWIPES.accepted(self.outcome(VALID)), stored), "late_card_swipes")
+
     def reject(self) -> StreamingQuery:
         """Rejected swipes with their reasons."""
         return self.append(SWIPES.rejected(self.outcome(REJECTED), self.clock), "rejected_card_swipes")
@@ -97,6 +104,7 @@ class SwipeFlows:
     def to_silver(self, references: Mapping[str, DataFrame], exact: bool = False) -> None:
         self.validate(references)
         self.accept(exact)
+        self.late()
         self.reject()
 
     def to_gold(self, customers: DataFrame, sanction_hits: DataFrame) -> None:

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from riskflow.operators import alerts, quality
-from riskflow.operators.dedup import stream_dedup
+from riskflow.operators.dedup import late_rows, stream_dedup
 from riskflow.sources.readers import stream_table
 from riskflow.sources.writers import append_available_now
 
@@ -80,6 +80,26 @@ def test_dedup_within_watermark_and_exact(spark, tmp_path):
     assert ids(bounded) == ids(single) == ["1", "1", "2", "3", "4"]  # swipe 1 came back after its day had passed
 
 
+def test_no_swipe_disappears(spark, tmp_path):
+    """Accepted, late and copies are the whole input, over several batches and runs."""
+    feed = Feed(spark, tmp_path)
+    day = 24 * 60
+    batches = [
+        [("A", "x", "1", 10 * day), ("A", "x", "1", 10 * day + 1), ("A", "x", "2", 10 * day)],
+        [("A", "x", "3", day), ("A", "x", "4", 10 * day + 2)],
+        [("A", "x", "5", 2 * day), ("A", "x", "5", 2 * day), ("A", "x", "1", 10 * day + 3), ("A", "x", "6", 11 * day)],
+    ]
+    for batch in batches:
+        feed.arrive(*batch)
+        accepted = feed.run(stream_dedup, "accepted")
+        late = feed.run(lambda s: late_rows(s, accepted), "late")
+        exact = feed.run(lambda s: stream_dedup(s, exact=True), "exact")
+    assert ids(accepted) == ["1", "2", "4", "6"] and ids(late) == ["3", "5", "5"]
+    assert ids(exact) == ["1", "2", "3", "4", "5", "6"]
+    copies = feed.all().join(accepted.select("swipe_id"), "swipe_id", "left_semi").count() - accepted.count()
+    assert accepted.count() + late.count() + copies == feed.all().count()
+
+
 def test_hot_key_is_spread_before_the_final_step(spark, tmp_path):
     rows = [("A", "x", "hot" if i % 3 == 0 else str(i), i % 50) for i in range(3000)]
     frame = spark.createDataFrame([(c, t, s, START + dt.timedelta(minutes=m)) for c, t, s, m in rows], SCHEMA)
