@@ -44,8 +44,10 @@ def late_runs(
     an aggregate with map-side combine: a run with very many reports sends one
     row per task. Minutes count crossed minute boundaries.
     """
+    # Of reports at one instant a finished one is the later, then the greater status.
+    finished = F.col("Status") != "InProgress"
     latest = runs.groupBy("RunId").agg(
-        F.max_by(F.struct("PipelineName", "Status", "Start"), "TimeGenerated").alias("_last"),
+        F.max_by(F.struct("PipelineName", "Status", "Start"), F.struct("TimeGenerated", finished, "Status")).alias("_last"),
         F.max("TimeGenerated").alias("TimeGenerated"),
     )
 

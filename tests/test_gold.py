@@ -89,6 +89,13 @@ def test_late_runs(spark):
     assert {(r.PipelineName, r.late_runs) for r in counts} == {("ingest", 1), ("silver", 1)}
 
 
+def test_late_runs_with_equal_times_do_not_depend_on_order(spark):
+    rows = [("r", "ingest", "InProgress", at(30), at(5)), ("r", "ingest", "Succeeded", at(30), at(5)), ("s", "ingest", "InProgress", at(30), at(5))]
+    for some in (rows, rows[::-1]):
+        late = monitoring.late_runs(spark.createDataFrame(some, RUNS).coalesce(1), clock=clock())
+        assert [r.RunId for r in late.collect()] == ["s"]
+
+
 def test_sliding_breaches(spark):
     base = dt.datetime(2024, 6, 1, 10)
     rows = [("r", "gold", "Failed", base, base + dt.timedelta(minutes=m)) for m in (3, 12)]
