@@ -15,6 +15,8 @@ SETTINGS = {
     # A join side is broadcast only while its estimated (static) or measured
     # (adaptive) size stays under this bound; beyond it the join shuffles.
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # Files hold their rows compressed: the bound is on bytes in memory.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     # Deduplication keys of a whole day do not fit in executor heap.
     "spark.sql.streaming.stateStore.providerClass": (
@@ -24,18 +26,32 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-# On a cluster shuffles start out fine enough for large inputs; adaptive
-# execution merges what turns out small.
-CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000"}
+# A partition of a shuffle should hold about this much; adaptive execution merges what turns out small.
+SHUFFLE_BYTES = 128 * 1024 * 1024
 
 
-def build_session(app_name: str = "riskflow", master: str | None = None, **conf: str) -> SparkSession:
-    """Create a session with the engine's settings; ``conf`` wins over them."""
+def shuffle_settings(input_bytes: int) -> dict[str, str]:
+    """How finely shuffles of so much input start out. Stateful streams do not run adaptively and keep their number for good,
+    so it is set before their first start."""
+    partitions = str(max(200, -(-input_bytes // SHUFFLE_BYTES)))
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": partitions,
+        "spark.sql.shuffle.partitions": partitions,
+    }
+
+
+def build_session(
+    app_name: str = "riskflow", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """Create a session with the engine's settings; ``conf`` wins over them.
+
+    ``input_bytes``: what the largest job reads; sizes its shuffles. Without it Spark's own default holds.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    local = master is not None and master.startswith("local")
-    for key, value in {**SETTINGS, **({} if local else CLUSTER_SETTINGS), **conf}.items():
+    sized = shuffle_settings(input_bytes) if input_bytes else {}
+    for key, value in {**SETTINGS, **sized, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

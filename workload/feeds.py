@@ -12,7 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskflow.sources.readers import read_table, spread
+from riskflow.sources.readers import read_table
 
 # The instant all check queries take as now.
 NOW = "2024-02-01 00:00:00"
@@ -23,7 +23,8 @@ def _digits(x: str, n: int) -> str:
 
 
 def _twice(columns: str, table: str) -> str:
-    return f"(SELECT {columns}, 1 AS delivery FROM {{{table}}} UNION ALL SELECT {columns}, 2 AS delivery FROM {{{table}}}) AS t"
+    """Every row two times after one scan: deliveries 1 and 2, from two literal rows."""
+    return f"(SELECT {columns}, delivery FROM {{{table}}}, (VALUES (1), (2)) AS d(delivery)) AS t"
 
 
 def _mixed_date(year: str, month: str, day: str, kind: str) -> str:
@@ -54,16 +55,17 @@ SELECT
     ELSE ' User.' || cast(k as string) || '@Bank' || cast(k % 7 as string) || '.COM ' END AS email,
   CASE WHEN k % 23 = 0 THEN NULL WHEN k % 53 = 0 THEN '' WHEN k % 59 = 0 THEN '00971' || {_digits("k", 9)}
     WHEN k % 2 = 0 THEN '+971 50 ' || {_digits("k", 7)} ELSE '05' || {_digits("k", 8)} END AS phone,
-  CASE k % 9 WHEN 0 THEN ' ae ' WHEN 1 THEN 'united arab emirates' WHEN 2 THEN 'INDIA ' WHEN 3 THEN 'usa'
-    WHEN 4 THEN 'egypt' ELSE 'nation ' || cast(c_nationkey as string) END AS nationality,
-  {_mixed_date("1950 + k % 50", "1 + k % 12", "1 + k % 28", "k % 97")} AS date_of_birth,
+  CASE WHEN k % 103 = 0 THEN ' ' WHEN k % 107 = 0 THEN NULL ELSE CASE k % 9 WHEN 0 THEN ' ae ' WHEN 1 THEN 'united arab emirates' WHEN 2 THEN 'INDIA ' WHEN 3 THEN 'usa'
+    WHEN 4 THEN 'egypt' ELSE 'nation ' || cast(c_nationkey as string) END END AS nationality,
+  CASE WHEN (k + delivery) % 109 = 0 THEN '2099-05-06'
+    ELSE {_mixed_date("1950 + k % 50", "1 + k % 12", "1 + k % 28", "k % 97")} END AS date_of_birth,
   CASE WHEN (k + delivery) % 71 = 0 THEN '2099-01-01' WHEN (k + delivery) % 73 = 0 THEN '1901-01-01'
     ELSE {_mixed_date("2005 + k % 15", "1 + k % 12", "1 + (k + delivery) % 28", "k % 89")} END AS account_opened_date,
   CASE WHEN k % 67 = 0 THEN 'NONE' WHEN c_mktsegment = 'HOUSEHOLD' THEN ' high' WHEN c_mktsegment = 'MACHINERY' THEN 'Medium '
     ELSE 'low' END AS risk_tier,
   CASE WHEN k % 79 = 0 THEN '  ' ELSE ' run-' || cast(delivery as string) END AS adf_run_id,
   CASE WHEN k % 83 = 0 THEN 'no time' ELSE '2024-01-0' || cast(delivery as string) || ' 06:00:00' END AS _ingested_at,
-  'customers_' || cast(delivery as string) || '.csv' AS source_file
+  CASE WHEN k % 113 = 0 THEN ' ' ELSE 'customers_' || cast(delivery as string) || '.csv' END AS source_file
 FROM {_twice("c_custkey AS k, c_nationkey, c_mktsegment", "customer")}
 """
 
@@ -80,7 +82,7 @@ SELECT
     ELSE {_mixed_date("2001 + k % 20", "1 + k % 12", "1 + k % 28", "k % 89")} END AS opened_date,
   CASE WHEN k % 79 = 0 THEN '' ELSE 'run-' || cast(delivery as string) END AS adf_run_id,
   CASE WHEN k % 83 = 0 THEN NULL ELSE '2024-01-05 06:00:00' END AS _ingested_at,
-  'accounts_' || cast(delivery as string) || '.csv' AS source_file
+  CASE WHEN k % 113 = 0 THEN ' ' ELSE 'accounts_' || cast(delivery as string) || '.csv' END AS source_file
 FROM {_twice("c_custkey AS k", "customer")}
 """
 
@@ -101,9 +103,9 @@ SELECT
   CASE WHEN k % 151 = 0 THEN 'junk' WHEN k % 157 = 0 THEN '2099-01-01 00:00:00' ELSE ' ' || cast(o_orderdate as string) END AS timestamp,
   CASE WHEN k % 23 = 0 THEN NULL WHEN k % 29 = 0 THEN 'AUTH1' ELSE ' auth' || {_digits("k % 1000000", 6)} END AS auth_code,
   CASE o_orderstatus WHEN 'F' THEN 'approved' WHEN 'O' THEN ' Declined' ELSE 'pending' END AS status,
-  CASE delivery WHEN 1 THEN substr(cast(o_orderdate as string), 1, 10) || ' 23:59:59' ELSE '2003-01-01 00:00:00' END AS _ingested_at,
-  'run-' || cast(delivery as string) AS adf_run_id,
-  'transactions_' || cast(delivery as string) || '.json' AS source_file
+  CASE WHEN k % 163 = 0 THEN NULL WHEN delivery = 1 THEN substr(cast(o_orderdate as string), 1, 10) || ' 23:59:59' ELSE '2003-01-01 00:00:00' END AS _ingested_at,
+  CASE WHEN k % 127 = 0 THEN ' ' ELSE 'run-' || cast(delivery as string) END AS adf_run_id,
+  CASE WHEN k % 113 = 0 THEN ' ' ELSE 'transactions_' || cast(delivery as string) || '.json' END AS source_file
 FROM {_twice("o_orderkey AS k, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority", "orders")}
 """
 
@@ -119,7 +121,7 @@ SELECT
   CASE WHEN k % 139 = 0 THEN '  ' WHEN k % 149 = 0 THEN NULL ELSE ' AE' END AS country,
   CASE k % 4 WHEN 0 THEN 'aed' WHEN 1 THEN 'usd' WHEN 2 THEN 'Eur' ELSE 'inr' END AS currency,
   CASE WHEN k % 151 = 0 THEN '2099-01-01 00:00:00' WHEN k % 157 = 0 THEN '' ELSE cast(ts as string) END AS event_ts,
-  'shop ' || event_type AS merchant,
+  CASE WHEN k % 167 = 0 THEN ' ' ELSE 'shop ' || event_type END AS merchant,
   CASE WHEN k % 13 = 0 THEN '' ELSE cast(5000 + k % 6000 as string) END AS mcc_code,
   CASE WHEN event_type = 'error' THEN 'true' WHEN k % 7 = 0 THEN NULL ELSE 'false' END AS _flag_hint,
   '2024-02-01 00:00:00' AS ingested_at,
@@ -140,9 +142,9 @@ SELECT
     WHEN 4 THEN 'Egypt' ELSE 'Nation ' || cast(c_nationkey as string) END AS nationality,
   CASE WHEN (k + delivery) % 37 = 0 THEN NULL WHEN k % 2 = 0 THEN 'individual ' ELSE 'Organization' END AS entity_type,
   CASE WHEN (k + delivery) % 41 = 0 THEN NULL WHEN k % 3 = 0 THEN 'UN Consolidated List ' ELSE 'Other list' END AS list_source,
-  CASE WHEN delivery = 2 THEN '2024-01-09 06:00:00' ELSE '2024-01-08 06:00:00' END AS _ingested_at,
-  'run-' || cast(delivery as string) AS adf_run_id,
-  'list_' || cast(delivery as string) || '.json' AS source_file
+  CASE WHEN k % 43 = 0 THEN NULL WHEN delivery = 2 THEN '2024-01-09 06:00:00' ELSE '2024-01-08 06:00:00' END AS _ingested_at,
+  CASE WHEN k % 127 = 0 THEN ' ' ELSE 'run-' || cast(delivery as string) END AS adf_run_id,
+  CASE WHEN k % 113 = 0 THEN ' ' ELSE 'list_' || cast(delivery as string) || '.json' END AS source_file
 FROM {_twice("c_custkey AS k, c_nationkey, c_mktsegment", "customer")}
 """
 
@@ -191,7 +193,7 @@ def tables_of(text: str) -> set[str]:
 
 def as_spark(spark: SparkSession, folder: str, text: str) -> DataFrame:
     """The feed as a Spark frame over the tables in ``folder``."""
-    return spark.sql(text, **{t: spread(read_table(spark, f"{folder}/{t}.parquet")) for t in tables_of(text)})
+    return spark.sql(text, **{t: read_table(spark, f"{folder}/{t}.parquet") for t in tables_of(text)})
 
 
 def as_sql(text: str) -> str:

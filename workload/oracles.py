@@ -586,7 +586,8 @@ FROM s LEFT JOIN o ON s.customer_id = o.customer_id"""
 _LIMITS = "(VALUES ('ingest', 15), ('silver', 10), ('gold', 10), ('master', 40)) AS limits(PipelineName, minutes)"
 _LATE = f"""
 SELECT RunId, PipelineName, Status, Start, TimeGenerated, date_diff('minute', Start, {NOW}) AS RunningMinutes
-FROM (SELECT * FROM {feed(feeds.RUN_LOG)} QUALIFY row_number() OVER (PARTITION BY RunId ORDER BY TimeGenerated DESC) = 1)
+FROM (SELECT * FROM {feed(feeds.RUN_LOG)} QUALIFY row_number() OVER (PARTITION BY RunId
+  ORDER BY TimeGenerated DESC, Status <> 'InProgress' DESC, Status DESC) = 1)
 JOIN {_LIMITS} USING (PipelineName)
 WHERE Status = 'InProgress' AND date_diff('minute', Start, {NOW}) > minutes"""
 
@@ -625,7 +626,8 @@ WHERE run_seconds > limit_seconds GROUP BY ALL"""
 # --- writers -----------------------------------------------------------------
 
 ORACLES["clustered_table"] = (
-    "SELECT l_suppkey, count(*) AS lines, cast(sum(cast(l_quantity AS BIGINT)) AS BIGINT) AS quantity FROM lineitem GROUP BY ALL"
+    "SELECT l_suppkey, count(*) AS lines, cast(sum(cast(l_quantity AS BIGINT)) AS BIGINT) AS quantity, cast(0 AS BIGINT) AS unordered,"
+    " false AS overlaps FROM lineitem GROUP BY ALL"
 )
 ORACLES["balanced_table"] = "SELECT o_orderstatus, count(*) AS orders, max(o_orderkey) AS last_order FROM orders GROUP BY ALL"
 
@@ -645,3 +647,13 @@ ORACLES["stream_swipes_valid"] = view(_SWIPE_COLUMNS, accepted("swipes"))
 ORACLES["stream_swipes_rejected"] = view(
     [*_SWIPE_COLUMNS, "rejected_reasons"], f"(SELECT * FROM {judged('swipes')} WHERE len(rejected_reasons) > 0)"
 )
+
+ORACLES["ingest_csv_by_name"] = """
+SELECT cast(o_orderkey AS VARCHAR) AS o_orderkey, cast(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+  CASE WHEN o_orderkey % 3 = 2 THEN 'c' || o_custkey END AS channel, cast(NULL AS VARCHAR) AS _rescued_data FROM orders"""
+ORACLES["ingest_backfill"] = "SELECT cast(c_custkey AS VARCHAR) AS customer_id, c_mktsegment FROM customer"
+ORACLES["ingest_json_array"] = """
+SELECT cast(n_nationkey AS VARCHAR) AS n_nationkey, n_name, '{"n_regionkey":"' || n_regionkey || '"}' AS region FROM nation"""
+ORACLES["stream_dedup_batches"] = """
+SELECT event_id AS swipe_id, CASE WHEN ts < TIMESTAMP '2024-01-10' AND event_id % 10 = 0 THEN 'late' ELSE 'accepted' END AS outcome
+FROM events"""

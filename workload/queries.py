@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskflow.functions import cleaning, masking
 from riskflow.operators import alerts, calendar, history, monitoring, quality, watchlist
-from riskflow.operators.dedup import stream_dedup
+from riskflow.operators.dedup import late_rows, stream_dedup
 from riskflow.operators.rules import Clock
 from riskflow.plans import gold
 from riskflow.plans.silver import ACCOUNTS, CUSTOMERS, DOMAINS, SANCTIONS, SWIPES, TRANSACTIONS, Domain
 from riskflow.session import work_folder
-from riskflow.sources import readers, schemas
+from riskflow.sources import ingest, readers, schemas
 from riskflow.sources.writers import append_available_now, write_clustered, write_table
 from riskflow.streaming.flows import SwipeFlows
 from workload import feeds
@@ -416,12 +417,24 @@ def duration_breaches(spark, folder):
 
 @query
 def clustered_table(spark, folder):
-    """Line items rewritten in order of supplier and date, read back."""
+    """Line items rewritten in order of supplier and date, read back: rows out of order within their file, and files whose
+    range of keys overlaps the one before."""
     path = work_folder(spark, "clustered")
-    write_clustered(table(spark, folder, "lineitem"), path, ["l_suppkey", "l_shipdate"])
-    stored = readers.read_table(spark, path)
-    return stored.groupBy("l_suppkey").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity")
+    keys = ["l_suppkey", "l_shipdate"]
+    write_clustered(table(spark, folder, "lineitem"), path, keys, partitions=8)
+    stored = readers.read_table(spark, path).select("*", "_metadata.file_path", "_metadata.row_index", F.struct(*keys).alias("at"))
+    before = F.lag("at").over(Window.partitionBy("file_path").orderBy("row_index"))
+    rows = stored.withColumn("unordered", (before > F.col("at")).cast("bigint"))
+    suppliers = rows.groupBy("l_suppkey").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
+        F.coalesce(F.sum("unordered"), F.lit(0)).alias("unordered"),
+    )
+    files = stored.groupBy("file_path").agg(F.min("at").alias("low"), F.max("at").alias("high"))
+    overlap = F.lag("high").over(Window.orderBy("low", "high")) > F.col("low")
+    overlaps = files.withColumn("overlap", overlap).where("overlap").select(F.col("low.l_suppkey").alias("l_suppkey")).distinct()
+    return suppliers.join(overlaps.withColumn("overlaps", F.lit(True)), "l_suppkey", "left").withColumn(
+        "overlaps", F.coalesce("overlaps", F.lit(False))
     )
 
 
@@ -464,6 +477,26 @@ def stream_dedup_swipes(spark, folder):
     return portable(run_stream(spark, stream_dedup(doubled), "dedup"))
 
 
+@query
+def stream_dedup_batches(spark, folder):
+    """Events in three deliveries, the last one early events again and some it holds back: what each swipe came to."""
+    root = work_folder(spark, "dedup-batches")
+    events = table(spark, folder, "events").select(
+        F.col("event_id").alias("swipe_id"), F.col("ts").cast("timestamp").alias("swipe_timestamp")
+    )
+    early = F.col("swipe_timestamp") < F.lit("2024-01-10").cast("timestamp")
+    held = early & (F.pmod("swipe_id", F.lit(10)) == 0)
+    for rows in (events.where(early & ~held), events.where(~early), events.where(early)):
+        rows.write.mode("append").parquet(f"{root}/in")
+        stream = lambda: readers.stream_table(spark, f"{root}/in", rows.schema)  # noqa: E731, B023
+        append_available_now(stream_dedup(stream()), f"{root}/accepted", f"{root}/cp-accepted", timeout=STREAM_TIMEOUT)
+        accepted = readers.read_table(spark, f"{root}/accepted", rows.schema)
+        append_available_now(late_rows(stream(), accepted), f"{root}/late", f"{root}/cp-late", timeout=STREAM_TIMEOUT)
+    late = readers.read_table(spark, f"{root}/late", rows.schema)
+    outcome = accepted.withColumn("outcome", F.lit("accepted")).unionByName(late.withColumn("outcome", F.lit("late")))
+    return outcome.select("swipe_id", "outcome")
+
+
 @query
 def stream_velocity(spark, folder):
     return portable(run_stream(spark, alerts.velocity(event_stream(spark, folder), clock()), "velocity"))
@@ -480,6 +513,61 @@ def stream_fact_swipes(spark, folder):
     return portable(run_stream(spark, gold.fact_card_swipes(event_stream(spark, folder), clock=clock()), "facts"))
 
 
+def _ingested(spark: SparkSession, root: str, columns: list[str], file_format: str) -> DataFrame:
+    ingest.ingest_files(
+        spark, f"{root}/landing", f"{root}/out", f"{root}/checkpoint", columns, "run-1", file_format=file_format, timeout=STREAM_TIMEOUT
+    )
+    return readers.read_table(spark, f"{root}/out")
+
+
+@query
+def ingest_csv_by_name(spark, folder):
+    """Orders as CSV under three headers: as declared, reordered, and with one more column in the middle."""
+    root = work_folder(spark, "csv-by-name")
+    orders = table(spark, folder, "orders").select(*[F.col(c).cast("string") for c in ("o_orderkey", "o_custkey", "o_orderstatus")])
+    part = F.pmod(F.col("o_orderkey").cast("bigint"), F.lit(3))
+    layouts = [
+        ["o_orderkey", "o_custkey", "o_orderstatus"],
+        ["o_orderstatus", "o_orderkey", "o_custkey"],
+        ["o_orderkey", "channel", "o_custkey", "o_orderstatus"],
+    ]
+    for i, layout in enumerate(layouts):
+        rows = orders.where(part == i).withColumn("channel", F.concat(F.lit("c"), F.col("o_custkey")))
+        rows.select(*layout).write.mode("append").option("header", True).csv(f"{root}/landing")
+    out = _ingested(spark, root, layouts[0], "csv")
+    return out.select("o_orderkey", "o_custkey", "o_orderstatus", "channel", "_rescued_data")
+
+
+@query
+def ingest_backfill(spark, folder):
+    """Customers in two deliveries, the second with files dated a year before those of the first."""
+    root = work_folder(spark, "backfill")
+    customers = table(spark, folder, "customer").select(F.col("c_custkey").cast("string").alias("customer_id"), "c_mktsegment")
+    for i in (0, 1):
+        rows = customers.where(F.pmod(F.col("customer_id").cast("bigint"), F.lit(2)) == i)
+        rows.write.mode("append").option("header", True).csv(f"{root}/landing")
+        if i:
+            files = spark.read.format("binaryFile").load(f"{root}/landing").select("path", "modificationTime").orderBy("modificationTime")
+            newest = files.collect()[-1].path
+            local = newest.removeprefix("file:")
+            year_ago = os.path.getmtime(local) - 365 * 86400
+            os.utime(local, (year_ago, year_ago))
+        out = _ingested(spark, root, ["customer_id", "c_mktsegment"], "csv")
+    return out.select("customer_id", "c_mktsegment")
+
+
+@query
+def ingest_json_array(spark, folder):
+    """Nations as one JSON array, with a nested field that was not declared."""
+    root = work_folder(spark, "json-array")
+    rows = table(spark, folder, "nation").agg(
+        F.to_json(F.collect_list(F.struct("n_nationkey", "n_name", F.struct("n_regionkey").alias("region")))).alias("value")
+    )
+    rows.write.text(f"{root}/landing")
+    out = _ingested(spark, root, ["n_nationkey", "n_name"], "json")
+    return out.select("n_nationkey", "n_name", "region")
+
+
 @query
 def stream_ingest_rescued(spark, folder):
     """Events as JSON-lines files, ingested with one declared field missing from the declaration."""
@@ -487,9 +575,7 @@ def stream_ingest_rescued(spark, folder):
     table(spark, folder, "events").select(
         F.col("event_id").cast("string").alias("swipe_id"), F.col("event_type").alias("city"), F.col("user_id")
     ).write.json(landing)
-    raw = readers.read_raw(
-        spark, landing, ["swipe_id", "city"], "run-1", "*.json", "jsonl", stamps=readers.SWIPE_STAMPS
-    )
+    raw = readers.read_lines(spark, landing, ["swipe_id", "city"], "run-1", "*.json", stamps=readers.SWIPE_STAMPS)
     return run_stream(spark, raw.drop("ingested_at", "file_name"), "rescued")
 
 
@@ -498,9 +584,7 @@ def _swipe_flows(spark: SparkSession, folder: str) -> SwipeFlows:
     flows = SwipeFlows(spark, work_folder(spark, "swipes"), clock(), STREAM_TIMEOUT)
     columns = schemas.FEEDS["swipes"]
     feed(spark, folder, feeds.SWIPES).select(*columns).write.json(flows.path("landing"))
-    raw = readers.read_raw(
-        spark, flows.path("landing"), columns, "run-7", "*.json", "jsonl", stamps=readers.SWIPE_STAMPS
-    )
+    raw = readers.read_lines(spark, flows.path("landing"), columns, "run-7", "*.json", stamps=readers.SWIPE_STAMPS)
     flows.ingest(raw.withColumn("ingested_at", F.lit(feeds.NOW).cast("timestamp")))
     flows.validate(
         {"customers": feed(spark, folder, feeds.KNOWN_CUSTOMERS), "accounts": feed(spark, folder, feeds.KNOWN_ACCOUNTS)}
