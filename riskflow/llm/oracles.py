@@ -28,7 +28,8 @@ covered AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM counted, (VALUES (0),
 l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
 bodies AS (SELECT doc_id, line, trim(line, {_BLANKS}) AS body FROM l),
 judged AS (SELECT doc_id, line, body, len(regexp_extract_all(body, '{_WORD}')) AS n FROM bodies),
-faulty AS (SELECT *, body <> '' AND (regexp_matches(body, {_text(quality.NAVIGATION)}) OR (n < 40 AND ({boiler}))
+faulty AS (SELECT *, body <> '' AND (length(body) - length(translate(body, {_text(quality.SEPARATORS)}, '')) >= {quality.MENU_MARKS}
+    OR regexp_matches(body, {_text(quality.MENU_WORDS)}) OR (n < 40 AND ({boiler}))
     OR (n < {quality.WRAPPED_WORDS} AND NOT regexp_matches(body, {_text(quality.ENDINGS)}))) AS fault FROM judged),
 lines AS (SELECT doc_id, count(*) FILTER (body <> '') AS n_lines,
     count(*) FILTER (body <> '') - count(DISTINCT line) FILTER (body <> '') AS n_dup_lines,

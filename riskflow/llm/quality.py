@@ -17,8 +17,9 @@ SYMBOLS = "#*$%&|<>"
 
 #: A line ends well with one of these, closing quotes and brackets aside.
 ENDINGS = r"[.!?:;…。！？](?:[\"'”’»)\]]*)$"
-#: Lines of menus and crumb trails: separators between short items.
-NAVIGATION = r"(?:\S\s*[|»›·•>]\s*\S.*){2,}|(?i:^(?:home|menu|next|previous|prev|back|skip to|sign in|log in|share|print)\b.{0,40}$)"
+#: Lines of menus and crumb trails: MENU_MARKS or more of these separators, or a short line that begins with a menu word.
+SEPARATORS, MENU_MARKS = "|»›·•>", 2
+MENU_WORDS = r"(?i)^(?:home|menu|next|previous|prev|back|skip to|sign in|log in|share|print)\b.{0,40}$"
 #: Phrases of page furniture and legal notices, matched without regard to case.
 BOILERPLATE = (
     "all rights reserved",
@@ -53,46 +54,67 @@ def letters(text: Column) -> Column:
     return F.length(F.translate(text, BLANKS, "")).cast("long")
 
 
-def line_fault(line: Column) -> Column:
-    """Why a line fails, null if it passes. Blank lines pass: they separate paragraphs."""
-    body = F.btrim(line, F.lit(BLANKS))
+def line_fault(body: Column, low: Column) -> Column:
+    """Why a line fails, null if it passes. Blank lines pass: they separate paragraphs. ``body``: without blanks at its ends;
+    ``low``: in lower case."""
     words = F.size(F.split(body, BLANK_RUN, -1))
-    low = F.lower(body)
+    marks = F.length(body) - F.length(F.translate(body, SEPARATORS, ""))
     boiler = F.lit(False)
     for phrase in BOILERPLATE:
         boiler = boiler | F.contains(low, F.lit(phrase))
     return (
         F.when(body == "", F.lit(None).cast("string"))
-        .when(body.rlike(NAVIGATION), F.lit("navigation"))
+        .when((marks >= MENU_MARKS) | body.rlike(MENU_WORDS), F.lit("navigation"))
         .when(boiler & (words < 40), F.lit("boilerplate"))
         .when(~body.rlike(ENDINGS) & (words < WRAPPED_WORDS), F.lit("punctuation"))
     )
 
 
-def repeated_words(words: Column) -> Column:
-    """Words that lie in a three-word window found twice or more in the text.
-
-    Windows are sorted by hash with their place; equal neighbours give the places of repeated windows, and the set of the
-    words those cover is counted. Linear but for the sort, however often one window repeats.
-    """
+def window_hashes(words: Column) -> Column:
+    """Hash of every three-word window, by place."""
     last = F.size(words) - 2
-    windows = F.transform(
+    return F.transform(
         F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.struct(
-            F.xxhash64(F.get(words, i - 1), F.get(words, i), F.get(words, i + 1)).alias("hash"), i.alias("place")
-        ),
+        lambda i: F.xxhash64(F.get(words, i - 1), F.get(words, i), F.get(words, i + 1)),
     )
-    return F.sort_array(windows)
 
 
-def _covered(windows: Column) -> Column:
-    places = F.transform(
+def repeated_hashes(ordered: Column) -> Column:
+    """Values that a sorted array holds twice or more."""
+    return F.array_distinct(F.filter(ordered, lambda x, i: x == F.get(ordered, i - 1)))
+
+
+#: Up to so many different repeated windows are looked for one by one.
+FEW = 24
+
+
+def with_repeated_places(df: DataFrame) -> DataFrame:
+    """Adds _places, those of the windows found twice or more in the text, to ``df`` with _hashes and _repeated.
+
+    With a few different repeated windows every window is compared with them; with more, windows are sorted with their places, and
+    equal neighbours are repeated. Either way gives the same places, and neither grows with the square of a text. An array that
+    a lambda looks into is a column of its own: an expression there would be computed anew for every element.
+    """
+    few = F.size("_repeated") <= FEW
+    none = F.array().cast("array<struct<hash:bigint,place:int>>")
+    placed = F.sort_array(F.transform("_hashes", lambda h, i: F.struct(h.alias("hash"), (i + 1).alias("place"))))
+    df = df.withColumn("_placed", F.when(few, none).otherwise(placed))
+    looked_up = F.filter(
+        F.sequence(F.lit(1), F.size("_hashes")), lambda i: F.array_contains("_repeated", F.get("_hashes", i - 1))
+    )
+    neighbours = F.transform(
         F.filter(
-            windows,
-            lambda w, i: (F.get(windows, i - 1)["hash"] == w["hash"]) | (F.get(windows, i + 1)["hash"] == w["hash"]),
+            "_placed",
+            lambda w, i: (F.get("_placed", i - 1)["hash"] == w["hash"]) | (F.get("_placed", i + 1)["hash"] == w["hash"]),
         ),
         lambda w: w["place"],
     )
+    places = F.when(F.size("_repeated") == 0, F.array().cast("array<int>")).when(few, looked_up).otherwise(neighbours)
+    return df.withColumn("_places", places)
+
+
+def covered_words(places: Column) -> Column:
+    """How many words the three-word windows at ``places`` cover."""
     after = lambda n: F.transform(places, lambda p: p + n)
     return F.size(F.array_union(F.array_union(places, after(1)), after(2))).cast("long")
 
@@ -116,18 +138,32 @@ def clean_lines(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS,
     df = base.withColumns({"_text": body, "_words": words_of(body), "_lines": F.split(body, "\n", -1)})
     df = df.withColumns(
         {
-            "_windows": repeated_words(F.col("_words")),
-            "_full": F.filter("_lines", lambda x: F.btrim(x, F.lit(BLANKS)) != ""),
-            "_judged": F.transform("_lines", lambda x: F.struct(x.alias("line"), line_fault(x).alias("fault"))),
+            "_hashes": window_hashes(F.col("_words")),
+            # Each line is trimmed and lowered once; the rules read the results.
+            "_bodies": F.transform(
+                F.transform("_lines", lambda x: F.struct(x.alias("line"), F.btrim(x, F.lit(BLANKS)).alias("body"))),
+                lambda x: F.struct(x["line"].alias("line"), x["body"].alias("body"), F.lower(x["body"]).alias("low")),
+            ),
+        }
+    )
+    df = df.withColumns(
+        {
+            "_full": F.transform(F.filter("_bodies", lambda x: x["body"] != ""), lambda x: x["line"]),
+            "_judged": F.transform(
+                "_bodies", lambda x: F.struct(x["line"].alias("line"), line_fault(x["body"], x["low"]).alias("fault"))
+            ),
+            "_ordered": F.sort_array("_hashes"),
         }
     )
+    df = df.withColumn("_repeated", repeated_hashes(F.col("_ordered")))
+    df = with_repeated_places(df)
     df = df.withColumns(
         {
             "n_words": F.size("_words").cast("long"),
             "word_chars": letters(F.col("_text")),
             "n_symbols": (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("long"),
             "n_dup_lines": (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long"),
-            "n_repeat_words": F.when(F.size("_windows") == 0, F.lit(0).cast("long")).otherwise(_covered(F.col("_windows"))),
+            "n_repeat_words": covered_words(F.col("_places")),
             "n_lines": F.size("_full").cast("long"),
             "_failed": F.filter("_judged", lambda x: x["fault"].isNotNull()),
             "clean_text": F.array_join(
