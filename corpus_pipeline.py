@@ -49,7 +49,9 @@ def mask_personal(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Sequences of the permitted lengths with the documents in them: bin_id, capacity, used, doc_ids, content."""
-    # Rows are numbered and stored at once, so that rows without a key keep their own places.
+    if docs.filter("doc_id is null").isEmpty() and not _repeats(docs):
+        return packing.assemble(stored(packing.pack(docs), "packing"), docs)
+    # Rows without a key of their own are numbered and stored at once, so that each keeps its own place.
     rows = stored(docs.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id()), "packing-rows")
     return packing.assemble(stored(packing.pack(rows, "_row"), "packing"), rows, "_row", name="doc_id")
 
