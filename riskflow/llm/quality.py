@@ -17,8 +17,15 @@ SYMBOLS = "#*$%&|<>"
 
 #: A line ends well with one of these, closing quotes and brackets aside.
 ENDINGS = r"[.!?:;…。！？](?:[\"'”’»)\]]*)$"
-#: Lines of menus and crumb trails: MENU_MARKS or more of these separators, or a short line that begins with a menu word.
+#: Lines of menus and crumb trails: MENU_MARKS or more of these separators between short items, or a short line that begins
+#: with a menu word.
 SEPARATORS, MENU_MARKS = "|»›·•>", 2
+#: Items of at most so many words on average are short.
+ITEM_WORDS = 3
+#: A run of separators parts two items once; those that begin a line (quoted replies, bullets) part nothing, pipes aside.
+SEPARATOR_RUN, LEADING = r"[|»›·•>][|»›·•>\x20\x09-\x0D]*", "»›·•>"
+#: The same characters as no separators: tags, quotations, the Catalan double l.
+PAIRED = r"<[^<>]*>|«[^«»]*»|»[^«»]*«|‹[^‹›]*›|›[^‹›]*‹|(?i:l·l)"
 MENU_WORDS = r"(?i)^(?:home|menu|next|previous|prev|back|skip to|sign in|log in|share|print)\b.{0,40}$"
 #: Phrases of page furniture and legal notices, matched without regard to case.
 BOILERPLATE = (
@@ -54,17 +61,26 @@ def letters(text: Column) -> Column:
     return F.length(F.translate(text, BLANKS, "")).cast("long")
 
 
+def parts_short_items(body: Column) -> Column:
+    """Whether MENU_MARKS or more separators stand between items of ITEM_WORDS words on average. A line with fewer of the
+    characters is not looked at further."""
+    marks = F.length(body) - F.length(F.translate(body, SEPARATORS, ""))
+    bare = F.ltrim(F.regexp_replace(body, PAIRED, "_"), F.lit(LEADING + BLANKS))
+    items = F.size(F.split(bare, SEPARATOR_RUN, -1))
+    words = F.size(words_of(F.translate(body, SEPARATORS, " " * len(SEPARATORS))))
+    return (marks >= MENU_MARKS) & (items > MENU_MARKS) & (words <= ITEM_WORDS * items)
+
+
 def line_fault(body: Column, low: Column) -> Column:
     """Why a line fails, null if it passes. Blank lines pass: they separate paragraphs. ``body``: without blanks at its ends;
     ``low``: in lower case."""
     words = F.size(F.split(body, BLANK_RUN, -1))
-    marks = F.length(body) - F.length(F.translate(body, SEPARATORS, ""))
     boiler = F.lit(False)
     for phrase in BOILERPLATE:
         boiler = boiler | F.contains(low, F.lit(phrase))
     return (
         F.when(body == "", F.lit(None).cast("string"))
-        .when((marks >= MENU_MARKS) | body.rlike(MENU_WORDS), F.lit("navigation"))
+        .when(parts_short_items(body) | body.rlike(MENU_WORDS), F.lit("navigation"))
         .when(boiler & (words < 40), F.lit("boilerplate"))
         .when(~body.rlike(ENDINGS) & (words < WRAPPED_WORDS), F.lit("punctuation"))
     )

@@ -56,6 +56,51 @@ def test_lines_that_fail_go_and_others_stay(spark):
     assert r.n_lines == 5 and r.n_removed_lines == 3
 
 
+LONG = " ".join(f"w{i}" for i in range(400))
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        f"{LONG} | {LONG} » {LONG}.",
+        f"{LONG} <b>bold</b> {LONG}.",
+        f"{LONG} a -> b, x > 3 {LONG}.",
+        "« Oui », dit-il : « non »",
+        "»Ja«, sagte er, »nein«.",
+        "« Oui » et « non » et « oui ».",
+        "La col·lecció intel·ligent.",
+        "Some <b>bold</b> and <i>other</i> words.",
+        ">> quoted reply of the letter before this one",
+        ">>> quoted reply.",
+        "The value x > 3 is kept, and y > 5 is dropped from the table.",
+    ],
+)
+def test_separators_in_prose_are_no_menu(spark, line):
+    r = values(spark, [line])[0]
+    assert r.faults == [] and r.clean_text == line
+
+
+def test_document_on_one_line_with_two_separators_stays(spark):
+    text = f"{LONG} <b>bold</b> and x > 3."
+    r = values(spark, [text])[0]
+    assert r.kept and r.clean_text == text
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "Home | News | About us | Contact.",
+        "| Home | News |",
+        "Shop > Shoes > Winter boots for children.",
+        "Start » Themen » Archiv",
+        " | ".join(f"Item number {i}" for i in range(200)) + ".",
+        "<a>Home</a> | <a>News</a> | <a>About</a>.",
+    ],
+)
+def test_menus_and_crumb_trails_go(spark, line):
+    assert values(spark, [line])[0].faults == ["navigation"]
+
+
 @pytest.mark.parametrize("menu, kept", [(1, True), (80, False)])
 def test_verdict_by_loss(spark, menu, kept):
     words = " ".join(f"w{i}" for i in range(80)) + "."
