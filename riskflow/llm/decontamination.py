@@ -3,7 +3,8 @@
 A seed is a window of words of which a fixed mask ignores some places; its hash is the chain of the words kept. The seeds of the
 benchmark items are joined with those of every document, and around each hit the item is laid over the document on the hit's
 diagonal. An overlap counts if some WINDOW consecutive words (the whole item, if it is shorter) agree in at least EQUAL percent
-of their places, so replaced words are tolerated: any 2 replaced words in 13 still leave a seed of the two masks intact.
+of their places, so replaced words are tolerated: any 2 replaced words in 13 still leave a seed of the two masks intact. Shorter
+items have a contiguous seed of a third of their words besides; of it, too, one is intact however the permitted words are replaced.
 
 The benchmark is the query set. It is taken in blocks of at most BLOCK_WORDS words; the seeds of one block are a lookup table in
 every task. A larger benchmark means more blocks, each one more pass over the documents, never a larger table.
@@ -39,9 +40,9 @@ def _seeds(hashes: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
 
 
 def _masks_for(n: int) -> list[tuple[int, ...]]:
-    """Items too short for a mask get one that fits: contiguous, half their length."""
+    """Items shorter than WINDOW also get a contiguous mask of a third of their length: the masks that fit do not cover them."""
     fitting = [m for m in MASKS if m[-1] < n]
-    return fitting if len(fitting) == len(MASKS) else [*fitting, tuple(range(max(1, n // 3)))]
+    return fitting if n >= WINDOW else [*fitting, tuple(range(max(1, n // 3)))]
 
 
 class SeedTable:

@@ -27,6 +27,24 @@ def test_masks_survive_any_two_replaced_words_of_thirteen():
         assert any(all(s + p not in gone for p in m) for m in d.MASKS for s in range(13 - m[-1]))
 
 
+def test_masks_of_an_item_survive_every_permitted_replacement():
+    for n in range(d.LEAST_WORDS, d.WINDOW + 1):
+        for k in range(n + 1):
+            if 100 * (n - k) < d.EQUAL * n:
+                break
+            for gone in itertools.combinations(range(n), k):
+                assert any(all(s + p not in gone for p in m) for m in d._masks_for(n) for s in range(n - m[-1])), (n, gone)
+
+
+def test_short_items_with_replaced_words_are_found(spark):
+    texts, items = [], [(n, " ".join(ITEM[:n])) for n in (11, 12)]
+    for n, gone in [(11, (5,)), *[(11, g) for g in itertools.combinations(range(11), 2)], *[(12, g) for g in itertools.combinations(range(12), 2)]]:
+        part = [w if i not in gone else "zzz" for i, w in enumerate(ITEM[:n])]
+        texts.append((n, " ".join([*prose(20), *part, *prose(20)])))
+    rows = judge(spark, [t for _, t in texts], items)
+    assert all(n in r.item_ids for (n, _), r in zip(texts, rows))
+
+
 def test_every_pair_of_replaced_words_is_tolerated(spark):
     texts = []
     for gone in itertools.combinations(range(13), 2):
