@@ -21,13 +21,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, similarity 0.8). Rows that repeat a key count once; rows
-    without a key stay."""
-    groups = neardup.near_duplicates(docs, shingle=5, percent=80)
-    kept = groups.filter("kept and doc_id is not null").select("doc_id").distinct()
-    keyless = docs.filter("doc_id is null")
-    whole = docs.dropDuplicates(["doc_id"]) if _repeats(docs) else docs
-    return whole.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(keyless)
+    """One document of each group of near duplicates (five words, similarity 0.8), that with the smallest key. Rows that agree in
+    key and text count once; rows that share only the key are documents of their own. Rows without a key stay."""
+    keyed, key = docs.filter("doc_id is not null"), "doc_id"
+    if _repeats(docs):
+        keyed, key = _numbered(keyed), "_row"
+    groups = neardup.near_duplicates(keyed, key, shingle=5, percent=80)
+    kept = groups.filter("kept").select(key).distinct()
+    return keyed.join(kept, key, "left_semi").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Rows that agree in key and text once, the same one in every run, numbered by key in ``_row`` and stored."""
+    other = F.struct(F.lit(0).alias("_none"), *[c for c in docs.columns if c not in ("doc_id", "text")])
+    once = docs.groupBy("doc_id", "text").agg(F.min_by(other, F.to_json(other)).alias("_other"))
+    ordered = once.select("doc_id", "text", "_other.*").drop("_none").orderBy("doc_id", F.xxhash64("text"))
+    return stored(ordered.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
 
 
 def _repeats(docs: DataFrame) -> bool:

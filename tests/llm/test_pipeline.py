@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as pipeline
 from riskflow.llm.frames import stored
 from tests.llm import brute
@@ -76,6 +78,20 @@ def test_stages_take_empty_tables_and_repeated_rows(spark, tmp_path):
     assert pipeline.keep_one_of_each(spark, twice, folder).count() == 1
 
 
+def test_repeated_keys_with_different_texts(spark, tmp_path):
+    rng = random.Random(3)
+    one, two, other = (prose(rng, 80) for _ in range(3))
+    near = f"{two} end"
+    rows = [(1, one), (1, two), (1, one), (2, near), (3, other), (3, other), (3, None), (4, one), (None, one)]
+    docs = spark.createDataFrame([(i, t, "en", f"s{n}", 0) for n, (i, t) in enumerate(rows)], SCHEMA)
+    results = [
+        sorted(((r.doc_id, r.text, r.source) for r in pipeline.keep_one_of_each(spark, d, str(tmp_path)).collect()), key=str)
+        for d in (docs, docs.repartition(5, "source"), docs.orderBy(F.desc("source")))
+    ]
+    kept = [(1, one, "s0"), (1, two, "s1"), (3, None, "s6"), (3, other, "s4"), (None, one, "s8")]
+    assert results == [sorted(kept, key=str)] * 3
+
+
 def test_run(spark):
     out = pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.columns == ["bin_id", "capacity", "used", "doc_ids", "content"] and out.count() > 0
