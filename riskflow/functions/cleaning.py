@@ -16,7 +16,10 @@ ColumnOrName = Column | str
 EMIRATES_ID_DIGITS = r"^([0-9]{3})([0-9]{4})([0-9]{7})([0-9])$"
 PHONE_DIGITS = r"^([0-9]{3})([0-9]{2})([0-9]{3})([0-9]{4})$"
 COUNTRY_CODE = "971"
-CITY = r"^[\p{L}]+([ .''-][\p{L}]+)*$"
+# A city name is letters with single parting characters between them. Said without a repeated group: the regex engine recurses
+# once per repetition of a group, so that a text of a million words would end the process.
+CITY_CHARACTERS = r"^[\p{L} .'-]+$"
+CITY_FAULT = r"^[ .'-]|[ .'-]$|[ .'-][ .'-]"
 MONEY = "decimal(18,2)"
 
 
@@ -130,7 +133,13 @@ def clean_merchant(c: ColumnOrName) -> Column:
 def clean_city(c: ColumnOrName) -> Column:
     """Upper-case city name, or NULL where the text is no city name."""
     text = clean_text(c)
-    return F.when(text.rlike(CITY), text)
+    return F.when(is_city(text), text)
+
+
+def is_city(c: ColumnOrName) -> Column:
+    """Whether a text is a city name; NULL for NULL."""
+    text = _column(c)
+    return text.rlike(CITY_CHARACTERS) & ~text.rlike(CITY_FAULT)
 
 
 def alias_list(c: ColumnOrName) -> Column:

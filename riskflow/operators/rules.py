@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from riskflow.functions.cleaning import CITY
+from riskflow.functions.cleaning import is_city
 
 
 @dataclass(frozen=True)
@@ -227,7 +227,7 @@ RULES: dict[str, tuple[Rule, ...]] = {
 _RUN_ID = Expectation("valid_adf_run_id", filled("adf_run_id"))
 _INGESTED_AT = Expectation("valid_ingested_at", present("_ingested_at"))
 _SOURCE_FILE = Expectation("valid_source_file", filled("source_file"))
-_CITY = Expectation("valid_city", absent_or_matches("city", CITY))
+_CITY = Expectation("valid_city", lambda clock: F.col("city").isNull() | is_city("city"))
 _MCC_CODE = Expectation("valid_mcc_code", absent_or_between("mcc_code", *MCC_RANGE))
 _MERCHANT = Expectation("valid_merchant", absent_or_filled("merchant"))
 

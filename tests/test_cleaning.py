@@ -80,3 +80,42 @@ def test_mixed_dates_equal_trying_each_layout(spark):
     both = df.select("raw", c.parse_mixed_date("raw").cast("string").alias("a"), tried.cast("string").alias("b"))
     wrong = both.where("NOT a <=> b")
     assert wrong.collect() == []
+
+
+def test_city_equals_its_repeated_group_form(spark):
+    """All texts of up to five characters over letters, separators and others against the form with a repeated group."""
+    letters = "aB -'.\n1é"
+    texts = spark.range(0, sum(len(letters) ** n for n in range(6)), 1, 8)
+    digit = lambda i: F.substring(F.lit(letters), (F.floor(F.col("id") / len(letters) ** i) % len(letters) + 1).cast("int"), 1)
+    spelt = texts.select(F.concat(*[digit(i) for i in range(5)]).alias("t"), (F.col("id") % 6).cast("int").alias("n"))
+    spelt = spelt.select(F.substring("t", F.lit(1), F.col("n")).alias("t")).distinct()
+    differing = spelt.where(c.is_city("t") != F.col("t").rlike(r"^[\p{L}]+([ .'-][\p{L}]+)*$"))
+    assert differing.take(5) == []
+    assert spelt.where(c.is_city("t")).count() > 100
+
+
+LONG = 1_000_000
+LONG_TEXTS = ["ab " * (LONG // 3) + "ab", "a" * LONG, " " * LONG, "1" * LONG, "a@" * (LONG // 2), "a." * (LONG // 2), '["a",' * (LONG // 5)]
+
+
+@pytest.mark.parametrize("domain", ["customers", "accounts", "transactions", "swipes", "sanctions"])
+def test_a_million_characters_end_no_process(spark, domain):
+    """Every cleaning expression, rule and expectation over long texts in every column; few passes over a text are allowed."""
+    from riskflow.plans.silver import DOMAINS
+    from riskflow.sources import schemas
+
+    stamps = ["ingested_at", "file_name", "adf_run_id"] if domain == "swipes" else ["_ingested_at", "source_file", "adf_run_id"]
+    columns = [*schemas.FEEDS[domain], *stamps]
+    text = F.element_at(F.array(*[F.lit(t) for t in LONG_TEXTS]), F.col("id").cast("int") + 1)
+    raw = spark.range(0, len(LONG_TEXTS), 1, 4).select(*[text.alias(x) for x in columns])
+    known = {t: spark.createDataFrame([("x",)], f"{k} string") for t, k in DOMAINS[domain].references.items()}
+    validated = DOMAINS[domain].validate(DOMAINS[domain].clean(raw), known)
+    assert validated.agg(F.sum(F.size("rejected_reasons"))).first()[0] > 0
+    from riskflow.operators import quality
+
+    assert quality.expectation_metrics(DOMAINS[domain].clean(raw), domain).count() > 0
+
+
+def test_a_long_city(spark):
+    long = "ab " * 400_000 + "ab"
+    assert values(spark, c.clean_city, [long, long + "-", long + "1"]) == [long.upper(), None, None]
