@@ -49,7 +49,7 @@ def secret_spans() -> str:
     rules = "\nUNION ALL ".join(
         f"""SELECT doc_id, '{r.kind}' AS kind, {i} AS rule, {r.shortest} AS shortest,
   unnest(list_zip(string_split_regex(t, {_text(r.pattern)})[:-2], regexp_extract_all(t, {_text(r.pattern)}, 0),
-    regexp_extract_all(t, {_text(r.pattern)}, {r.group}))) AS piece,
+    regexp_extract_all(t, {_text(r.pattern)}, {r.group}), regexp_extract_all(t, {_text(r.pattern)}, {r.span}))) AS piece,
   generate_subscripts(regexp_extract_all(t, {_text(r.pattern)}, 0), 1) AS place FROM d"""
         for i, r in enumerate(secrets.RULES)
     )
@@ -59,7 +59,7 @@ def secret_spans() -> str:
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 pieces AS ({rules}),
-ends AS (SELECT doc_id, kind, rule, shortest, length(piece[2]) AS n, length(piece[3]) AS part,
+ends AS (SELECT doc_id, kind, rule, shortest, length(piece[4]) AS n, length(piece[3]) AS part,
     sum(length(piece[1]) + length(piece[2])) OVER (PARTITION BY doc_id, rule ORDER BY place) AS e FROM pieces),
 spans AS (SELECT doc_id, kind, rule, e - n AS s, e FROM ends WHERE part >= shortest)
 SELECT doc_id, {counts}, sha256({joined(f" FILTER (kind IN ({base}))")}) AS base_sha256, {joined("")} AS spans

@@ -25,13 +25,19 @@ FINDINGS = "blob string, kind string, rule_version int, start long, end long, ru
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` finds candidates, leftmost and without overlap; one whose ``group`` is shorter than ``shortest`` goes."""
+    """``pattern`` finds candidates, leftmost and without overlap; one whose ``group`` is shorter than ``shortest`` goes.
+
+    The finding is the group ``span``, which ends where the match ends. Patterns repeat no group (the regex engine recurses once per
+    repetition, and a long text would end the process) and look at a run of characters from one place only, so that any text
+    takes linear time.
+    """
 
     kind: str
     pattern: str
     group: int = 0
     shortest: int = 1
     version: int = 1
+    span: int = 0
 
 
 #: The base rules.
@@ -47,8 +53,8 @@ BASE_RULES = (
 )
 #: Well-known credential formats beyond the base.
 MORE_RULES = (
-    Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", version=2),
+    Rule("jwt", r"(?:^|[^A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+)", 1, version=2, span=1),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("login", r"://[^\s:/@]+:[^\s:/@]+@"),
@@ -67,6 +73,7 @@ def _lengths(text: Column, rule: Rule) -> Column:
             F.transform(F.split(text, rule.pattern, -1), F.length).alias("cut"),
             found(0).alias("whole"),
             found(rule.group).alias("part"),
+            found(rule.span).alias("span"),
         ).alias("pieces"),
     )
 
@@ -85,7 +92,7 @@ def scan_blobs(pending: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
     return (
         each.withColumn("end", end)
         .filter(F.col("piece.part") >= F.col("shortest"))
-        .select("blob", "kind", "rule_version", (F.col("end") - F.col("piece.whole")).alias("start"), "end")
+        .select("blob", "kind", "rule_version", (F.col("end") - F.col("piece.span")).alias("start"), "end")
     )
 
 

@@ -126,3 +126,10 @@ def test_query(spark):
         assert not (r.kept and r.base_failed)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_a_million_characters_end_no_process(spark):
+    n = 1_000_000
+    parts = ["<", "< ", "<>", "«", "« »", "‹›", "l·l", "|", "> ", "a.", '.")', "home ", "a b c ", "\n", "a\n", "»‹"]
+    rows = values(spark, [p * (n // len(p)) for p in parts])
+    assert [r.n_words > 0 for r in rows] == [p.strip() != "" for p in parts]

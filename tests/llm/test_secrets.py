@@ -78,3 +78,21 @@ def test_query(spark):
         want = brute.secrets(texts[r.doc_id])
         assert r.base_sha256 == brute.sha(want)
         assert r.n_assign == want.count("assign:") and r.n_hex == want.count("hex:") and r.n_access == want.count("access:")
+
+
+def test_a_million_characters_end_no_process(spark, tmp_path):
+    """Each rule on long texts that begin like its matches, and on ones that repeat its beginning."""
+    n = 1_000_000
+    parts = ["-----BEGIN ", "AB ", "eyJ", "eyJaaaaaaaa.", "token", "token ", "password = ", "ghp_", "xoxb-", "://a:", "://", "AKIA", "0a", "-", " "]
+    texts = [p * (n // len(p)) for p in parts]
+    texts += ["-----BEGIN " + "AB " * (n // 3), "eyJ" + "a" * n, "token" + " " * n + "x", "://" + "a" * n, "-----BEGIN " + "PRIVATE " * (n // 8)]
+    spans = found(spark, tmp_path, texts, secrets.RULES)
+    assert spans[parts.index("0a")] == f"hex:0:{n}"
+    assert all(s == "" for s, p in zip(spans, parts) if p in ("eyJ", "-", " ", "token", "://"))
+
+
+def test_tokens_of_a_run_are_found_from_its_start(spark, tmp_path):
+    one = "eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl"
+    got = found(spark, tmp_path, [one, f"x {one} {one}", f"xx{one}", f"({one})"], secrets.RULES)
+    assert got[0] == f"jwt:0:{len(one)}" and got[1] == f"jwt:2:{2 + len(one)},jwt:{3 + len(one)}:{3 + 2 * len(one)}"
+    assert got[2] == "" and got[3] == f"jwt:1:{1 + len(one)}"
