@@ -21,6 +21,7 @@ COUNTRY_CODE = "971"
 CITY_CHARACTERS = r"^[\p{L} .'-]+$"
 CITY_FAULT = r"^[ .'-]|[ .'-]$|[ .'-][ .'-]"
 MONEY = "decimal(18,2)"
+AMOUNT_CHARACTERS = 1000
 
 
 def _column(c: ColumnOrName) -> Column:
@@ -118,8 +119,12 @@ def parse_timestamp(c: ColumnOrName) -> Column:
 
 
 def parse_amount(c: ColumnOrName) -> Column:
-    """Money text such as ``AED 1,234.50`` as decimal(18,2)."""
-    return _keep(c, "0-9.-").try_cast(MONEY)
+    """Money text such as ``AED 1,234.50`` as decimal(18,2).
+
+    Text of more than AMOUNT_CHARACTERS digits is no amount: reading a number takes time by the square of its digits.
+    """
+    digits = _keep(c, "0-9.-")
+    return F.when(F.length(digits) <= AMOUNT_CHARACTERS, digits).try_cast(MONEY)
 
 
 def parse_mcc_code(c: ColumnOrName) -> Column:
