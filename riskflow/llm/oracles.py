@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from riskflow.llm import quality, secrets
+import string
+
+from riskflow.llm import collocations, quality, secrets
 
 _BLANKS = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -66,4 +68,35 @@ SELECT doc_id, {counts}, sha256({joined(f" FILTER (kind IN ({base}))")}) AS base
 FROM d LEFT JOIN spans USING (doc_id) GROUP BY doc_id"""
 
 
-ORACLES = {"op4_secrets": secret_spans(), "op6_line_quality": line_quality()}
+def phrase_scores() -> str:
+    low = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    c = collocations
+    return f"""
+WITH pieces AS (SELECT row_number() OVER () AS piece, lang, piece_text FROM (
+    SELECT coalesce(lang, '{c.NO_LANG}') AS lang, unnest(string_split_regex({low}, '[.,;:!?\x0A-\x0D]')) AS piece_text FROM documents)),
+spelt AS (SELECT piece, lang, regexp_extract_all(piece_text, '[^\x20\x09]+') AS words FROM pieces),
+w AS (SELECT piece, lang, unnest(words) AS w1, generate_subscripts(words, 1) AS i FROM spelt),
+follow AS (SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY piece ORDER BY i)),
+f1 AS (SELECT lang, w1, count(*)::HUGEINT AS f FROM follow GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*)::HUGEINT AS f FROM follow WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= {c.SUPPORT}),
+f3 AS (SELECT lang, w1, w2, w3, count(*)::HUGEINT AS f FROM follow WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= {c.SUPPORT}),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang),
+cuts AS (
+  SELECT f2.lang, f2.w1 || ' ' || f2.w2 AS phrase, 1 AS k, f2.f AS a, x.f AS l, y.f AS r
+  FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.w1 = f2.w1 JOIN f1 y ON y.lang = f2.lang AND y.w1 = f2.w2
+  WHERE NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND f3.w1 = f2.w1 AND f3.w2 = f2.w2 AND 100 * f3.f >= {c.COVERED} * f2.f)
+    AND NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND f3.w2 = f2.w1 AND f3.w3 = f2.w2 AND 100 * f3.f >= {c.COVERED} * f2.f)
+  UNION ALL
+  SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, 1, f3.f, x.f, y.f
+  FROM f3 JOIN f1 x ON x.lang = f3.lang AND x.w1 = f3.w1 JOIN f2 y ON y.lang = f3.lang AND y.w1 = f3.w2 AND y.w2 = f3.w3
+  UNION ALL
+  SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, 2, f3.f, x.f, y.f
+  FROM f3 JOIN f2 x ON x.lang = f3.lang AND x.w1 = f3.w1 AND x.w2 = f3.w2 JOIN f1 y ON y.lang = f3.lang AND y.w1 = f3.w3),
+scored AS (SELECT *, 1000000 * a * a // (l * r) AS score FROM cuts),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= {c.TOP}"""
+
+
+ORACLES = {"op11_collocations": phrase_scores(), "op4_secrets": secret_spans(), "op6_line_quality": line_quality()}

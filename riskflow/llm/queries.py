@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import decontamination, neardup, packing, personal, quality, repeats, secrets, sharding, toxicity, warc
+from riskflow.llm import (
+    alignment,
+    collocations,
+    decomposition,
+    decontamination,
+    neardup,
+    packing,
+    personal,
+    quality,
+    repeats,
+    secrets,
+    sharding,
+    toxicity,
+    warc,
+)
 from riskflow.llm.frames import read
 from riskflow.session import work_folder
 
@@ -98,6 +112,32 @@ def op10_contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def tokenizer(name: str) -> str:
+    """A file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(read(spark, folder, "documents"))
+
+
+def op12_power_of_two(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    pieces = decomposition.decompose(docs, tokenizer("word_bpe_49k.json"))
+    slim = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return decomposition.with_sequences(slim)
+
+
+def op13_aligned_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    files = alignment.Tokenizers(tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+    done = alignment.align_documents(docs, files)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return done.withColumn("groups_sha256", digest).drop("groups")
+
+
 QUERIES = {
     "op1_subsequence_svm": op1_subsequence_svm,
     "op2_best_fit": op2_best_fit,
@@ -109,4 +149,7 @@ QUERIES = {
     "op8_seekable_warc": op8_seekable_warc,
     "op9_interleaved_shards": op9_interleaved_shards,
     "op10_contextual_pii": op10_contextual_pii,
+    "op11_collocations": op11_collocations,
+    "op12_power_of_two": op12_power_of_two,
+    "op13_aligned_tokens": op13_aligned_tokens,
 }
