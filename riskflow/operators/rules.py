@@ -34,10 +34,18 @@ class Clock:
 Condition = Callable[[Clock], Column]
 
 
+#: What a rule of time waits for.
+CLOCK = "clock"
+
+
 @dataclass(frozen=True)
 class Rule:
+    """``waits``: what may come later and stop the rule from firing on the same row, the dimension that lacks its key or the
+    CLOCK; None if the row's own columns decide for good."""
+
     code: str
     fires: Condition
+    waits: str | None = None
 
 
 @dataclass(frozen=True)
@@ -171,9 +179,9 @@ RULES: dict[str, tuple[Rule, ...]] = {
         Rule("INVALID_EMIRATES_ID_FORMAT", malformed("emirates_id", EMIRATES_ID, optional=True)),
         Rule("NATIONALIITY_IS_NOT_PROVIDED", blank("nationality")),
         Rule("DATE_OF_BIRTH_NOT_PROVIDED", missing("date_of_birth")),
-        Rule("DATE_OF_BIRTH_IN_FUTURE", future_date("date_of_birth")),
+        Rule("DATE_OF_BIRTH_IN_FUTURE", future_date("date_of_birth"), CLOCK),
         Rule("ACCOUNT_OPENED_DATE_NOT_PROVIDED", missing("account_opened_date")),
-        Rule("ACCOUNT_OPENED_DATE_IN_FUTURE", future_date("account_opened_date")),
+        Rule("ACCOUNT_OPENED_DATE_IN_FUTURE", future_date("account_opened_date"), CLOCK),
         Rule("ACCOUNT_OPENED_DATE_BEFORE_DOB", lambda clock: F.col("account_opened_date") < F.col("date_of_birth")),
         Rule("INVALID_RISK_TIER", outside("risk_tier", RISK_TIERS)),
         Rule("INVALID_EMAIL_FORMAT", malformed("email", EMAIL, optional=True)),
@@ -183,13 +191,13 @@ RULES: dict[str, tuple[Rule, ...]] = {
     ),
     "accounts": (
         Rule("INVALID_CUSTOMER_ID_FORMAT", malformed("customer_id", CUSTOMER_ID)),
-        Rule("CUSTOMER_NOT_FOUND", unknown_reference("customer_id", "_matched_customer_id")),
+        Rule("CUSTOMER_NOT_FOUND", unknown_reference("customer_id", "_matched_customer_id"), "customers"),
         Rule("INVALID_ACCOUNT_ID_FORMAT", malformed("account_id", ACCOUNT_ID)),
         Rule("INVALID_ACCOUNT_TYPE", outside("account_type", ACCOUNT_TYPES)),
         Rule("INVALID_ACCOUNT_STATUS", outside("account_status", ACCOUNT_STATUSES)),
         Rule("INVALID_ACCOUNT_CURRENCY", outside("account_currency", CURRENCIES)),
         Rule("OPENED_DATE_REQUIRED", missing("opened_date")),
-        Rule("OPENED_DATE_IN_FUTURE", future_date("opened_date")),
+        Rule("OPENED_DATE_IN_FUTURE", future_date("opened_date"), CLOCK),
         Rule("INVALID_ADF_RUN_ID", blank("adf_run_id")),
         Rule("INVALID_INGESTED_AT", missing("_ingested_at")),
     ),
@@ -197,24 +205,24 @@ RULES: dict[str, tuple[Rule, ...]] = {
         Rule("INVALID_TRANSACTION_ID", malformed("transaction_id", TRANSACTION_ID)),
         Rule("INVALID_CARD_ID", malformed("card_id", CARD_ID)),
         Rule("INVALID_CUSTOMER_ID", malformed("customer_id", CUSTOMER_ID)),
-        Rule("CUSTOMER_ID_DOES_NOT_EXIST", unknown_reference("customer_id", "_matched_customer_id")),
+        Rule("CUSTOMER_ID_DOES_NOT_EXIST", unknown_reference("customer_id", "_matched_customer_id"), "customers"),
         Rule("INVALID_ACCOUNT_ID", malformed("account_id", ACCOUNT_ID)),
-        Rule("ACCOUNT_ID_DOES_NOT_EXIST", unknown_reference("account_id", "_matched_account_id")),
+        Rule("ACCOUNT_ID_DOES_NOT_EXIST", unknown_reference("account_id", "_matched_account_id"), "accounts"),
         Rule("INVALID_TRANSACTION_AMOUNT", not_positive("transaction_amount")),
-        Rule("INVALID_TRANSACTION_TIMESTAMP", missing_or_future("transaction_timestamp")),
+        Rule("INVALID_TRANSACTION_TIMESTAMP", missing_or_future("transaction_timestamp"), CLOCK),
         Rule("INVALID_AUTH_CODE", _approved_without_code),
         Rule("INVALID_TRANSACTION_STATUS", outside("transaction_status", TRANSACTION_STATUSES)),
     ),
     "swipes": (
         Rule("INVALID_SWIPE_ID", malformed("swipe_id", SWIPE_ID)),
         Rule("INVALID_CUSTOMER_ID", malformed("customer_id", CUSTOMER_ID)),
-        Rule("CUSTOMER_ID_DOES_NOT_EXIST", unknown_reference("customer_id", "_matched_customer_id")),
+        Rule("CUSTOMER_ID_DOES_NOT_EXIST", unknown_reference("customer_id", "_matched_customer_id"), "customers"),
         Rule("INVALID_ACCOUNT_ID", malformed("account_id", ACCOUNT_ID)),
-        Rule("ACCOUNT_ID_DOES_NOT_EXIST", unknown_reference("account_id", "_matched_account_id")),
+        Rule("ACCOUNT_ID_DOES_NOT_EXIST", unknown_reference("account_id", "_matched_account_id"), "accounts"),
         Rule("INVALID_CARD_ID", malformed("card_id", CARD_ID)),
         Rule("INVALID_COUNTRY", blank("country")),
         Rule("INVALID_CARD_SWIPE_AMOUNT", not_positive("card_swipe_amount")),
-        Rule("INVALID_TIMESTAMP", missing_or_future("swipe_timestamp")),
+        Rule("INVALID_TIMESTAMP", missing_or_future("swipe_timestamp"), CLOCK),
     ),
     "sanctions": (
         Rule("INVALID_ENTITY_TYPE", missing("entity_type")),

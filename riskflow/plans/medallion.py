@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 from riskflow.operators import alerts, calendar, history, quality, watchlist
 from riskflow.operators.rules import Clock
 from riskflow.plans import gold
+from riskflow.plans.incremental import DomainState
 from riskflow.plans.silver import ACCOUNTS, CUSTOMERS, SANCTIONS, SWIPES, TRANSACTIONS, Domain
 from riskflow.sources import ingest, readers, schemas
 from riskflow.sources.lakehouse import FAILED, IN_PROGRESS, SUCCEEDED, Lakehouse
-from riskflow.sources.writers import append_available_now
-from riskflow.streaming.flows import REJECTED, VALID, SwipeFlows
+from riskflow.streaming.flows import SwipeFlows
 
 # Columns the stored tables are ordered by, unless the control table names others:
 # what their readers join and filter on.
@@ -109,13 +109,9 @@ class Medallion:
             # A table that no feed declares has the columns its files name.
             columns = schemas.FEEDS.get(table, ())
             where = f"{raw_root}/{folder}"
-            if source.file_format.lower() == "jsonl":
-                raw = readers.read_lines(self.spark, where, columns, self.run_id, files, archive_dir=archive)
-                append_available_now(raw, out, checkpoint, timeout=self.timeout)
-            else:
-                ingest.ingest_files(
-                    self.spark, where, out, checkpoint, columns, self.run_id, files, source.file_format, None, archive, timeout=self.timeout
-                )
+            ingest.ingest_files(
+                self.spark, where, out, checkpoint, columns, self.run_id, files, source.file_format, None, archive, timeout=self.timeout
+            )
             return SourceResult(table)
         except Exception as e:  # recorded per source, raised for all at the end
             return SourceResult(table, str(e))
@@ -136,21 +132,12 @@ class Medallion:
                 self.lake.publish("monitoring", "dq_swipes", metrics)
 
     def _latest(self, domain: Domain, references: Mapping[str, DataFrame]) -> DataFrame:
-        """Accepted newest rows of a domain; stores the rejected rows and the metrics.
+        """Accepted newest rows of a domain after the new batches of bronze, the only ones that are read."""
+        return DomainState(self.lake, domain, self.clock).advance(references)
 
-        The validated rows are stored once, split by outcome, so that parsing
-        and reference joins run once for all three results.
-        """
-        schema = readers.bronze_schema(schemas.FEEDS[domain.name])
-        bronze = readers.read_table(self.spark, self.lake.path("bronze", domain.name), schema)
-        validated = domain.validate(domain.clean(bronze, self.clock), references, self.clock)
-        outcome = F.when(F.size(quality.REASONS) == 0, VALID).otherwise(REJECTED)
-        staged = self.lake.publish(
-            "staging", f"validated_{domain.name}", validated.withColumn("outcome", outcome), partition_by=["outcome"]
-        )
-        rejected = domain.rejected(staged.where(F.col("outcome") == REJECTED).drop("outcome"), self.clock)
-        self.lake.publish("silver", f"rejected_{domain.name}", rejected)
-        return domain.latest(staged.where(F.col("outcome") == VALID).drop("outcome"))
+    def rejected(self, domain: Domain) -> DataFrame:
+        """All rejected rows of a domain with their reasons, as of this run."""
+        return DomainState(self.lake, domain, self.clock).rejected()
 
     def _cluster_keys(self, domain: Domain, df: DataFrame) -> list[str]:
         """The keys as far as the table has them; a wrong key costs order, not the run, and is noted."""

@@ -9,29 +9,42 @@ and nothing is ingested twice.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskflow.sources.readers import ANY_AGE, BATCH_STAMPS, RESCUED, text_schema, with_provenance
+from riskflow.sources.readers import ANY_AGE, BATCH_STAMPS, RESCUED, text_schema, with_provenance, with_rescued
 
 FILES = "path string, modificationTime timestamp, length long, content binary"
-#: Files of one micro-batch: bounds the names the driver holds and the headers it asks for.
-FILES_PER_BATCH = 1000
+#: Files of one micro-batch: bounds the names the driver holds.
+FILES_PER_BATCH = 10_000
 BATCH = "ingest_batch"
 
 
+def first_lines(spark: SparkSession, paths: Sequence[str], comment: str | None = None) -> DataFrame:
+    """(header, paths): the files of a micro-batch grouped by their first line that is not blank (nor a comment).
+
+    One job for all files, the lines are read in tasks: the first of a file is the one with the smallest line number of the part
+    that begins the file, found with a partial minimum. Files without such a line are not listed.
+    """
+    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    numbered = lines.withColumn("number", F.monotonically_increasing_id()).where((F.col("start") == 0) & (F.trim("value") != ""))
+    if comment:
+        numbered = numbered.where(~F.startswith(F.ltrim("value"), F.lit(comment)))
+    first = numbered.groupBy("path").agg(F.min_by("value", "number").alias("header"))
+    return first.groupBy("header").agg(F.collect_list("path").alias("paths"))
+
+
 def _headers(spark: SparkSession, paths: Sequence[str], options: Mapping[str, str]) -> dict[tuple[str, ...], list[str]]:
-    """Paths by their header. Spark reads a file's first line for it, not the file."""
-    reader = lambda path: tuple(spark.read.options(**options).csv(path).columns)
-    with ThreadPoolExecutor(8) as pool:
-        found = list(pool.map(reader, paths))
+    """Paths by their column names. The catalogue of first lines is made by tasks; Spark's own reader then reads the names off one
+    file per different line, of which a feed has few."""
     groups: dict[tuple[str, ...], list[str]] = {}
-    for header, path in zip(found, paths):
-        groups.setdefault(header, []).append(path)
+    for row in first_lines(spark, paths, options.get("comment")).collect():
+        files = [unquote(p) for p in row.paths]
+        groups.setdefault(tuple(spark.read.options(**options).csv(files[0]).columns), []).extend(files)
     return groups
 
 
@@ -60,6 +73,8 @@ def read_csv_files(spark: SparkSession, paths: Sequence[str], columns: Sequence[
         _by_name(spark.read.options(**options).schema(text_schema([*header, RESCUED])).csv(group), columns)
         for header, group in groups.items()
     ]
+    if not parts:
+        return spark.createDataFrame([], text_schema([*columns, RESCUED, "_path"]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -86,7 +101,13 @@ def read_json_files(spark: SparkSession, paths: Sequence[str], columns: Sequence
     return df.select(*first, *more, rescued, path)
 
 
-READERS = {"csv": read_csv_files, "json": read_json_files}
+def read_line_files(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], options: Mapping[str, str] = {}) -> DataFrame:
+    """JSON lines: declared fields, and all others as rescued JSON text."""
+    lines = spark.read.options(**options).text(list(paths)).select(F.col("value").alias("_record"), F.col("_metadata.file_path").alias("_path"))
+    return with_rescued(lines, "_record", columns)
+
+
+READERS = {"csv": read_csv_files, "json": read_json_files, "jsonl": read_line_files}
 
 
 def ingest_files(

@@ -21,7 +21,7 @@ from riskflow.sources.writers import write_clustered, write_table
 
 RUN_LOG = "RunId string, PipelineName string, Status string, Start timestamp, TimeGenerated timestamp, Attempt string"
 # The step that writes a layer.
-STEP = {"staging": "silver", "silver": "silver", "monitoring": "silver", "gold": "gold"}
+STEP = {"staging": "silver", "state": "silver", "silver": "silver", "monitoring": "silver", "gold": "gold"}
 IN_PROGRESS, SUCCEEDED, FAILED = "InProgress", "Succeeded", "Failed"
 OPEN, CLOSED = "open", "closed"
 
@@ -93,6 +93,11 @@ class Lakehouse:
     def read(self, layer: str, table: str, run: str) -> DataFrame:
         return self.spark.read.parquet(self._run_path(layer, table, run))
 
+    def read_runs(self, layer: str, table: str) -> DataFrame:
+        """What all succeeded runs and the present one wrote to a table that every run adds to."""
+        runs = list(dict.fromkeys([*self.finished_runs(STEP.get(layer, layer)), self.run_id]))
+        return self.spark.read.parquet(*[self._run_path(layer, table, r) for r in runs])
+
     def previous(self, layer: str, table: str) -> DataFrame | None:
         """The table as of the last succeeded run of its layer other than this one, if there is one."""
         runs = self.other_runs(STEP.get(layer, layer))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from riskflow.operators.history import END, START
 from riskflow.operators.rules import Clock
 from riskflow.plans.medallion import IngestError, Medallion
+from riskflow.plans.silver import ACCOUNTS, CUSTOMERS, TRANSACTIONS
 
 SWIPE = "0000000a-00bc-4000-8000-00000000000%d"
 
@@ -82,10 +83,10 @@ def test_two_runs(spark, landing):
     m = run(spark, landing, "r1")
     lake = m.lake
 
-    rejected = lake.read("silver", "rejected_customers", "r1").collect()
+    rejected = m.rejected(CUSTOMERS).collect()
     assert [r.rejected_reasons for r in rejected] == [["INVALID_CUSTOMER_ID_FORMAT"]]
-    assert lake.read("silver", "rejected_accounts", "r1").first().rejected_reasons == ["CUSTOMER_NOT_FOUND"]
-    assert lake.read("silver", "rejected_transactions", "r1").first().rejected_reasons == ["CUSTOMER_ID_DOES_NOT_EXIST"]
+    assert m.rejected(ACCOUNTS).first().rejected_reasons == ["CUSTOMER_NOT_FOUND"]
+    assert m.rejected(TRANSACTIONS).first().rejected_reasons == ["CUSTOMER_ID_DOES_NOT_EXIST"]
     bronze = spark.read.parquet(lake.path("bronze", "transactions"))
     assert [r.surprise for r in bronze.where("surprise is not null").collect()] == ["x"]
     metrics = {r.expectation: (r.passed, r.failed) for r in lake.read("monitoring", "dq_swipes", "r1").collect()}

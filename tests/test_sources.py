@@ -174,3 +174,49 @@ def test_work_folder_uses_the_shared_folder(spark):
     folder = work_folder(spark, "x")
     assert folder != work_folder(spark, "x")
     assert folder.startswith(f"{shared.rstrip('/')}/x-" if shared else "/")
+
+
+def jobs_of(spark, action):
+    """Spark jobs that ``action`` starts: job numbers only go up."""
+
+    def number():
+        spark.sparkContext.setJobGroup("mark", "mark")
+        spark.sparkContext.parallelize([1]).count()
+        ids = spark.sparkContext.statusTracker().getJobIdsForGroup("mark")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return max(ids)
+
+    before = number()
+    action()
+    return number() - before - 1
+
+
+def test_ten_thousand_files_start_few_jobs(spark, tmp_path):
+    os.makedirs(tmp_path / "in")
+    layouts = ["a,b\n{0},x{0}\n", "b,a\nx{0},{0}\n", "\n\na,c,b\n{0},c{0},x{0}\n", "a,b\n"]
+    for i in range(10_000):
+        (tmp_path / "in" / f"f {i}.csv").write_text(layouts[i % 4].format(i))
+    jobs = jobs_of(spark, lambda: ingest(spark, tmp_path))
+    assert jobs < 40
+    out = spark.read.parquet(f"{tmp_path}/out")
+    want = {(str(i), f"x{i}", f"c{i}" if i % 4 == 2 else None) for i in range(10_000) if i % 4 < 3}
+    assert {(r.a, r.b, r.c) for r in out.collect()} == want and out.count() == len(want)
+
+
+def test_files_without_any_line(spark, tmp_path):
+    write(f"{tmp_path}/in/1.csv", "")
+    write(f"{tmp_path}/in/2.csv", "\n \n")
+    assert rows(ingest(spark, tmp_path)) == []
+    write(f"{tmp_path}/in/3.csv", "# made by hand\na,b\n1,x\n")
+    assert rows(ingest(spark, tmp_path, options={"comment": "#"})) == [("1", "x", None)]
+
+
+def test_the_header_of_a_file_of_many_parts(spark, tmp_path):
+    """A header is looked for in the part that begins the file only; lines of later parts that look like one are rows."""
+    write(f"{tmp_path}/in/1.csv", "b,a\n" + "x,1\n" * 60_000 + "a,b\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32KB")
+    try:
+        out = ingest(spark, tmp_path)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert out.where("a = '1' AND b = 'x'").count() == 60_000 and out.where("b = 'a'").count() == 1

@@ -14,9 +14,11 @@ from riskflow.operators import alerts, calendar, history, monitoring, quality, w
 from riskflow.operators.dedup import late_rows, stream_dedup
 from riskflow.operators.rules import Clock
 from riskflow.plans import gold
+from riskflow.plans.incremental import DomainState
 from riskflow.plans.silver import ACCOUNTS, CUSTOMERS, DOMAINS, SANCTIONS, SWIPES, TRANSACTIONS, Domain
 from riskflow.session import work_folder
 from riskflow.sources import ingest, readers, schemas
+from riskflow.sources.lakehouse import SUCCEEDED, Lakehouse
 from riskflow.sources.writers import append_available_now, write_clustered, write_table
 from riskflow.streaming.flows import SwipeFlows
 from workload import feeds
@@ -189,6 +191,38 @@ for _domain in DOMAINS.values():
     _domain_queries(_domain)
 
 
+def _delivered(spark: SparkSession, folder: str) -> DomainState:
+    """The transactions in three deliveries, dimensions growing with them; each delivery is taken in by a run of its own."""
+    root, domain = work_folder(spark, "incremental"), TRANSACTIONS
+    schema = readers.bronze_schema(schemas.FEEDS[domain.name])
+    raw = feed(spark, folder, feeds.TRANSACTIONS).withColumn(readers.RESCUED, F.lit(None).cast("string"))
+    raw = raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    delivery = F.pmod(F.xxhash64(*schema.names), F.lit(3))
+    grown = lambda df, key, parts, upto: df.where(F.pmod(F.xxhash64(key), F.lit(parts)) < upto)
+    customers, accounts = feed(spark, folder, feeds.KNOWN_CUSTOMERS), feed(spark, folder, feeds.KNOWN_ACCOUNTS)
+    for i in range(3):
+        lake = Lakehouse(spark, root, f"run-{i}")
+        raw.where(delivery == i).write.parquet(f"{lake.path('bronze', domain.name)}/{ingest.BATCH}={i}")
+        state = DomainState(lake, domain, clock())
+        lake.begin("silver")
+        state.advance({"customers": grown(customers, "customer_id", 2, i + 1), "accounts": grown(accounts, "account_id", 3, i + 1)})
+        lake.report("silver", SUCCEEDED)
+    return state
+
+
+@query
+def silver_incremental(spark, folder):
+    """Accepted transactions after three deliveries, of which each run read its own."""
+    state = _delivered(spark, folder)
+    return portable(state.lake.read("state", "newest_transactions", state.lake.run_id))
+
+
+@query
+def rejects_incremental(spark, folder):
+    """Rejected transactions after three deliveries: those whose customer or account came later are no longer among them."""
+    return portable(_delivered(spark, folder).rejected())
+
+
 @query
 def late_arrivals(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
