@@ -5,17 +5,17 @@ dictionaries, in order, cut both lists of ids into groups; every token of a grou
 A link's count is how many documents of the corpus hold the pair linked.
 
 Both tokenizers treat a single space between two plain characters as the beginning of a word, so a token of either ends there
-whatever surrounds it. Texts are cut at these places and each different chunk of a slice is aligned once; what a text has is the
-sum over its chunks. The test holds this against encoding whole texts.
+whatever surrounds it. Texts are cut at these places and a worker aligns each different chunk once; what a text has is the sum
+over its chunks. The test holds this against encoding whole texts.
 """
 
 from __future__ import annotations
 
-import os
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskflow.llm import chunks, wordhash
+from riskflow.llm.bytelevel import ByteLevel, byte_alphabet
 from riskflow.llm.frames import stored, without
 
 #: The counts of at most so many linked pairs are sent to all tasks (16 bytes each); more are joined.
@@ -60,14 +61,6 @@ class Aligned:
     links: dict[int, int]
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The characters by which byte-level tokenizers write bytes: printable ones stand for themselves, the others are counted
-    up from 256."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in plain]
-    return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(others)}}
-
-
 def align(body: bytes, ids_a: list[int], ids_b: list[int], bytes_a: list[bytes], bytes_b: list[bytes]) -> Aligned | None:
     """None if the tokens of either side are not the bytes of ``body``."""
     if b"".join([bytes_a[i] for i in ids_a]) != body or b"".join([bytes_b[i] for i in ids_b]) != body:
@@ -95,18 +88,15 @@ def _ends(ids: list[int], pieces: list[bytes]) -> dict[int, int]:
 
 
 class Aligner:
-    """Both tokenizers, loaded once per task."""
+    """Both tokenizers, and the chunks they have met. A worker keeps it from task to task."""
 
     def __init__(self, files: Tokenizers):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(files.a)
-        self.a.encode_special_tokens = True
-        alphabet = byte_alphabet()
-        special = self.a.get_added_tokens_decoder()
-        entries = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
+        self.a = ByteLevel(files.a, spaced=True, plain_specials=True)
+        tokenizer, alphabet = self.a.tokenizer, byte_alphabet()
+        special = tokenizer.get_added_tokens_decoder()
+        entries = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
         self.bytes_a = [b"" if i in special else bytes(alphabet[c] for c in e) for i, e in enumerate(entries)]
         self.b = sentencepiece.SentencePieceProcessor(model_file=files.b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
@@ -115,13 +105,26 @@ class Aligner:
         ]
         # A piece that holds a word's beginning further on could cross two chunks.
         self.whole = any(re.search("[^▁]▁", p) for p in pieces)
-        self.remembered = chunks.Remembered(self.aligned)
+        self.table = chunks.Table(self._aligned, self._add, self._clear)
+
+    def _clear(self) -> None:
+        self.ok: list[bool] = []
+        self.groups: list[str] = []
+        self.numbers, self.pairs, self.times = chunks.Lists(), chunks.Lists(), chunks.Lists()
 
-    def aligned(self, texts: list[str]) -> list[Aligned | None]:
+    def _aligned(self, texts: list[str]) -> list[Aligned | None]:
         """``texts`` begin with the space that both tokenizers see before a word."""
-        ids_a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
         ids_b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        return [align(t.encode(), a, b, self.bytes_a, self.bytes_b) for t, a, b in zip(texts, ids_a, ids_b)]
+        return [align(t.encode(), a, b, self.bytes_a, self.bytes_b) for t, a, b in zip(texts, self.a.ids(texts), ids_b)]
+
+    def _add(self, found: list[Aligned | None]) -> None:
+        none = Aligned(0, 0, 0, "", {})
+        self.ok += [f is not None for f in found]
+        some = [f or none for f in found]
+        self.groups += [f.groups for f in some]
+        self.numbers.extend([(f.n_a, f.n_b, f.n_groups, sum(f.links.values())) for f in some])
+        self.pairs.extend([f.links for f in some])
+        self.times.extend([f.links.values() for f in some])
 
     def cuts(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Where chunks begin: every text, and single spaces between plain characters within a text."""
@@ -130,6 +133,42 @@ class Aligner:
         inner = np.flatnonzero((data[1:-1] == 0x20) & _NEXT[data[2:]] & _BEFORE[data[:-2]]) + 1
         return np.union1d(inner, bounds[:-1])
 
+    def slices(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first row, row after the last, chunks' numbers, bounds of the texts in them). A text with a chunk that cannot be
+        aligned has no chunks."""
+        for first, after, data, bounds in wordhash.slices(column):
+            data, bounds = spaced(data, bounds)
+            starts = self.cuts(data, bounds)
+            starts = np.unique(starts[starts < len(data)])
+            which = self.table.numbers(data, starts, np.append(starts[1:], len(data)) if len(starts) else starts)
+            per_text = np.searchsorted(starts, bounds)
+            different = np.unique(which)
+            failing = different[[not self.ok[k] for k in different]] if len(different) else different
+            if len(failing):
+                failed = np.zeros(len(bounds) - 1, bool)
+                failed[np.searchsorted(per_text, np.flatnonzero(np.isin(which, failing)), "right") - 1] = True
+                sizes = np.diff(per_text)
+                which = which[~np.repeat(failed, sizes)]
+                per_text = np.concatenate([[0], np.cumsum(np.where(failed, 0, sizes))])
+            yield first, after, which, per_text
+
+    def per_text(self, which: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, pair, times): every different pair of every text with its number of links."""
+        each, at = self.pairs.take(which)
+        many, _ = self.times.take(which)
+        text = np.repeat(np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)), np.diff(at))
+        order = np.lexsort((each, text))
+        text, each, many = text[order], each[order], many[order]
+        new = np.ones(len(each), bool)
+        new[1:] = (text[1:] != text[:-1]) | (each[1:] != each[:-1])
+        heads = np.flatnonzero(new)
+        return text[heads], each[heads], np.add.reduceat(many, heads) if len(heads) else many
+
+
+@lru_cache(1)
+def aligner_of(files: Tokenizers) -> Aligner:
+    return Aligner(files)
+
 
 def spaced(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Texts with a space before each; empty ones stay empty."""
@@ -139,59 +178,12 @@ def spaced(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.insert(data, places, 0x20), bounds + added
 
 
-def _slices(aligner: Aligner, column: pa.Array) -> Iterator[tuple[int, int, list, np.ndarray, np.ndarray]]:
-    """(first row, row after the last, different chunks as aligned, chunk numbers, bounds of the texts in them). A text with a
-    chunk that cannot be aligned has no chunks."""
-    for first, after, data, bounds in wordhash.slices(column):
-        data, bounds = spaced(data, bounds)
-        starts = aligner.cuts(data, bounds)
-        starts = np.unique(starts[starts < len(data)])
-        ends = np.append(starts[1:], len(data)) if len(starts) else starts
-        coded = chunks.strings(data, starts, ends).dictionary_encode()
-        known = aligner.remembered.values(coded.dictionary.to_pylist())
-        which = coded.indices.to_numpy(zero_copy_only=False)
-        per_text = np.searchsorted(starts, bounds)
-        bad = np.array([k is None for k in known], bool)
-        if bad.any():
-            counts = np.concatenate([[0], np.cumsum(bad[which])])
-            failed = counts[per_text[1:]] > counts[per_text[:-1]]
-            sizes = np.where(failed, 0, np.diff(per_text))
-            keep = ~np.repeat(failed, np.diff(per_text))
-            which, per_text = which[keep], np.concatenate([[0], np.cumsum(sizes)])
-        yield first, after, known, which, per_text
-
-
-def _links(known: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs and numbers of links of all chunks, one after the other, and the chunks' bounds."""
-    lists = [k.links if k is not None else {} for k in known]
-    pairs, bounds = chunks.flat(lists)
-    times, _ = chunks.flat([one.values() for one in lists])
-    return pairs, times, bounds
-
-
-def _per_text(known: list, which: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, pair, times): every different pair of every text with its number of links."""
-    pairs, times, chunk_bounds = _links(known)
-    chunk_text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    each, at = chunks.gathered(pairs, chunk_bounds, which)
-    many, _ = chunks.gathered(times, chunk_bounds, which)
-    text = np.repeat(chunk_text, np.diff(at))
-    order = np.lexsort((each, text))
-    text, each, many = text[order], each[order], many[order]
-    new = np.ones(len(each), bool)
-    new[1:] = (text[1:] != text[:-1]) | (each[1:] != each[:-1])
-    heads = np.flatnonzero(new)
-    return text[heads], each[heads], np.add.reduceat(many, heads) if len(heads) else many
-
-
 def _counter(text: str, files: Tokenizers):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = None
+        aligner = aligner_of(files)
         for batch in batches:
-            aligner = aligner or Aligner(files)
-            for _, _, known, which, bounds in _slices(aligner, batch.column(batch.schema.names.index(text))):
-                _, pairs, _ = _per_text(known, which, bounds)
-                pair, n = np.unique(pairs, return_counts=True)
+            for _, _, which, bounds in aligner.slices(batch.column(batch.schema.names.index(text))):
+                pair, n = np.unique(aligner.per_text(which, bounds)[1], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "n"])
 
     return count
@@ -199,12 +191,11 @@ def _counter(text: str, files: Tokenizers):
 
 def _lister(row: str, text: str, files: Tokenizers):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = None
+        aligner = aligner_of(files)
         for batch in batches:
-            aligner = aligner or Aligner(files)
             numbers = batch.column(batch.schema.names.index(row)).to_numpy()
-            for first, _, known, which, bounds in _slices(aligner, batch.column(batch.schema.names.index(text))):
-                texts, pairs, times = _per_text(known, which, bounds)
+            for first, _, which, bounds in aligner.slices(batch.column(batch.schema.names.index(text))):
+                texts, pairs, times = aligner.per_text(which, bounds)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(numbers[first + texts]), pa.array(pairs), pa.array(times)], names=[row, "pair", "times"]
                 )
@@ -212,29 +203,30 @@ def _lister(row: str, text: str, files: Tokenizers):
     return each
 
 
+def _totals(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of runs of ``values``."""
+    return np.diff(np.concatenate([[0], np.cumsum(values)])[bounds])
+
+
 def _writer(text: str, files: Tokenizers, counts):
     """Own columns per row; with ``counts`` (pairs, numbers, whether highest of their A id, as broadcast) the sums as well."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, sums = None, None
+        aligner, sums = aligner_of(files), counts.value if counts is not None else None
         for batch in batches:
-            aligner = aligner or Aligner(files)
-            if counts is not None and sums is None:
-                sums = counts.value
             rest = batch.drop_columns([text])
-            for first, after, known, which, bounds in _slices(aligner, batch.column(batch.schema.names.index(text))):
-                total = lambda values: np.diff(np.concatenate([[0], np.cumsum(values[which])])[bounds])  # noqa: E731, B023
-                of = lambda f: total(np.array([0 if k is None else f(k) for k in known], np.int64))  # noqa: E731, B023
-                own = [of(lambda k: k.n_a), of(lambda k: k.n_b), of(lambda k: k.n_groups), of(lambda k: sum(k.links.values()))]
-                shown = [k.groups if k is not None else "" for k in known]
-                groups = [";".join([shown[w] for w in which[a:b]]) for a, b in zip(bounds, bounds[1:])]
-                columns = [*map(pa.array, own), pa.array(groups, pa.string())]
+            for first, after, which, bounds in aligner.slices(batch.column(batch.schema.names.index(text))):
+                numbers = aligner.numbers.take(which)[0].reshape(-1, 4)
+                shown = [aligner.groups[w] for w in which]
+                groups = [";".join(shown[a:b]) for a, b in zip(bounds, bounds[1:])]
+                columns = [*(pa.array(_totals(numbers[:, i], bounds)) for i in range(4)), pa.array(groups, pa.string())]
                 if sums is not None:
-                    pairs, times, at = _links(known)
+                    different, back = np.unique(which, return_inverse=True)
+                    pairs, at = aligner.pairs.take(different)
+                    times, _ = aligner.times.take(different)
                     found = np.searchsorted(sums[0], pairs)
                     for values in (sums[2], sums[1]):
-                        per_link = np.concatenate([[0], np.cumsum(values[found] * times)])
-                        columns.append(pa.array(total(np.diff(per_link[at]))))
+                        columns.append(pa.array(_totals(_totals(values[found] * times, at)[back], bounds)))
                 part = rest.slice(first, after - first)
                 names = [*part.schema.names, *OWN, *(SUMS if sums is not None else ())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=names)

@@ -5,13 +5,14 @@ sequence by itself, so no sequence crosses documents and none is padded; sequenc
 batches of one shape are drawn. Sequences are numbered bucket by bucket, in an order that a hash of their content decides.
 
 White space parts the words of the tokenizer and is dropped, so a text is encoded word by word, every different word of a slice
-once; the test holds this against encoding whole texts.
+once per worker; the test holds this against encoding whole texts.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.llm import chunks, wordhash
+from riskflow.llm.bytelevel import ByteLevel
 from riskflow.llm.frames import extended, stored, without
 from riskflow.llm.sharding import BUCKET_ROWS, MOST_BUCKETS, numbered
 
@@ -33,38 +35,42 @@ def lengths(n: int, longest: int = LONGEST) -> list[int]:
     return [longest] * (n // longest) + [1 << i for i in reversed(range(longest.bit_length())) if rest >> i & 1]
 
 
-def _encoder(path: str) -> chunks.Remembered:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
+class Encoder:
+    """A tokenizer and the words it has met. A worker keeps it from task to task."""
 
-    tokenizer = Tokenizer.from_file(path)
-    return chunks.Remembered(lambda words: [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)])
+    def __init__(self, path: str):
+        self.words = ByteLevel(path, spaced=False)
+        self.table = chunks.Table(self.words.ids, lambda results: self.ids.extend(results), self._clear)
 
+    def _clear(self) -> None:
+        self.ids = chunks.Lists(np.uint32)
 
-def encoded(encoder: chunks.Remembered, data: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of texts, each closed by ``end``, and the texts' bounds."""
-    found = wordhash.words(data, bounds, fold=False)
-    words = chunks.strings(data, found.starts, found.ends).dictionary_encode()
-    ids, sizes = chunks.flat(encoder.values(words.dictionary.to_pylist()), np.uint32)
-    ids, word_bounds = chunks.gathered(ids, sizes, words.indices.to_numpy(zero_copy_only=False))
-    text_bounds = word_bounds[found.bounds]
-    ids = np.insert(ids, text_bounds[1:], end).astype("<u4")
-    return ids, text_bounds + np.arange(len(text_bounds))
+    def encode(self, data: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, each closed by ``end``, and the texts' bounds."""
+        found = wordhash.words(data, bounds, fold=False)
+        which = self.table.numbers(data, found.starts, found.ends)  # may begin a new list of ids
+        ids, word_bounds = self.ids.take(which)
+        text_bounds = word_bounds[found.bounds]
+        return np.insert(ids, text_bounds[1:], end).astype("<u4"), text_bounds + np.arange(len(text_bounds))
+
+
+@lru_cache(1)
+def encoder_of(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def _splitter(text: str, path: str, longest: int, end: int):
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        encoder = encoder_of(path)
         for batch in batches:
-            encoder = encoder or _encoder(path)
             column = batch.column(batch.schema.names.index(text))
             rest = batch.drop_columns([text])
             for first, after, data, bounds in wordhash.slices(column):
-                ids, places = encoded(encoder, data, bounds, end)
+                ids, places = encoder.encode(data, bounds, end)
                 sizes = np.diff(places)
                 pieces = [lengths(int(n), longest) for n in sizes]
-                n, per_row = chunks.flat(pieces)
-                row = np.repeat(np.arange(len(sizes)), np.diff(per_row))
+                n = np.fromiter(chain.from_iterable(pieces), np.int64)
+                row = np.repeat(np.arange(len(sizes)), list(map(len, pieces)))
                 at = np.concatenate([[0], np.cumsum(n)])
                 body = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(at * 4), pa.py_buffer(ids)])
                 for low in range(0, len(n), 4096):

@@ -1,0 +1,114 @@
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from riskflow.llm import collocations
+from riskflow.llm.oracles import ORACLES
+from riskflow.llm.queries import QUERIES
+from tests.compare import difference
+
+SCHEMA = "doc_id long, text string, lang string, n string, phrase string, shard string"
+FOLDED = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, support=10, longest=3, top=2000):
+    """(text, lang) rows as collocations, from the definition."""
+    f, n = {}, Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        counts = f.setdefault(lang, Counter())
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", (text or "").translate(FOLDED)):
+            words = re.findall("[^ \t]+", piece)
+            n[lang] += len(words)
+            for k in range(1, longest + 1):
+                counts.update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    out = []
+    for lang, counts in f.items():
+        found = {p: a for p, a in counts.items() if len(p) > 1 and a >= support}
+        rated = []
+        for p, a in found.items():
+            longer = [q for q in found if len(q) > len(p) and any(q[i : i + len(p)] == p for i in range(len(q)))]
+            if any(100 * found[q] >= 50 * a for q in longer):
+                continue
+            cuts = [(1000000 * a * a // (counts[p[:k]] * counts[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            rated.append((-score, -a, " ".join(p).encode(), counts[p[:k]], counts[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(rated)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n[lang], -score))
+    return sorted(out)
+
+
+def found(spark, rows, **options):
+    df = spark.createDataFrame([(i, t, lang, "x", "y", "z") for i, (t, lang) in enumerate(rows)], SCHEMA)
+    return sorted(tuple(r) for r in collocations.mine(df, **options).collect())
+
+
+def texts(seed, docs=60, words=9):
+    """Prose over few words with separators, blanks and capitals of all kinds; one language holds most rows, one has few."""
+    draw = random.Random(seed)
+    vocabulary = ["a", "B", "the", "of", "état", "漢字", "ÀB", "x-y", "'s", "q" * 300]
+    parts = [" ", " ", " ", " ", "  ", "\t", ". ", ",", "\n", "; ", "\r\n", "\x0b", " \xa0 "]
+    rows = []
+    for _ in range(docs):
+        text = "".join(draw.choice(vocabulary[:words]) + draw.choice(parts) for _ in range(draw.randrange(0, 80)))
+        rows.append((text, draw.choice(["en", "en", "en", "fr", None, "und", ""])))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_against_brute_force(spark, seed):
+    rows = texts(seed)
+    want = brute(rows)
+    assert len(want) > 20 and found(spark, rows) == want
+
+
+def test_other_parameters_against_brute_force(spark):
+    rows = texts(7, docs=40, words=5)
+    for options in ({"support": 3, "longest": 4, "top": 7}, {"support": 1, "longest": 2, "top": 50}, {"support": 25, "longest": 3, "top": 5}):
+        want = brute(rows, **options)
+        assert want and found(spark, rows, **options) == want
+
+
+def test_shards_and_filters_change_nothing(spark, monkeypatch):
+    """A filter so small that every bit is set, and one shard or many, leave the result as it is."""
+    rows = texts(11)
+    want = brute(rows)
+    assert found(spark, rows, shards=1) == want and found(spark, rows, shards=9) == want
+    monkeypatch.setattr(collocations.sent_filter, "__defaults__", (64,))
+    assert found(spark, rows) == want
+
+
+def test_one_phrase_in_one_document_and_ties(spark):
+    """All occurrences in one shard; equal scores go by a, then by bytes."""
+    rows = [("new york. " * 10 + "san jose. " * 10 + "É b. " * 10 + "z z z. " * 10, "en"), ("other words here", "en")]
+    got = found(spark, rows)
+    assert got == brute(rows)
+    assert [g[2] for g in got][:3] == ["new york", "san jose", "É b"]
+
+
+def test_products_beyond_64_bits(spark):
+    big = 10**13
+    found_ = spark.createDataFrame([("en", "a b", 2, big)], "lang string, phrase string, words int, a long")
+    words = spark.createDataFrame([("en", "a", big + 1, 0), ("en", "b", 3 * big, 0)], "lang string, phrase string, a long, total long")
+    row = collocations._scores(found_, words, 3).first()
+    assert row.score == 10**6 * big * big // ((big + 1) * 3 * big) and (row.l, row.r) == (big + 1, 3 * big)
+
+
+def test_nulls_empty_repeated_and_long(spark):
+    rows = [(None, None), ("", "en"), (" .,\n", "en"), ("one", "fr")]
+    assert found(spark, rows) == []
+    assert found(spark, []) == []
+    long = "very long text " * 40_000
+    repeated = [(long, "en")] * 3
+    assert found(spark, repeated) == brute(repeated)
+    df = spark.createDataFrame([(None, "a b " * 6, "en"), (None, "a b " * 6, "en")], "doc_id long, text string, lang string")
+    assert [(r.phrase, r.a) for r in collocations.mine(df).orderBy("rank").collect()] == [x[2:4] for x in brute([("a b " * 6, "en")] * 2)]
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.text, r.lang) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    assert sorted(tuple(r) for r in QUERIES["op11_collocations"](spark, folder).collect()) == brute(rows)
+    assert difference(spark, folder, QUERIES["op11_collocations"], ORACLES["op11_collocations"]) is None
