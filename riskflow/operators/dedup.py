@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Collection, Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,9 +68,49 @@ def stream_dedup(
     return drop(marked, [key])
 
 
-def late_rows(df: DataFrame, accepted: DataFrame, key: str = "swipe_id") -> DataFrame:
-    """Rows of a stream that ``stream_dedup`` dropped for being behind the watermark, once it has seen the same input.
+EVENT_DAY = "event_day"
+#: Copies of a row lie within this of each other: what ``stream_dedup`` remembers a key for by default.
+DELAY = "24 hours"
 
-    A row it dropped as a copy has its key among the ``accepted``; the key of a late row is not there.
+
+def with_event_day(df: DataFrame, event_time: str = "swipe_timestamp") -> DataFrame:
+    """Adds the day tables of events are partitioned by."""
+    return df.withColumn(EVENT_DAY, F.to_date(event_time))
+
+
+def near_days(batch: DataFrame, event_time: str, reach: int = 1) -> list[date]:
+    """The days on which copies of a micro-batch's rows can be: one entry per day of the batch and its neighbours."""
+    days = [r[0] for r in batch.select(F.to_date(event_time)).distinct().collect() if r[0]]
+    return sorted({d + timedelta(days=i) for d in days for i in range(-reach, reach + 1)})
+
+
+def _unlike(rows: DataFrame, others: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
+    """Rows without a row of their key within ``delay`` among ``others``."""
+    known = others.select(F.col(key).alias("_key"), F.col(event_time).alias("_time"))
+    span = F.expr(f"INTERVAL {delay}")
+    copy = (F.col(key) == F.col("_key")) & (F.col("_time") <= F.col(event_time) + span) & (F.col("_time") >= F.col(event_time) - span)
+    return rows.join(known, copy, "left_anti")
+
+
+def late_rows(
+    batch: DataFrame,
+    accepted: DataFrame,
+    late: DataFrame | None = None,
+    key: str = "swipe_id",
+    event_time: str = "swipe_timestamp",
+    delay: str = DELAY,
+) -> DataFrame:
+    """Rows of a micro-batch that ``stream_dedup`` dropped for being behind the watermark, once it has seen the same input.
+
+    A row it dropped as a copy has a row of its key within ``delay`` among the ``accepted``; a late row has none, nor one among
+    the rows ``late`` before. Both tables are partitioned by event day, and only the days next to those of the batch are read.
+    Late rows of one key within ``delay`` of the one before are copies too.
     """
-    return df.join(accepted.select(key).distinct(), key, "left_anti")
+    days = F.col(EVENT_DAY).isin(near_days(batch, event_time))
+    found = _unlike(batch, accepted.where(days), key, event_time, delay)
+    if late is not None:
+        found = _unlike(found, late.where(days), key, event_time, delay)
+    single = latest_per_key(found, [key, event_time])
+    before = F.lag(event_time).over(Window.partitionBy(key).orderBy(event_time))
+    apart = before.isNull() | (F.col(event_time) > before + F.expr(f"INTERVAL {delay}"))
+    return single.withColumn("_apart", apart).where("_apart").drop("_apart")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskflow.operators.rules import EXPECTATIONS, RULES, Clock
 
 REASONS = "rejected_reasons"
+METRICS = T.StructType().add("expectation", T.StringType()).add("passed", T.LongType()).add("failed", T.LongType()).add("unknown", T.LongType())
 MATCH_PREFIX = "_matched_"
 
 

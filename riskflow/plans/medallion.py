@@ -18,7 +18,7 @@ from riskflow.operators import alerts, calendar, history, quality, watchlist
 from riskflow.operators.rules import Clock
 from riskflow.plans import gold
 from riskflow.plans.incremental import DomainState
-from riskflow.plans.silver import ACCOUNTS, CUSTOMERS, SANCTIONS, SWIPES, TRANSACTIONS, Domain
+from riskflow.plans.silver import ACCOUNTS, CUSTOMERS, SANCTIONS, TRANSACTIONS, Domain
 from riskflow.sources import ingest, readers, schemas
 from riskflow.sources.lakehouse import FAILED, IN_PROGRESS, SUCCEEDED, Lakehouse
 from riskflow.streaming.flows import SwipeFlows
@@ -128,8 +128,7 @@ class Medallion:
             self.lake.publish("silver", "sanction_hits", watchlist.hits(customers, sanctions))
             if with_swipes:
                 self.swipes.to_silver(known)
-                metrics = quality.expectation_metrics(self.swipes.read("silver_card_swipes"), SWIPES.name, self.clock)
-                self.lake.publish("monitoring", "dq_swipes", metrics)
+                self.lake.publish("monitoring", "dq_swipes", self.swipes.metrics())
 
     def _latest(self, domain: Domain, references: Mapping[str, DataFrame]) -> DataFrame:
         """Accepted newest rows of a domain after the new batches of bronze, the only ones that are read."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +33,21 @@ def append_available_now(
     return query
 
 
+def for_each_batch(
+    df: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str, timeout: int | None = None
+) -> StreamingQuery:
+    """Hand all input that is available to ``store``, batch by batch, then stop.
+
+    A batch that is run again has the same number and input: what ``store`` keeps under the number, replacing what is there, it
+    keeps once.
+    """
+    query = df.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    if not query.awaitTermination(timeout) and timeout is not None:
+        query.stop()
+        raise TimeoutError(f"stream with checkpoint {checkpoint} still runs after {timeout} s")
+    return query
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
     """Store a table in files of even size.
 

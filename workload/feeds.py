@@ -124,9 +124,9 @@ SELECT
   CASE WHEN k % 167 = 0 THEN ' ' ELSE 'shop ' || event_type END AS merchant,
   CASE WHEN k % 13 = 0 THEN '' ELSE cast(5000 + k % 6000 as string) END AS mcc_code,
   CASE WHEN event_type = 'error' THEN 'true' WHEN k % 7 = 0 THEN NULL ELSE 'false' END AS _flag_hint,
-  '2024-02-01 00:00:00' AS ingested_at,
-  'run-7' AS adf_run_id,
-  'swipes.jsonl' AS file_name
+  CASE WHEN k % 163 = 0 THEN 'no time' ELSE '2024-02-01 00:00:00' END AS ingested_at,
+  CASE WHEN k % 173 = 0 THEN ' ' ELSE 'run-7' END AS adf_run_id,
+  CASE WHEN k % 179 = 0 THEN NULL ELSE 'swipes.jsonl' END AS file_name
 FROM {_twice("event_id AS k, ts, user_id, event_type, value", "events")}
 """
 

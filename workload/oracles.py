@@ -438,6 +438,14 @@ def accepted(domain: str) -> str:
     return newest(f"(SELECT * FROM {judged(domain)} WHERE len(rejected_reasons) = 0)", domain)
 
 
+def metrics(rows: str, holds: dict[str, str]) -> str:
+    return f"WITH c AS MATERIALIZED (SELECT * FROM {rows}) " + " UNION ALL ".join(
+        f"SELECT '{n}' AS expectation, count(*) FILTER (WHERE {x}) AS passed, count(*) FILTER (WHERE NOT ({x})) AS failed,"
+        f" count(*) FILTER (WHERE ({x}) IS NULL) AS unknown FROM c"
+        for n, x in holds.items()
+    )
+
+
 def view(columns: list[str], rows: str) -> str:
     return f"SELECT {', '.join(shown(c) for c in columns)} FROM {rows}"
 
@@ -454,11 +462,7 @@ for _domain in CLEANED:
         _bad = newest(_bad, _domain)
     ORACLES[f"reject_{_domain}"] = view([*outputs(_domain), "rejected_reasons"], _bad)
     ORACLES[f"clean_{_domain}"] = view(outputs(_domain), accepted(_domain))
-    ORACLES[f"dq_metrics_{_domain}"] = f"WITH c AS MATERIALIZED (SELECT * FROM {cleaned(_domain)}) " + " UNION ALL ".join(
-        f"SELECT '{n}' AS expectation, count(*) FILTER (WHERE {x}) AS passed, count(*) FILTER (WHERE NOT ({x})) AS failed,"
-        f" count(*) FILTER (WHERE ({x}) IS NULL) AS unknown FROM c"
-        for n, x in HOLDS[_domain].items()
-    )
+    ORACLES[f"dq_metrics_{_domain}"] = metrics(cleaned(_domain), HOLDS[_domain])
 
 # Three deliveries come to the same rows as one.
 ORACLES["silver_incremental"] = ORACLES["clean_transactions"]
@@ -570,7 +574,6 @@ _HISTORY_ROWS = (
     f" cast(nullif(end_at, -1) AS INTEGER) AS __END_AT FROM ({_HISTORY}))"
 )
 ORACLES["scd2_history"] = f"SELECT * FROM {_HISTORY_ROWS}"
-ORACLES["scd2_current"] = f"SELECT customer_id, status FROM {_HISTORY_ROWS} WHERE __END_AT IS NULL"
 _NEXT = "(SELECT c_custkey AS customer_id, CASE WHEN c_acctbal < 5000 THEN 'F' ELSE 'O' END AS status FROM customer WHERE c_acctbal >= 0)"
 ORACLES["scd2_next_snapshot"] = f"""
 WITH h AS MATERIALIZED (SELECT * FROM {_HISTORY_ROWS}), open AS (SELECT * FROM h WHERE __END_AT IS NULL), s AS {_NEXT}
@@ -580,6 +583,7 @@ UNION ALL SELECT o.customer_id, o.status, o.__START_AT, 99999 FROM open o
   WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.customer_id = o.customer_id AND s.status = o.status)
 UNION ALL SELECT s.customer_id, s.status, 99999, NULL FROM s
   WHERE NOT EXISTS (SELECT 1 FROM open o WHERE s.customer_id = o.customer_id AND s.status = o.status)"""
+ORACLES["scd2_current"] = f"SELECT customer_id, status FROM ({ORACLES['scd2_next_snapshot']}) WHERE __END_AT IS NULL"
 ORACLES["scd1_current"] = f"""
 WITH o AS (SELECT customer_id, arg_max(status, o_orderkey) AS status FROM {feed(feeds.SNAPSHOT_ROWS)} GROUP BY ALL), s AS {_NEXT}
 SELECT s.customer_id, s.status, CASE WHEN o.status = s.status THEN 'old' ELSE 'new' END AS source_file
@@ -633,7 +637,7 @@ ORACLES["clustered_table"] = (
     "SELECT l_suppkey, count(*) AS lines, cast(sum(cast(l_quantity AS BIGINT)) AS BIGINT) AS quantity, cast(0 AS BIGINT) AS unordered,"
     " false AS overlaps FROM lineitem GROUP BY ALL"
 )
-ORACLES["balanced_table"] = "SELECT o_orderstatus, count(*) AS orders, max(o_orderkey) AS last_order FROM orders GROUP BY ALL"
+ORACLES["balanced_table"] = "SELECT o_orderstatus, count(*) AS orders, max(o_orderkey) AS last_order, false AS crumbs FROM orders GROUP BY ALL"
 
 # --- streams -----------------------------------------------------------------
 
@@ -646,18 +650,24 @@ ORACLES["stream_ingest_rescued"] = (
     "SELECT cast(event_id AS VARCHAR) AS swipe_id, event_type AS city,"
     " '{\"user_id\":\"' || cast(user_id AS VARCHAR) || '\"}' AS _rescued_data, 'run-1' AS adf_run_id FROM events"
 )
-_SWIPE_COLUMNS = [c for c in outputs("swipes") if c != "source_file"]
+_FLOW_STAMPS = {"source_file": "valid_source_file", "adf_run_id": "valid_adf_run_id", "_ingested_at": "valid_ingested_at"}
+_SWIPE_COLUMNS = [c for c in outputs("swipes") if c not in _FLOW_STAMPS]
 ORACLES["stream_swipes_valid"] = view(_SWIPE_COLUMNS, accepted("swipes"))
 ORACLES["stream_swipes_rejected"] = view(
     [*_SWIPE_COLUMNS, "rejected_reasons"], f"(SELECT * FROM {judged('swipes')} WHERE len(rejected_reasons) > 0)"
 )
+# The flow stamps these columns itself, always with a value.
+ORACLES["stream_dq_swipes"] = metrics(
+    accepted("swipes"), {n: "true" if n in _FLOW_STAMPS.values() else x for n, x in HOLDS["swipes"].items()}
+)
 
 ORACLES["ingest_csv_by_name"] = """
 SELECT cast(o_orderkey AS VARCHAR) AS o_orderkey, cast(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
   CASE WHEN o_orderkey % 3 = 2 THEN 'c' || o_custkey END AS channel, cast(NULL AS VARCHAR) AS _rescued_data FROM orders"""
 ORACLES["ingest_backfill"] = "SELECT cast(c_custkey AS VARCHAR) AS customer_id, c_mktsegment FROM customer"
 ORACLES["ingest_json_array"] = """
-SELECT cast(n_nationkey AS VARCHAR) AS n_nationkey, n_name, '{"n_regionkey":"' || n_regionkey || '"}' AS region FROM nation"""
+SELECT cast(c_custkey AS VARCHAR) AS c_custkey, c_name,
+  '{"c_nationkey":"' || c_nationkey || '","c_mktsegment":"' || c_mktsegment || '"}' AS home FROM customer"""
 ORACLES["stream_dedup_batches"] = """
 SELECT event_id AS swipe_id, CASE WHEN ts < TIMESTAMP '2024-01-10' AND event_id % 10 = 0 THEN 'late' ELSE 'accepted' END AS outcome
 FROM events"""

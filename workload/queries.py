@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,7 +10,7 @@ from pyspark.sql import types as T
 
 from riskflow.functions import cleaning, masking
 from riskflow.operators import alerts, calendar, history, monitoring, quality, watchlist
-from riskflow.operators.dedup import late_rows, stream_dedup
+from riskflow.operators.dedup import EVENT_DAY, stream_dedup, with_event_day
 from riskflow.operators.rules import Clock
 from riskflow.plans import gold
 from riskflow.plans.incremental import DomainState
@@ -20,7 +19,7 @@ from riskflow.session import work_folder
 from riskflow.sources import ingest, readers, schemas
 from riskflow.sources.lakehouse import SUCCEEDED, Lakehouse
 from riskflow.sources.writers import append_available_now, write_clustered, write_table
-from riskflow.streaming.flows import SwipeFlows
+from riskflow.streaming.flows import SwipeFlows, append_late
 from workload import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -370,18 +369,23 @@ def scd2_history(spark, folder):
     return _history(spark, folder)
 
 
-@query
-def scd2_current(spark, folder):
-    return history.current_rows(_history(spark, folder))
+def _next_history(spark: SparkSession, folder: str) -> DataFrame:
+    next_snapshot = table(spark, folder, "customer").where("c_acctbal >= 0").select(
+        F.col("c_custkey").alias("customer_id"), F.expr("CASE WHEN c_acctbal < 5000 THEN 'F' ELSE 'O' END").alias("status")
+    )
+    return history.scd2_apply(_history(spark, folder), next_snapshot, ["customer_id"], F.lit(99999))
 
 
 @query
 def scd2_next_snapshot(spark, folder):
     """The history of all orders, then one more snapshot: customers in credit by segment."""
-    next_snapshot = table(spark, folder, "customer").where("c_acctbal >= 0").select(
-        F.col("c_custkey").alias("customer_id"), F.expr("CASE WHEN c_acctbal < 5000 THEN 'F' ELSE 'O' END").alias("status")
-    )
-    return history.scd2_apply(_history(spark, folder), next_snapshot, ["customer_id"], F.lit(99999))
+    return _next_history(spark, folder)
+
+
+@query
+def scd2_current(spark, folder):
+    """What is open after that: all customers in credit."""
+    return history.current_rows(_next_history(spark, folder))
 
 
 @query
@@ -449,6 +453,10 @@ def duration_breaches(spark, folder):
 # --- writers -----------------------------------------------------------------
 
 
+#: Compressed size below which a file counts as small.
+SMALL_FILE = 8 * 1024 * 1024
+
+
 @query
 def clustered_table(spark, folder):
     """Line items rewritten in order of supplier and date, read back: rows out of order within their file, and files whose
@@ -474,11 +482,14 @@ def clustered_table(spark, folder):
 
 @query
 def balanced_table(spark, folder):
-    """Orders stored in balanced files per status, read back."""
+    """Orders stored from eight tasks in balanced files per status, read back: whether a status has more than one small file."""
     path = work_folder(spark, "balanced")
-    write_table(table(spark, folder, "orders"), path, partition_by=["o_orderstatus"])
-    stored = readers.read_table(spark, path)
-    return stored.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"), F.max("o_orderkey").alias("last_order"))
+    write_table(table(spark, folder, "orders").repartition(8), path, partition_by=["o_orderstatus"])
+    stored = readers.read_table(spark, path).select("*", "_metadata.file_path", "_metadata.file_size")
+    small = F.countDistinct(F.when(F.col("file_size") < SMALL_FILE, F.col("file_path")))
+    return stored.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("orders"), F.max("o_orderkey").alias("last_order"), (small > 1).alias("crumbs")
+    )
 
 
 # --- streams -----------------------------------------------------------------
@@ -523,9 +534,10 @@ def stream_dedup_batches(spark, folder):
     for rows in (events.where(early & ~held), events.where(~early), events.where(early)):
         rows.write.mode("append").parquet(f"{root}/in")
         stream = lambda: readers.stream_table(spark, f"{root}/in", rows.schema)  # noqa: E731, B023
-        append_available_now(stream_dedup(stream()), f"{root}/accepted", f"{root}/cp-accepted", timeout=STREAM_TIMEOUT)
-        accepted = readers.read_table(spark, f"{root}/accepted", rows.schema)
-        append_available_now(late_rows(stream(), accepted), f"{root}/late", f"{root}/cp-late", timeout=STREAM_TIMEOUT)
+        single = with_event_day(stream_dedup(stream()))
+        append_available_now(single, f"{root}/accepted", f"{root}/cp-accepted", [EVENT_DAY], STREAM_TIMEOUT)
+        accepted = readers.read_table(spark, f"{root}/accepted", single.schema)
+        append_late(stream(), accepted, f"{root}/late", f"{root}/cp-late", STREAM_TIMEOUT)
     late = readers.read_table(spark, f"{root}/late", rows.schema)
     outcome = accepted.withColumn("outcome", F.lit("accepted")).unionByName(late.withColumn("outcome", F.lit("late")))
     return outcome.select("swipe_id", "outcome")
@@ -579,27 +591,30 @@ def ingest_backfill(spark, folder):
     customers = table(spark, folder, "customer").select(F.col("c_custkey").cast("string").alias("customer_id"), "c_mktsegment")
     for i in (0, 1):
         rows = customers.where(F.pmod(F.col("customer_id").cast("bigint"), F.lit(2)) == i)
-        rows.write.mode("append").option("header", True).csv(f"{root}/landing")
+        rows.write.option("header", True).csv(f"{root}/landing/delivery={i}")
         if i:
-            files = spark.read.format("binaryFile").load(f"{root}/landing").select("path", "modificationTime").orderBy("modificationTime")
-            newest = files.collect()[-1].path
-            local = newest.removeprefix("file:")
-            year_ago = os.path.getmtime(local) - 365 * 86400
-            os.utime(local, (year_ago, year_ago))
+            _date_back(spark, f"{root}/landing/delivery={i}", 365)
         out = _ingested(spark, root, ["customer_id", "c_mktsegment"], "csv")
     return out.select("customer_id", "c_mktsegment")
 
 
+def _date_back(spark: SparkSession, folder: str, days: int) -> None:
+    """Set the time stamps of all files of one delivery back, through the file system they are on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        files.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
 @query
 def ingest_json_array(spark, folder):
-    """Nations as one JSON array, with a nested field that was not declared."""
+    """Customers as JSON arrays of up to a thousand, one to a file, with a nested field that was not declared."""
     root = work_folder(spark, "json-array")
-    rows = table(spark, folder, "nation").agg(
-        F.to_json(F.collect_list(F.struct("n_nationkey", "n_name", F.struct("n_regionkey").alias("region")))).alias("value")
-    )
-    rows.write.text(f"{root}/landing")
-    out = _ingested(spark, root, ["n_nationkey", "n_name"], "json")
-    return out.select("n_nationkey", "n_name", "region")
+    row = F.struct("c_custkey", "c_name", F.struct("c_nationkey", "c_mktsegment").alias("home"))
+    groups = table(spark, folder, "customer").groupBy(F.expr("c_custkey div 1000").alias("part"))
+    groups.agg(F.to_json(F.collect_list(row)).alias("value")).write.partitionBy("part").text(f"{root}/landing")
+    out = _ingested(spark, root, ["c_custkey", "c_name"], "json")
+    return out.select("c_custkey", "c_name", "home")
 
 
 @query
@@ -613,6 +628,10 @@ def stream_ingest_rescued(spark, folder):
     return run_stream(spark, raw.drop("ingested_at", "file_name"), "rescued")
 
 
+# What the ingest of the flow stamps itself, in place of the feed's columns.
+FLOW_STAMPS = ("source_file", "adf_run_id", "_ingested_at")
+
+
 def _swipe_flows(spark: SparkSession, folder: str) -> SwipeFlows:
     """The swipes feed through landing files, bronze and the validated table."""
     flows = SwipeFlows(spark, work_folder(spark, "swipes"), clock(), STREAM_TIMEOUT)
@@ -630,11 +649,20 @@ def _swipe_flows(spark: SparkSession, folder: str) -> SwipeFlows:
 def stream_swipes_valid(spark, folder):
     flows = _swipe_flows(spark, folder)
     flows.accept()
-    return portable(flows.read("silver_card_swipes").drop("source_file"))
+    return portable(flows.read("silver_card_swipes").drop(*FLOW_STAMPS, EVENT_DAY))
+
+
+@query
+def stream_dq_swipes(spark, folder):
+    """Expectation counts of the accepted swipes, from the table that holds them batch by batch."""
+    flows = _swipe_flows(spark, folder)
+    flows.accept()
+    flows.measure()
+    return flows.metrics()
 
 
 @query
 def stream_swipes_rejected(spark, folder):
     flows = _swipe_flows(spark, folder)
     flows.reject()
-    return portable(flows.read("rejected_card_swipes").drop("source_file"))
+    return portable(flows.read("rejected_card_swipes").drop(*FLOW_STAMPS))
