@@ -30,9 +30,14 @@ covered AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM counted, (VALUES (0),
 l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
 bodies AS (SELECT doc_id, line, trim(line, {_BLANKS}) AS body FROM l),
 judged AS (SELECT doc_id, line, body, len(regexp_extract_all(body, '{_WORD}')) AS n FROM bodies),
-faulty AS (SELECT *, body <> '' AND (length(body) - length(translate(body, {_text(quality.SEPARATORS)}, '')) >= {quality.MENU_MARKS}
+marked AS (SELECT *, length(body) - length(translate(body, {_text(quality.SEPARATORS)}, '')) AS marks,
+    len(string_split_regex(ltrim(regexp_replace(body, {_text(quality.PAIRED)}, '_', 'g'), {_text(quality.LEADING)} || {_BLANKS}),
+      {_text(quality.SEPARATOR_RUN)})) AS items,
+    len(regexp_extract_all(translate(body, {_text(quality.SEPARATORS)}, {_text(" " * len(quality.SEPARATORS))}), '{_WORD}')) AS parts
+  FROM judged),
+faulty AS (SELECT *, body <> '' AND ((marks >= {quality.MENU_MARKS} AND items > {quality.MENU_MARKS} AND parts <= {quality.ITEM_WORDS} * items)
     OR regexp_matches(body, {_text(quality.MENU_WORDS)}) OR (n < 40 AND ({boiler}))
-    OR (n < {quality.WRAPPED_WORDS} AND NOT regexp_matches(body, {_text(quality.ENDINGS)}))) AS fault FROM judged),
+    OR (n < {quality.WRAPPED_WORDS} AND NOT regexp_matches(body, {_text(quality.ENDINGS)}))) AS fault FROM marked),
 lines AS (SELECT doc_id, count(*) FILTER (body <> '') AS n_lines,
     count(*) FILTER (body <> '') - count(DISTINCT line) FILTER (body <> '') AS n_dup_lines,
     count(*) FILTER (fault) AS n_removed_lines, coalesce(sum({_letters('line')}) FILTER (fault), 0) AS lost

@@ -1,6 +1,10 @@
+import random
+
+import duckdb
 import pytest
 
 from riskflow.llm import quality
+from riskflow.llm.oracles import ORACLES
 from riskflow.llm.queries import QUERIES
 from tests.llm import brute
 
@@ -133,3 +137,37 @@ def test_a_million_characters_end_no_process(spark):
     parts = ["<", "< ", "<>", "«", "« »", "‹›", "l·l", "|", "> ", "a.", '.")', "home ", "a b c ", "\n", "a\n", "»‹"]
     rows = values(spark, [p * (n // len(p)) for p in parts])
     assert [r.n_words > 0 for r in rows] == [p.strip() != "" for p in parts]
+
+
+def test_reference_sql_on_prose_with_separators(spark, tmp_path):
+    """The SQL and the query over texts whose lines hold separators in every way; both verdicts occur among those that pass the
+    base."""
+    draw = random.Random(2)
+    words = [f"w{i}" for i in range(300)]
+    marks = ["|", "»", "›", "·", "•", ">", "<b>", "</b>", "« ", " »", "l·l", "->", "‹", "<"]
+    lines = ["Home | News | About | Contact", "« Oui », dit-il : « non »", ">> quoted reply of some length that goes on", "a › b › c", "| a | b |",
+             "• one • two", "paral·lel col·lecció", "Next page", "Read more", "", "  ", "x", "Ends well.", "»Ja«, sagte er, »nein«."]
+    texts = []
+    for i in range(300):
+        text = []
+        for _ in range(draw.randrange(1, 12)):
+            own = [draw.choice(words) for _ in range(draw.choice([2, 5, 9, 30, 120]))]
+            for _ in range(draw.choice([0, 0, 1, 2, 2, 4])):
+                own.insert(draw.randrange(len(own) + 1), draw.choice(marks))
+            text.append(draw.choice(lines) if draw.random() < 0.3 else " ".join(own) + draw.choice([".", "", "!", '."']))
+        if i % 5 == 0:  # mostly menus
+            text += [" | ".join(draw.sample(words, 12)) for _ in range(4 * len(text))]
+        texts.append("\n".join(text))
+    texts += [None, "", "\n", f"{LONG} | {LONG} » {LONG}.", "\n".join(lines)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    ours = QUERIES["op6_line_quality"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    reference = con.execute(ORACLES["op6_line_quality"])
+    names = [c[0] for c in reference.description]
+    theirs = {r[names.index("doc_id")]: dict(zip(names, r)) for r in reference.fetchall()}
+    got = {r.doc_id: {c: r[c] for c in names} for r in ours.collect()}
+    assert got == theirs
+    passed = [r for r in got.values() if not r["base_failed"]]
+    assert 20 < sum(r["kept"] for r in passed) < len(passed) - 20
