@@ -321,18 +321,21 @@ def fit_texts(texts: list[bytes], labels: np.ndarray, class_sizes: tuple[int, in
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", most: int = MOST_FIT) -> Model:
-    """Fit on a bounded sample of the labelled documents. Null keys, texts and labels other than 0 and 1 are left out."""
+    """Fit on a bounded sample of the labelled documents, at most ``most`` different (key, text) per class. Null keys, texts and
+    labels other than 0 and 1 are left out; repeated rows count once."""
     known = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")).filter("_label in (0, 1)")
     short = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).filter(F.length("_text") <= FIT_CHARS)
-    # Keys and hashes first: only the sample's texts are fetched.
-    joined = short.select("_key").join(known.distinct(), "_key").withColumn("_hash", F.xxhash64("_key"))
+    short = short.withColumn("_body", F.xxhash64("_text"))
+    # Keys and hashes first: only the sample's texts are fetched. Rows that agree in key and text count once.
+    joined = short.select("_key", "_body").distinct().join(known.distinct(), "_key").withColumn("_hash", F.xxhash64("_key"))
     sizes = {r["_label"]: r["count"] for r in joined.groupBy("_label").count().collect()}
     chosen = None
     for c in (0, 1):
-        part = joined.filter(F.col("_label") == c).orderBy("_hash", "_key").limit(most)
+        part = joined.filter(F.col("_label") == c).orderBy("_hash", "_key", "_body").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
-    sample = short.join(F.broadcast(chosen.select("_key", "_label", "_hash")), "_key")
-    rows = sample.select("_text", "_label", "_hash").collect()
+    sample = short.join(F.broadcast(chosen.select("_key", "_body", "_label", "_hash")), ["_key", "_body"])
+    once = sample.groupBy("_key", "_body", "_label", "_hash").agg(F.min("_text").alias("_text"))
+    rows = once.select("_text", "_label", "_hash").collect()
     rows = sorted(((r[2], r[0].encode(), r[1]) for r in rows))
     return fit_texts([r[1] for r in rows], np.array([r[2] for r in rows], int), (sizes.get(0, 0), sizes.get(1, 0)))
 

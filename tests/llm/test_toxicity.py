@@ -129,3 +129,17 @@ def test_query_on_held_out_rows(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
     held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
     assert sum(p == y for p, y in held) >= 0.95 * len(held)
+
+
+def test_the_sample_is_bounded_however_often_rows_repeat(spark, monkeypatch):
+    """Rows of one labelled key, equal and different ones, and others; what is collected stays within the bound per class."""
+    rng = random.Random(6)
+    rows = [(1, "the same text")] * 2000 + [(1, prose(rng, 20)) for _ in range(300)] + [(i, prose(rng, 20)) for i in range(2, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (1, 0)] + [(i, i % 2) for i in range(2, 60)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(t, "fit_texts", lambda texts, marks, sizes: seen.append((texts, marks, sizes)))
+    t.fit(docs, labels, most=100)
+    texts, marks, sizes = seen[0]
+    assert len(texts) <= 200 and sum(marks) <= 100 and len(texts) == len(marks)
+    assert sizes == (301 + 29, 301 + 29)
