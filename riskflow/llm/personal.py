@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from riskflow.llm.frames import extended, stored, without
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 4
 #: A pattern counts from so many known instances and so much confidence; an instance from so much score.
 SUPPORT, CONFIDENT, SURE = 3, 0.7, 0.9
 #: Occurrences of nothing in particular that every pattern is given.
@@ -177,8 +176,16 @@ def _graph(found: DataFrame) -> DataFrame:
     return each.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"))
 
 
-def discover(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(instance, kind, score) of instances that no base pattern matched. ``found``: occurrences, one per row."""
+#: Scores that differ by less count as equal.
+DIGITS = 6
+
+
+def discover(found: DataFrame, rounds: int | None = None) -> DataFrame:
+    """(instance, kind, score) of instances that no base pattern matched. ``found``: occurrences, one per row.
+
+    Rounds go on until no score changes (in DIGITS digits). More score never makes a pattern less sure, nor a surer pattern an
+    instance, so scores only grow from round to round, and the rounds end. ``rounds`` bounds them, for tests.
+    """
     edges = stored(_graph(found), "pattern-graph")
     totals = edges.groupBy("pattern").agg(F.sum("n").alias("total"))
     seeds = found.filter("kind is not null").select("instance", "kind").distinct().withColumn("score", F.lit(1.0))
@@ -186,8 +193,8 @@ def discover(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     shaped = found.filter("kind is null").select("instance", F.explode("shapes").alias("kind")).distinct()
     # An instance that is a seed somewhere is a base match there; elsewhere it may still be found.
     shaped = stored(shaped.join(seeds.select("instance", "kind"), ["instance", "kind"], "left_anti"), "shaped")
-    scores, before = seeds, -1
-    for _ in range(rounds):
+    scores, before = seeds, None
+    while True:
         rated = (
             edges.join(scores, "instance")
             .groupBy("pattern", "kind")
@@ -203,14 +210,16 @@ def discover(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         likely = filled.groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log1p(-F.col("confidence"))))).alias("score"))
         likely = stored(likely, "instance-scores")
         scores = seeds.unionByName(likely)
-        now = likely.filter(F.col("score") >= SURE).count()
-        if now == before:
+        shown = F.xxhash64("instance", "kind", F.round("score", DIGITS))
+        now = likely.agg(F.count(F.lit(1)), F.sum(shown.cast("decimal(38,0)"))).first()
+        rounds = rounds and rounds - 1
+        if now == before or rounds == 0:
             break
         before = now
     return likely.filter(F.col("score") >= SURE)
 
 
-def find_personal(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def find_personal(docs: DataFrame, text: str = "text", rounds: int | None = None) -> DataFrame:
     """All columns of ``docs`` (a clashing one is replaced) and ``personal``: array of (kind, start, end), code points, end
     exclusive. Base kinds are KINDS; what context found has ``_context`` behind its kind. By kind as in KINDS, then context kinds
     in the same order, then start.
@@ -251,7 +260,7 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
 
-def redact(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def redact(docs: DataFrame, text: str = "text", rounds: int | None = None) -> DataFrame:
     """``docs`` with every span of personal data in ``text`` replaced by its kind in brackets; overlapping spans are one, under
     the kind of the first. Null texts stay null."""
     found = find_personal(docs, text, rounds)

@@ -90,3 +90,70 @@ def test_query(spark):
         want = brute.personal(texts[r.doc_id])
         assert r.base_sha256 == brute.sha(want)
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [want.count(f"{k}:") for k in personal.KINDS]
+
+
+def discovered(texts):
+    """The context spans of texts from the definition: plain sums over all occurrences, round by round."""
+    found = [(i, o) for i, t in enumerate(texts) for o in personal.occurrences(t)]
+    n, total = {}, {}
+    for _, o in found:
+        for p in o["patterns"]:
+            n[p, o["instance"]] = n.get((p, o["instance"]), 0) + 1
+            total[p] = total.get(p, 0) + 1
+    seeds = {(o["instance"], o["kind"]): 1.0 for _, o in found if o["kind"]}
+    shaped = {(o["instance"], k) for _, o in found if not o["kind"] for k in o["shapes"]} - set(seeds)
+    likely, before = {}, None
+    while likely != before:
+        before, scores = likely, {**seeds, **likely}
+        good, support = {}, {}
+        for (p, x), times in n.items():
+            for kind in personal.KINDS:
+                if (x, kind) in scores:
+                    good[p, kind] = good.get((p, kind), 0) + times * scores[x, kind]
+                    support[p, kind] = support.get((p, kind), 0) + (scores[x, kind] >= personal.SURE)
+        rated = {k: g / (total[k[0]] + personal.SMOOTHING) for k, g in good.items() if support[k] >= personal.SUPPORT}
+        likely = {}
+        for (p, x), _ in n.items():
+            for kind in personal.KINDS:
+                c = rated.get((p, kind), 0)
+                if (x, kind) in shaped and c >= personal.CONFIDENT:
+                    likely[x, kind] = 1 - (1 - likely.get((x, kind), 0)) * (1 - c)
+        likely = {k: round(v, 9) for k, v in likely.items()}
+    out = [set() for _ in texts]
+    for i, o in found:
+        for (x, kind), score in likely.items():
+            if not o["kind"] and x == o["instance"] and score >= personal.SURE:
+                out[i].add((f"{kind}_context", o["start"], o["end"]))
+    return out
+
+
+def chain(links, rng):
+    """Identifiers of one group are sure only by a frame of words that those of the group before made sure."""
+    numbers = [[f"020 {rng.randrange(1000, 9999)} {rng.randrange(1000, 9999)}" for _ in range(12)] for _ in range(links)]
+    frames = ["alpha phone {} end", *(f"frame{chr(97 + k)} holds {{}} stop{chr(97 + k)}" for k in range(links))]
+    texts = [frames[0].format(f"+44 20 {rng.randrange(10**7, 10**8)}") for _ in range(60)]
+    for k, group in enumerate(numbers):
+        texts += [frames[k].format(n) for n in group] + [frames[k + 1].format(n) for n in group for _ in range(5)]
+    return texts
+
+
+def context(spans):
+    return {s for s in spans if s[0].endswith("_context")}
+
+
+def test_context_spans_against_brute_force(spark):
+    rng = random.Random(8)
+    for texts in (learnt(), chain(2, rng) + learnt(), [t.replace("phone", rng.choice(["phone", "fax"])) for t in chain(3, rng)]):
+        want = discovered(texts)
+        assert any(want)
+        assert [context(s) for s in searched(spark, texts)] == want
+
+
+def test_rounds_go_on_to_the_end(spark):
+    """Identifiers that only a chain of eight patterns and instances reaches."""
+    texts = chain(8, random.Random(3))
+    want = discovered(texts)
+    assert sum(map(bool, want)) == 8 * 12 * 6
+    assert [context(s) for s in searched(spark, texts)] == want
+    few = personal.find_personal(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), rounds=4).collect()
+    assert 0 < sum(any(p.kind.endswith("_context") for p in r.personal) for r in few) < 8 * 12 * 6
