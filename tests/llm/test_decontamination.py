@@ -1,6 +1,8 @@
 import itertools
 import random
 
+import numpy as np
+
 from riskflow.llm import decontamination as d
 from riskflow.llm.queries import QUERIES
 
@@ -79,12 +81,66 @@ def test_items_in_blocks_give_the_same(spark, monkeypatch):
 
 
 def test_short_null_and_empty_items(spark):
-    items = [(1, " ".join(ITEM[:9])), (2, "a b"), (3, None), (4, ""), (None, " ".join(ITEM))]
-    rows = judge(spark, [" ".join([*prose(20), *ITEM[:9], *prose(20)]), "a b"], items)
-    assert [r.item_ids for r in rows] == [[1], []]
+    items = [(1, " ".join(ITEM[:9])), (2, "a b"), (3, None), (4, ""), (5, " ".join(ITEM[20:26])), (None, " ".join(prose(20)))]
+    texts = [" ".join([*prose(20), *ITEM[:9], *prose(20)]), "A, b!", "x a b", f"x {items[4][1]} y", f"{items[5][1]} z", "a b"]
+    texts.append(" ".join([*ITEM[20:23], "zzz", *ITEM[24:26]]))  # one of six words replaced: too little
+    rows = judge(spark, texts, items)
+    assert [r.item_ids for r in rows] == [[1], [2], [], [5], [None], [2], []]
     assert not judge(spark, ["a b"], [(1, None)])[0].contaminated
 
 
+def brute(text, items):
+    """Items with some window of WINDOW words (the whole item, if shorter) at EQUAL percent on some diagonal."""
+    found, words = [], text.split()
+    for i, item in items:
+        own = item.split()
+        width = min(d.WINDOW, len(own))
+        hit = any(
+            100 * sum(0 <= s + k < len(words) and words[s + k] == own[p + k] for k in range(width)) >= d.EQUAL * width
+            for p in range(len(own) - width + 1)
+            for s in range(len(words) - width + 1)
+        )
+        found += [i] if hit else []
+    return found
+
+
+def test_substituted_overlaps_against_brute_force(spark):
+    """Passages of every length with any share of words replaced, over few words so that chance hits occur too."""
+    draw = random.Random(9)
+    few = WORDS[:12]
+    items = [(i, " ".join(draw.choice(few) for _ in range(draw.choice([8, 9, 11, 12, 13, 20, 30])))) for i in range(6)]
+    texts = []
+    for _ in range(150):
+        own = draw.choice(items)[1].split()
+        low = draw.randrange(len(own))
+        part = own[low : low + draw.randrange(8, 31)]
+        rate = draw.choice([0, 0.1, 0.2, 0.3])
+        part = [w if draw.random() > rate else draw.choice(few) for w in part]
+        texts.append(" ".join([*(draw.choice(few) for _ in range(draw.randrange(20))), *part, *(draw.choice(few) for _ in range(draw.randrange(20)))]))
+    want = [brute(t, items) for t in texts]
+    assert 20 < sum(map(bool, want)) < 140
+    assert [r.item_ids for r in judge(spark, texts, items)] == want
+
+
+def test_a_repeated_word_gives_one_hit_per_diagonal():
+    a, b = np.uint64(11), np.uint64(12)
+    for item, text in (([a] * 400, [a] * 10_000), ([a, b] * 200, [a, b] * 5_000)):
+        table = d.SeedTable([(1, np.array(item, np.uint64))])
+        hits = table.hits(np.array(text, np.uint64), np.array([0, len(text)]))
+        assert len(hits) <= len(item) + len(text)
+        assert table.overlap(0, np.array(text, np.uint64), 7 if item[1] == a else 8, 0, len(text))[3] == 100.0
+
+
+def test_a_large_benchmark_takes_one_python_stage_per_job(spark, monkeypatch):
+    """Every job has one Python stage over the documents, whatever the number of blocks."""
+    items = [(i, " ".join(prose(40))) for i in range(60)]
+    monkeypatch.setattr(d, "BLOCK_WORDS", 400)
+    df = spark.createDataFrame([(i, t) for i, t in items], "doc_id long, text string")
+    out = d.decontaminate(df, spark.createDataFrame(items, "item_id long, text string"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 0
+    assert all(r.item_ids == [r.doc_id] for r in out.collect())
+
+
 def test_nulls_repeats_clashes_and_empty_table(spark):
     leak = " ".join(ITEM)
     df = spark.createDataFrame([(None, leak, "x", "y"), (None, "clean", "x", "y"), (1, leak, "x", "y"), (1, leak, "x", "y")], SCHEMA)
