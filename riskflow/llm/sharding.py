@@ -1,6 +1,6 @@
 """Proportional stratified interleaving.
 
-Rows are shuffled by a seeded hash and ranked within their stratum; the fractional rank spreads every stratum evenly over
+Rows are shuffled by a seeded hash of key and text and ranked within their stratum; the fractional rank spreads every stratum evenly over
 [0, 1). All rows sorted by fractional rank and cut into equal runs give shards whose sizes differ by one row at most and
 whose mixture is that of the whole.
 
@@ -67,7 +67,7 @@ def assign_shards(
         stratum_of(stratum).alias("_stratum"),
         text_size(text).alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary")).alias("_hash"),
+        F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")), F.crc32(body.cast("binary")).cast("string")).cast("binary")).alias("_hash"),
     )
     slim = stored(slim, "shard-keys")
     rows = slim.count()

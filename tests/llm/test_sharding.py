@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 from collections import Counter
 
@@ -75,3 +76,38 @@ def test_query(spark):
     assert all(r.text_crc32 == zlib.crc32(texts[r.doc_id].encode()) for r in rows)
     assert out.filter("law != 'rows' or grown_shard is not null").isEmpty()
     assert out.select(F.countDistinct("doc_id")).first()[0] == len(texts)
+
+
+def brute(rows, shards, seed="shards-1"):
+    """(key, source, size, crc, shard, slot) from the definition: sort all rows by fractional rank, cut into equal runs."""
+    by_source = {}
+    for key, text, source in rows:
+        body = (text or "").encode()
+        mark = hashlib.md5(f"{seed}:{'' if key is None else key}:{zlib.crc32(body)}".encode()).hexdigest()
+        stratum = "n" if source is None else "v" + source
+        by_source.setdefault(stratum, []).append((mark, (key is not None, key or 0), len(body) + 1, zlib.crc32(body), key, source))
+    placed = []
+    for stratum, own in by_source.items():
+        for rank, row in enumerate(sorted(own, key=lambda r: r[:4])):
+            placed.append(((2 * rank + 1) / (2 * len(own)), stratum, *row))
+    placed.sort(key=lambda r: r[:6])
+    out, n = [], len(placed)
+    for place, (_, _, _, _, size, crc, key, source) in enumerate(placed):
+        shard = next(s for s in reversed(range(shards)) if s * n // shards <= place)
+        out.append((key, source, size, crc, shard, place - shard * n // shards))
+    return sorted(out, key=repr)
+
+
+def test_order_against_brute_force(spark):
+    rows = [(None if i % 11 == 0 else i // 2, None if i % 7 == 0 else f"é{i // 3}", [None, "", "hot", "hot", "s1"][i % 5]) for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for shards in (1, 3, 8):
+        out = sharding.assign_shards(df, shards, bucket_rows=13).collect()
+        assert sorted(((r.doc_id, r.source, r["size"], r.text_crc32, r.shard, r.slot) for r in out), key=repr) == brute(rows, shards)
+
+
+def test_query_against_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    out = QUERIES["op9_interleaved_shards"](spark, folder).collect()
+    assert sorted(((r.doc_id, r.source, r["size"], r.text_crc32, r.shard, r.slot) for r in out), key=repr) == brute(rows, 8)
