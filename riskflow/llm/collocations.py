@@ -18,7 +18,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.llm import chunks, wordhash
@@ -105,18 +105,26 @@ def _dealt(docs: DataFrame, text: str, lang: str, key: str, shards: int) -> Data
     return docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANG)).alias("lang"), shard.alias("shard"), body.alias("text"))
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, Slice]]:
-    """(languages, shards, words) of runs of rows."""
-    names = batch.schema.names
-    lang, shard = batch.column(names.index("lang")), batch.column(names.index("shard")).to_numpy()
-    for first, after, data, bounds in wordhash.slices(batch.column(names.index("text")), 4 * wordhash.SLICE_BYTES):
-        yield lang.slice(first, after - first), shard[first:after], Slice(data, bounds)
+#: Rows of counts a task gathers before it adds them up and sends them on.
+GATHERED = 1_000_000
 
 
-def _lang_numbers(lang: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-    coded = lang.dictionary_encode()
-    numbers = np.array([_number(x) for x in coded.dictionary.to_pylist()], np.uint64)
-    return coded, numbers[coded.indices.to_numpy()]
+class Batch:
+    """Rows of a batch, taken in slices of bounded size; languages by number."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        names = batch.schema.names
+        self.text = batch.column(names.index("text"))
+        self.shard = batch.column(names.index("shard")).to_numpy().astype(np.int64)
+        coded = batch.column(names.index("lang")).dictionary_encode()
+        self.langs, self.lang = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        self.numbers = np.array([_number(x) for x in self.langs.to_pylist()], np.uint64)
+
+    def slices(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, Slice]]:
+        """(language's place, language's hash, shard) of each text, and their words."""
+        for first, after, data, bounds in wordhash.slices(self.text):
+            lang = self.lang[first:after]
+            yield lang, self.numbers[lang], self.shard[first:after], Slice(data, bounds)
 
 
 def _shard_keys(keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
@@ -124,94 +132,89 @@ def _shard_keys(keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
     return wordhash.mix(keys + (shard.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, shard, key, word, n) of the words of each slice."""
-    for batch in batches:
-        for lang, shard, part in _slices(batch):
-            coded, numbers = _lang_numbers(lang)
-            keys = part.keys(np.arange(len(part.starts)), 1, numbers)
-            table = pa.table(
-                {
-                    "lang": coded.indices.take(pa.array(part.text)),
-                    "shard": pa.array(shard[part.text]),
-                    "word": part.words(),
-                    "key": pa.array(keys.view(np.int64)),
-                }
-            )
-            counts = table.group_by(["lang", "shard", "word", "key"], use_threads=False).aggregate([([], "count_all")])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    coded.dictionary.take(counts["lang"].combine_chunks()),
-                    counts["shard"].combine_chunks(),
-                    counts["key"].combine_chunks(),
-                    counts["word"].combine_chunks().cast(pa.string()),
-                    counts["count_all"].combine_chunks(),
-                ],
-                names=["lang", "shard", "key", "word", "n"],
-            )
+def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(group, key, n) with equal (group, key) added up."""
+    group, key, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((key, group))
+    group, key, n = group[order], key[order], n[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (group[1:] != group[:-1]) | (key[1:] != key[:-1])
+    heads = np.flatnonzero(new)
+    return group[heads], key[heads], np.add.reduceat(n, heads) if len(heads) else n
 
 
 def _count_phrases(k: int, below):
-    """(lang, shard, key, n) of phrases of ``k`` words whose first and last k - 1 words are frequent in the shard."""
+    """(lang, shard, key, n) of phrases of ``k`` words whose first and last k - 1 words are frequent in the shard. ``below``: the
+    filter of those; None counts every word."""
+
+    def phrases(part: Slice, numbers: np.ndarray, shard: np.ndarray, known: Filter | None) -> np.ndarray:
+        at = part.phrases(k)
+        if known is None:
+            return at
+        shorter = part.phrases(k - 1)
+        frequent = np.zeros(len(part.starts), bool)
+        frequent[shorter] = known.has(_shard_keys(part.keys(shorter, k - 1, numbers), shard[part.text[shorter]]))
+        return at[frequent[at] & frequent[at + 1]]
+
+    def rows(batch: Batch, parts: list) -> pa.RecordBatch:
+        group, key, n = _summed(parts)
+        return pa.RecordBatch.from_arrays(
+            [batch.langs.take(pa.array(group >> 32)), pa.array((group & 0xFFFFFFFF).astype(np.int32)), pa.array(key), pa.array(n)],
+            names=["lang", "shard", "key", "n"],
+        )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = None
-        for batch in batches:
-            known = known or Filter(below.value)
-            for lang, shard, part in _slices(batch):
-                coded, numbers = _lang_numbers(lang)
-                shorter = part.phrases(k - 1)
-                frequent = np.zeros(len(part.starts), bool)
-                frequent[shorter] = known.has(_shard_keys(part.keys(shorter, k - 1, numbers), shard[part.text[shorter]]))
-                at = part.phrases(k)
-                at = at[frequent[at] & frequent[at + 1]]
-                group = coded.indices.to_numpy()[part.text[at]].astype(np.int64) << 32 | shard[part.text[at]]
-                keys = part.keys(at, k, numbers).view(np.int64)
-                order = np.lexsort((keys, group))
-                group, keys = group[order], keys[order]
-                new = np.ones(len(keys), bool)
-                new[1:] = (group[1:] != group[:-1]) | (keys[1:] != keys[:-1])
-                heads = np.flatnonzero(new)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        coded.dictionary.take(pa.array(group[heads] >> 32)),
-                        pa.array((group[heads] & 0xFFFFFFFF).astype(np.int32)),
-                        pa.array(keys[heads]),
-                        pa.array(np.diff(np.append(heads, len(keys)))),
-                    ],
-                    names=["lang", "shard", "key", "n"],
-                )
+        known = Filter(below.value) if below is not None else None
+        for batch in map(Batch, batches):
+            parts, held = [], 0
+            for lang, numbers, shard, part in batch.slices():
+                at = phrases(part, numbers, shard, known)
+                text = part.text[at]
+                parts.append(_summed([(lang[text] << 32 | shard[text], part.keys(at, k, numbers).view(np.int64), np.ones(len(at), np.int64))]))
+                held += len(parts[-1][0])
+                if held > GATHERED:
+                    yield rows(batch, parts)
+                    parts, held = [], 0
+            if parts:
+                yield rows(batch, parts)
 
     return count
 
 
 def _count_candidates(longest: int, wanted):
-    """(lang, phrase, words, n) of the candidates of each slice, as text."""
+    """(lang, phrase, words, n) of the candidates of 1 .. ``longest`` words, as text."""
+
+    def rows(batch: Batch, parts: list[pa.Table]) -> pa.RecordBatch:
+        summed = pa.concat_tables(parts).group_by(["lang", "phrase", "words"], use_threads=False).aggregate([("n", "sum")])
+        column = lambda name: summed[name].combine_chunks()
+        return pa.RecordBatch.from_arrays(
+            [batch.langs.take(column("lang")), column("phrase").cast(pa.string()), column("words"), column("n_sum")],
+            names=["lang", "phrase", "words", "n"],
+        )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute as pc
 
-        known = None
-        for batch in batches:
-            known = known or Filter(wanted.value)
-            for lang, _, part in _slices(batch):
-                coded, numbers = _lang_numbers(lang)
+        known, space = Filter(wanted.value), pa.scalar(" ", pa.large_string())
+        for batch in map(Batch, batches):
+            parts, held = [], 0
+            for lang, numbers, _, part in batch.slices():
                 words = part.words()
-                for k in range(2, longest + 1):
+                for k in range(1, longest + 1):
                     at = part.phrases(k)
                     at = at[known.has(part.keys(at, k, numbers))]
-                    spelt = pc.binary_join_element_wise(*[words.take(pa.array(at + j)) for j in range(k)], pa.scalar(" ", pa.large_string()))
-                    table = pa.table({"lang": coded.indices.take(pa.array(part.text[at])), "phrase": spelt})
-                    counts = table.group_by(["lang", "phrase"], use_threads=False).aggregate([([], "count_all")])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            coded.dictionary.take(counts["lang"].combine_chunks()),
-                            counts["phrase"].combine_chunks().cast(pa.string()),
-                            pa.array(np.full(len(counts), k, np.int32)),
-                            counts["count_all"].combine_chunks(),
-                        ],
-                        names=["lang", "phrase", "words", "n"],
-                    )
+                    spelt = [words.take(pa.array(at + j)) for j in range(k)]
+                    phrase = pc.binary_join_element_wise(*spelt, space) if k > 1 else spelt[0]
+                    table = pa.table({"lang": pa.array(lang[part.text[at]]), "phrase": phrase})
+                    counted = table.group_by(["lang", "phrase"], use_threads=False).aggregate([([], "count_all")])
+                    counted = counted.rename_columns(["lang", "phrase", "n"])
+                    parts.append(counted.append_column("words", pa.array(np.full(len(counted), k, np.int32))))
+                    held += len(counted)
+                if held > GATHERED:
+                    yield rows(batch, parts)
+                    parts, held = [], 0
+            if parts:
+                yield rows(batch, parts)
 
     return count
 
@@ -226,33 +229,32 @@ def candidates(docs: DataFrame, text: str, lang: str, key: str, support: int, lo
     """(lang, n, and per word its count) and (lang, phrase, words, a): exact counts of every phrase of 1 and of 2 .. ``longest``
     words with at least ``support`` occurrences in its language."""
     dealt = _dealt(docs, text, lang, key, shards)
-    counted = dealt.mapInArrow(_count_words, "lang string, shard int, key long, word string, n long")
-    local = stored(counted.groupBy("lang", "shard", "word").agg(F.first("key").alias("key"), F.sum("n").alias("n")), "words")
-    sizes = local.groupBy("lang", "shard").agg(F.sum("n").alias("own"))
-    totals = stored(local.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
-    # ceil(support * own / total), in whole numbers
-    need = F.ceil(F.lit(support) * F.col("own").cast("decimal(20,0)") / F.col("total")).cast("long")
-    needs = stored(sizes.join(totals, "lang").select("lang", "shard", F.greatest(need, F.lit(1)).alias("need")), "needs")
+
+    def counts(k: int, below) -> DataFrame:
+        rows = dealt.mapInArrow(_count_phrases(k, below), "lang string, shard int, key long, n long")
+        return rows.groupBy("lang", "shard", "key").agg(F.sum("n").alias("n"))
 
     def sent(frequent: DataFrame):
         return sent_filter(frequent.select("key", "shard").mapInArrow(_to_shard_keys, "key long"))
 
-    below = sent(local.join(needs, ["lang", "shard"]).where("n >= need"))
-    found = []
+    local = stored(counts(1, None), "words")
+    sizes = local.groupBy("lang", "shard").agg(F.sum("n").alias("own"))
+    totals = stored(local.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
+    # ceil(support * own / total), in whole numbers
+    need = F.expr(f"(CAST({support} AS DECIMAL(20, 0)) * own + total - 1) div total")
+    needs = stored(sizes.join(totals, "lang").select("lang", "shard", F.greatest(need, F.lit(1)).alias("need")), "needs")
+    frequent = lambda df: df.join(needs, ["lang", "shard"]).where("n >= need").select("shard", "key")
+    found = [frequent(local)]
     for k in range(2, longest + 1):
-        phrases = dealt.mapInArrow(_count_phrases(k, below), "lang string, shard int, key long, n long")
-        summed = phrases.groupBy("lang", "shard", "key").agg(F.sum("n").alias("n"))
-        found.append(stored(summed.join(needs, ["lang", "shard"]).where("n >= need").select("shard", "key"), f"frequent-{k}"))
-        if k < longest:
-            below = sent(found[-1])
+        found.append(stored(frequent(counts(k, sent(found[-1]))), f"frequent-{k}"))
     union = found[0].select("key")
     for more in found[1:]:
         union = union.unionByName(more.select("key"))
     spelt = dealt.mapInArrow(_count_candidates(longest, sent_filter(union)), "lang string, phrase string, words int, n long")
     exact = spelt.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("a")).where(F.col("a") >= support)
-    words = local.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= support)
-    words = words.join(totals, "lang").select("lang", F.col("word").alias("phrase"), "a", "total")
-    return stored(words, "frequent-words"), stored(exact, "candidates")
+    exact = stored(exact, "candidates")
+    words = exact.where("words = 1").join(totals, "lang").select("lang", "phrase", "a", "total")
+    return words, exact.where("words > 1")
 
 
 def _covered(found: DataFrame, longest: int) -> DataFrame:

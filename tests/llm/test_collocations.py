@@ -59,16 +59,18 @@ def texts(seed, docs=60, words=9):
 
 @pytest.mark.parametrize("seed", range(3))
 def test_against_brute_force(spark, seed):
-    rows = texts(seed)
+    rows = texts(seed, docs=300)
     want = brute(rows)
-    assert len(want) > 20 and found(spark, rows) == want
+    assert len(want) > 20
+    assert found(spark, rows) == want
 
 
 def test_other_parameters_against_brute_force(spark):
-    rows = texts(7, docs=40, words=5)
+    rows = texts(7, docs=150, words=5)
     for options in ({"support": 3, "longest": 4, "top": 7}, {"support": 1, "longest": 2, "top": 50}, {"support": 25, "longest": 3, "top": 5}):
         want = brute(rows, **options)
-        assert want and found(spark, rows, **options) == want
+        assert want
+        assert found(spark, rows, **options) == want
 
 
 def test_shards_and_filters_change_nothing(spark, monkeypatch):
