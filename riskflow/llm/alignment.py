@@ -12,10 +12,11 @@ over its chunks. The test holds this against encoding whole texts.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate, count
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +51,7 @@ class Tokenizers:
     b: str
 
 
-@dataclass
-class Aligned:
+class Aligned(NamedTuple):
     """One chunk, or one text. ``groups``: a1,a2|b1;a3|b2 and so on; ``links``: pairs as a << 32 | b with their number of links."""
 
     n_a: int
@@ -61,32 +61,45 @@ class Aligned:
     links: dict[int, int]
 
 
-def align(body: bytes, ids_a: list[int], ids_b: list[int], bytes_a: list[bytes], bytes_b: list[bytes]) -> Aligned | None:
+class Side:
+    """A tokenizer's ids: their bytes, how many those are, and the id as it is written."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.bytes, self.size, self.shown = pieces, [len(p) for p in pieces], [str(i) for i in range(len(pieces))]
+
+    def ends(self, ids: list[int]) -> dict[int, int]:
+        """Byte place behind each token: how many tokens end up to it."""
+        return dict(zip(accumulate(map(self.size.__getitem__, ids)), count(1)))
+
+    def spelt(self, ids: list[int]) -> bytes:
+        return b"".join([self.bytes[i] for i in ids])
+
+
+def align(body: bytes, ids_a: list[int], ids_b: list[int], side_a: Side, side_b: Side) -> Aligned | None:
     """None if the tokens of either side are not the bytes of ``body``."""
-    if b"".join([bytes_a[i] for i in ids_a]) != body or b"".join([bytes_b[i] for i in ids_b]) != body:
+    if side_a.spelt(ids_a) != body or side_b.spelt(ids_b) != body:
         return None
-    ends_a, ends_b = _ends(ids_a, bytes_a), _ends(ids_b, bytes_b)
-    groups, links = [], Counter()
+    ends_a, ends_b = side_a.ends(ids_a), side_b.ends(ids_b)
+    shown_a, shown_b, groups, links = side_a.shown, side_b.shown, [], {}
     from_a = from_b = 0
     for end in sorted(ends_a.keys() & ends_b.keys()):
-        a, b = ids_a[from_a : ends_a[end]], ids_b[from_b : ends_b[end]]
-        from_a, from_b = ends_a[end], ends_b[end]
-        groups.append(f"{','.join(map(str, a))}|{','.join(map(str, b))}")
-        for x in a:
-            for y in b:
-                links[x << 32 | y] += 1
+        to_a, to_b = ends_a[end], ends_b[end]
+        if to_a == from_a + 1 and to_b == from_b + 1:
+            x, y = ids_a[from_a], ids_b[from_b]
+            groups.append(shown_a[x] + "|" + shown_b[y])
+            pair = x << 32 | y
+            links[pair] = links.get(pair, 0) + 1
+        else:
+            a, b = ids_a[from_a:to_a], ids_b[from_b:to_b]
+            groups.append(",".join([shown_a[x] for x in a]) + "|" + ",".join([shown_b[y] for y in b]))
+            for x in a:
+                x <<= 32
+                for y in b:
+                    links[x | y] = links.get(x | y, 0) + 1
+        from_a, from_b = to_a, to_b
     return Aligned(len(ids_a), len(ids_b), len(groups), ";".join(groups), links)
 
 
-def _ends(ids: list[int], pieces: list[bytes]) -> dict[int, int]:
-    """Byte place behind each token: how many tokens end up to it."""
-    ends, at = {}, 0
-    for i, one in enumerate(ids, 1):
-        at += len(pieces[one])
-        ends[at] = i
-    return ends
-
-
 class Aligner:
     """Both tokenizers, and the chunks they have met. A worker keeps it from task to task."""
 
@@ -97,29 +110,27 @@ class Aligner:
         tokenizer, alphabet = self.a.tokenizer, byte_alphabet()
         special = tokenizer.get_added_tokens_decoder()
         entries = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
-        self.bytes_a = [b"" if i in special else bytes(alphabet[c] for c in e) for i, e in enumerate(entries)]
+        self.side_a = Side([b"" if i in special else bytes(alphabet[c] for c in e) for i, e in enumerate(entries)])
         self.b = sentencepiece.SentencePieceProcessor(model_file=files.b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.bytes_b = [
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
-        ]
+        self.side_b = Side(
+            [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        )
         # A piece that holds a word's beginning further on could cross two chunks.
         self.whole = any(re.search("[^▁]▁", p) for p in pieces)
         self.table = chunks.Table(self._aligned, self._add, self._clear)
 
     def _clear(self) -> None:
-        self.ok: list[bool] = []
         self.groups: list[str] = []
         self.numbers, self.pairs, self.times = chunks.Lists(), chunks.Lists(), chunks.Lists()
 
     def _aligned(self, texts: list[str]) -> list[Aligned | None]:
         """``texts`` begin with the space that both tokenizers see before a word."""
         ids_b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        return [align(t.encode(), a, b, self.bytes_a, self.bytes_b) for t, a, b in zip(texts, self.a.ids(texts), ids_b)]
+        return [align(t.encode(), a, b, self.side_a, self.side_b) for t, a, b in zip(texts, self.a.ids(texts), ids_b)]
 
     def _add(self, found: list[Aligned | None]) -> None:
         none = Aligned(0, 0, 0, "", {})
-        self.ok += [f is not None for f in found]
         some = [f or none for f in found]
         self.groups += [f.groups for f in some]
         self.numbers.extend([(f.n_a, f.n_b, f.n_groups, sum(f.links.values())) for f in some])
@@ -127,11 +138,12 @@ class Aligner:
         self.times.extend([f.links.values() for f in some])
 
     def cuts(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Where chunks begin: every text, and single spaces between plain characters within a text."""
-        if self.whole or len(data) < 3:
-            return bounds[:-1]
-        inner = np.flatnonzero((data[1:-1] == 0x20) & _NEXT[data[2:]] & _BEFORE[data[:-2]]) + 1
-        return np.union1d(inner, bounds[:-1])
+        """Where chunks begin: every text that is not empty, and single spaces between plain characters within a text."""
+        begins = np.zeros(len(data) + 1, bool)
+        begins[bounds[:-1]] = True
+        if not self.whole and len(data) > 2:
+            begins[1:-2] |= (data[1:-1] == 0x20) & _NEXT[data[2:]] & _BEFORE[data[:-2]]
+        return np.flatnonzero(begins[:-1])
 
     def slices(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, row after the last, chunks' numbers, bounds of the texts in them). A text with a chunk that cannot be
@@ -139,14 +151,12 @@ class Aligner:
         for first, after, data, bounds in wordhash.slices(column):
             data, bounds = spaced(data, bounds)
             starts = self.cuts(data, bounds)
-            starts = np.unique(starts[starts < len(data)])
             which = self.table.numbers(data, starts, np.append(starts[1:], len(data)) if len(starts) else starts)
             per_text = np.searchsorted(starts, bounds)
-            different = np.unique(which)
-            failing = different[[not self.ok[k] for k in different]] if len(different) else different
+            failing = np.flatnonzero(self.numbers.take(which)[0].reshape(-1, 4)[:, 2] == 0)
             if len(failing):
                 failed = np.zeros(len(bounds) - 1, bool)
-                failed[np.searchsorted(per_text, np.flatnonzero(np.isin(which, failing)), "right") - 1] = True
+                failed[np.searchsorted(per_text, failing, "right") - 1] = True
                 sizes = np.diff(per_text)
                 which = which[~np.repeat(failed, sizes)]
                 per_text = np.concatenate([[0], np.cumsum(np.where(failed, 0, sizes))])
@@ -179,14 +189,14 @@ def spaced(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _counter(text: str, files: Tokenizers):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = aligner_of(files)
         for batch in batches:
             for _, _, which, bounds in aligner.slices(batch.column(batch.schema.names.index(text))):
                 pair, n = np.unique(aligner.per_text(which, bounds)[1], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "n"])
 
-    return count
+    return counted
 
 
 def _lister(row: str, text: str, files: Tokenizers):

@@ -27,6 +27,7 @@ def byte_alphabet() -> dict[str, int]:
 
 
 _SHOWN = {b: c for c, b in byte_alphabet().items()}
+_SPACE = _SHOWN[0x20]
 
 
 class ByteLevel:
@@ -55,6 +56,9 @@ class ByteLevel:
             if not spaced and word.isascii() and word.isalpha():
                 out.append([t.id for t in tokenize(word.lower())])
                 continue
+            if spaced and word.isascii() and word[:1] == " " and word[1:].isalpha():
+                out.append([t.id for t in tokenize(_SPACE + word[1:])])
+                continue
             body = word[1:] if spaced and word[:1] == " " else word
             if not plain(body) or (special and any(s in body for s in special)):
                 out.append(self.whole(word))

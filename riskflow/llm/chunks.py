@@ -1,8 +1,8 @@
 """Texts cut into short strings that repeat a lot (words, chunks between safe places), and what is computed once per string.
 
 A tokenizer takes about a second per megabyte, and nearly all words of a corpus are copies. A Python worker keeps a table of the
-strings it has met, of fixed size and with one slot per string, found by a 128-bit hash of the bytes; the strings of a slice are
-looked up together, and only those that are not there are spelt out and computed. Long strings are never looked up.
+strings it has met, of fixed size and with two places for each string, found by a 128-bit hash of the bytes; the strings of a
+slice are looked up together, and only those that are not there are spelt out and computed. Long strings are never looked up.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from riskflow.llm.wordhash import _BASE, PLAIN, _power, mix
 
 #: Slots of a table, and the results it may hold before it starts anew.
-SLOTS, MOST_RESULTS = 1 << 22, 1_500_000
+SLOTS, MOST_RESULTS = 1 << 22, 1_000_000
 #: Longer strings (bytes) are computed anew whenever they come.
 LONG = 200
 _OTHER = 0x2545F4914F6CDD1D
@@ -91,20 +91,29 @@ class Table:
         if len(starts) == 0:
             return np.zeros(0, np.int64)
         key, check = _hash(data, starts, ends, _BASE), _hash(data, starts, ends, _OTHER)
-        slot = (key & np.uint64(SLOTS - 1)).astype(np.int64)
+        slot, other = ((h & np.uint64(SLOTS - 1)).astype(np.int64) for h in (key, check))
+        short = ends - starts <= LONG
+
+        def there(at: np.ndarray, place: np.ndarray) -> np.ndarray:
+            return (self.number[place] >= 0) & (self.key[place] == key[at]) & (self.check[place] == check[at]) & short[at]
+
+        every = np.arange(len(starts))
         out = self.number[slot]
-        known = (out >= 0) & (self.key[slot] == key) & (self.check[slot] == check) & (ends - starts <= LONG)
-        at = np.flatnonzero(~known)
+        at = np.flatnonzero(~there(every, slot))
+        second = there(at, other[at])
+        out[at[second]] = self.number[other[at[second]]]
+        at = at[~second]
         if len(at):
             order = np.lexsort((check[at], key[at]))
             at = at[order]
             new = np.ones(len(at), bool)
-            new[1:] = (key[at][1:] != key[at][:-1]) | (check[at][1:] != check[at][:-1]) | (ends[at] - starts[at] > LONG)[1:]
+            new[1:] = (key[at][1:] != key[at][:-1]) | (check[at][1:] != check[at][:-1]) | ~short[at][1:]
             first = at[new]
             self.add(self.compute(strings(data, starts[first], ends[first]).to_numpy(zero_copy_only=False).tolist()))
             fresh = self.held + np.arange(len(first))
             self.held += len(first)
-            self.number[slot[first]], self.key[slot[first]], self.check[slot[first]] = fresh, key[first], check[first]
+            place = np.where(self.number[slot[first]] < 0, slot[first], other[first])
             # Of several new strings in one slot the last one written stays: key, check and number are written alike.
+            self.number[place], self.key[place], self.check[place] = fresh, key[first], check[first]
             out[at] = fresh[np.cumsum(new) - 1]
         return out

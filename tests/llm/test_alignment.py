@@ -139,7 +139,7 @@ def test_plain_words_against_the_whole_tokenizer():
 def test_alphabet_is_that_of_the_file():
     aligner = alignment.Aligner(FILES)
     assert sorted(bytelevel.byte_alphabet().values()) == list(range(256))
-    assert {b for b in aligner.bytes_a if len(b) == 1} == {bytes([i]) for i in range(256)}
+    assert {b for b in aligner.side_a.bytes if len(b) == 1} == {bytes([i]) for i in range(256)}
 
 
 def test_nulls_repeats_and_empty_table(spark):

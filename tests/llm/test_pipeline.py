@@ -92,6 +92,27 @@ def test_repeated_keys_with_different_texts(spark, tmp_path):
     assert results == [sorted(kept, key=str)] * 3
 
 
+def test_columns_named_like_those_of_a_stage_pass_through(spark, tmp_path):
+    folder, rng = str(tmp_path), random.Random(4)
+    names = ["score", "predicted", "contaminated", "item_ids", "n_items", "best_percent", "overlaps", "personal", "_found", "_uid", "_row",
+             "_doc", "_other", "_none", "_clean", "_key", "_text", "kept", "component_id", "_hash", "label", "toxic"]
+    spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, prose(rng, 30))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    schema = SCHEMA + "".join(f", `{n}` string" for n in names)
+    texts = [insult(rng, prose(rng, 80)) if i % 2 else prose(rng, 80) for i in range(40)]
+    rows = [(i, t, "en", "s", len(t), *(f"mine {n}" for n in names)) for i, t in enumerate(texts)]
+    rows += [(7, prose(rng, 80), "en", "s", 1, *(f"mine {n}" for n in names))]  # a repeated key
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, folder), name)
+        got = docs.collect()
+        assert docs.columns == [f.name for f in spark.createDataFrame([], schema).schema] and got
+        assert all(r[n] == f"mine {n}" for r in got for n in names)
+    packed = pipeline.STAGES[-1][1](spark, docs, folder)
+    assert packed.columns == ["bin_id", "capacity", "used", "doc_ids", "content"]
+    assert {i for r in packed.collect() for i in r.doc_ids} == {r.doc_id for r in got}
+
+
 def test_run(spark):
     out = pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.columns == ["bin_id", "capacity", "used", "doc_ids", "content"] and out.count() > 0
