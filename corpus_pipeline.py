@@ -14,28 +14,42 @@ from riskflow.llm import decontamination, neardup, packing, personal, toxicity
 from riskflow.llm.frames import read, stored
 
 
+HELD = "_doc"
+
+
+def _held(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, one struct of all other columns): no column of the documents can clash with what a stage adds."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*(others or [F.lit(0).alias("_none")])).alias(HELD))
+
+
+def _back(held: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, in their order."""
+    return held.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"{HELD}.`{c}`").alias(c) for c in docs.columns])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents the subsequence kernel machine does not call toxic. Keys of the held-out fifth are not learnt from."""
     model = toxicity.fit(docs.filter(~toxicity.held_out()), read(spark, folder, "labels"))
-    return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
+    return _back(toxicity.score(_held(docs), model).filter("predicted = 0"), docs)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near duplicates (five words, similarity 0.8), that with the smallest key. Rows that agree in
     key and text count once; rows that share only the key are documents of their own. Rows without a key stay."""
-    keyed, key = docs.filter("doc_id is not null"), "doc_id"
+    held, key = _held(docs), "doc_id"
+    keyed = held.filter("doc_id is not null")
     if _repeats(docs):
         keyed, key = _numbered(keyed), "_row"
     groups = neardup.near_duplicates(keyed, key, shingle=5, percent=80)
-    kept = groups.filter("kept").select(key).distinct()
-    return keyed.join(kept, key, "left_semi").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    kept = keyed.join(groups.filter("kept").select(key).distinct(), key, "left_semi").select(*held.columns)
+    return _back(kept.unionByName(held.filter("doc_id is null")), docs)
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
+def _numbered(held: DataFrame) -> DataFrame:
     """Rows that agree in key and text once, the same one in every run, numbered by key in ``_row`` and stored."""
-    other = F.struct(F.lit(0).alias("_none"), *[c for c in docs.columns if c not in ("doc_id", "text")])
-    once = docs.groupBy("doc_id", "text").agg(F.min_by(other, F.to_json(other)).alias("_other"))
-    ordered = once.select("doc_id", "text", "_other.*").drop("_none").orderBy("doc_id", F.xxhash64("text"))
+    once = held.groupBy("doc_id", "text").agg(F.min_by(HELD, F.to_json(HELD)).alias(HELD))
+    ordered = once.orderBy("doc_id", F.xxhash64("text"))
     return stored(ordered.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
 
 
@@ -46,13 +60,13 @@ def _repeats(docs: DataFrame) -> bool:
 
 def drop_leaked(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents without a verified overlap with a benchmark item."""
-    judged = decontamination.decontaminate(docs, read(spark, folder, "benchmark"))
-    return judged.filter("not contaminated").select(*docs.columns)
+    judged = decontamination.decontaminate(_held(docs), read(spark, folder, "benchmark"))
+    return _back(judged.filter("not contaminated"), docs)
 
 
 def mask_personal(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, personal data replaced by its kind; n_chars follows the text."""
-    masked = personal.redact(docs)
+    masked = _back(personal.redact(_held(docs)), docs)
     return masked.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else masked
 
 

@@ -35,27 +35,39 @@ def recent_alert_count(
     return recent.agg(F.count(F.lit(1)).alias("fraud_count")).withColumn("breached", F.col("fraud_count") > threshold)
 
 
+REPORT = ("RunId", "PipelineName", "Status", "Start", "TimeGenerated")
+
+
+def latest_reports(runs: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """The latest report of every run (columns REPORT), of the ``stored`` latest ones and those delivered since.
+
+    Storing the result keeps the state of all runs at one row each: a delivery is merged with it, and the log is not read again.
+    It is an aggregate with map-side combine: a run with very many reports sends one row per task. Of reports at one instant a
+    finished one is the later, then the greater status; the result does not depend on how the log was delivered.
+    """
+    reports = runs.select(*REPORT)
+    if stored is not None:
+        reports = reports.unionByName(stored.select(*REPORT))
+    finished = F.col("Status") != "InProgress"
+    order = F.struct("TimeGenerated", finished, "Status", "PipelineName", "Start")
+    latest = reports.groupBy("RunId").agg(F.max_by(F.struct(*REPORT[1:]), order).alias("_last"))
+    return latest.select("RunId", "_last.*")
+
+
 def late_runs(
     runs: DataFrame, limits: Mapping[str, int] = RUN_LIMIT_MINUTES, clock: Clock = Clock()
 ) -> DataFrame:
-    """Runs whose latest report says in progress and that exceed their limit.
+    """Runs whose latest report says in progress and that exceed their limit. ``runs``: the whole log, or the stored latest
+    reports.
 
-    The latest report is picked first, so a finished run never shows up. It is
-    an aggregate with map-side combine: a run with very many reports sends one
-    row per task. Minutes count crossed minute boundaries.
+    The latest report is picked first, so a finished run never shows up. Minutes count crossed minute boundaries.
     """
-    # Of reports at one instant a finished one is the later, then the greater status.
-    finished = F.col("Status") != "InProgress"
-    latest = runs.groupBy("RunId").agg(
-        F.max_by(F.struct("PipelineName", "Status", "Start"), F.struct("TimeGenerated", finished, "Status")).alias("_last"),
-        F.max("TimeGenerated").alias("TimeGenerated"),
-    )
 
     def minute(c: Column) -> Column:
         return F.unix_timestamp(F.date_trunc("minute", c).cast("timestamp"))
 
     return (
-        latest.select("RunId", "_last.*", "TimeGenerated")
+        latest_reports(runs)
         .where(F.col("Status") == "InProgress")
         .withColumn("RunningMinutes", ((minute(clock.timestamp) - minute(F.col("Start"))) / 60).cast("bigint"))
         .where(F.col("RunningMinutes") > _limit("PipelineName", limits))

@@ -31,6 +31,12 @@ CLUSTER_BY = {
     "transactions": ("customer_id", "transaction_timestamp"),
     "sanctions": ("entry_id",),
 }
+GOLD_CLUSTER_BY = {
+    "dim_customers": ("customer_id",),
+    "dim_accounts": ("account_id", "customer_id"),
+    "fact_transactions": ("customer_id", "transaction_timestamp"),
+    "dim_sanction_hits": ("customer_id", "entry_id"),
+}
 
 
 class IngestError(RuntimeError):
@@ -169,7 +175,8 @@ class Medallion:
         latest = self._latest(TRANSACTIONS, known)
         stored = self.lake.previous("silver", "transactions")
         if stored is not None:
-            latest = history.scd1_apply(stored, latest, [TRANSACTIONS.key])
+            # Stored before it is laid out, which reads it twice.
+            latest = self.lake.publish("staging", "transactions", history.scd1_apply(stored, latest, [TRANSACTIONS.key]))
         return self._publish_silver(TRANSACTIONS, latest)
 
     # -- gold --
@@ -182,14 +189,20 @@ class Medallion:
         with self.logged("gold"):
             lake, clock = self.lake, self.clock
             customers = lake.open_rows("silver", "dim_customers", self._silver_run()).drop(history.START, history.END)
-            lake.publish("gold", "dim_customers", gold.dim_customers(lake.history("silver", "dim_customers"), clock))
-            lake.publish("gold", "dim_accounts", gold.dim_accounts(lake.history("silver", "dim_accounts"), clock=clock))
+            lake.publish("gold", "dim_customers", gold.dim_customers(lake.history("silver", "dim_customers"), clock), GOLD_CLUSTER_BY["dim_customers"])
+            lake.publish("gold", "dim_accounts", gold.dim_accounts(lake.history("silver", "dim_accounts"), clock=clock), GOLD_CLUSTER_BY["dim_accounts"])
             lake.publish("gold", "dim_date", calendar.dim_date(self.spark))
             transactions = lake.publish(
-                "gold", "fact_transactions", gold.fact_transactions(lake.read("silver", "transactions", self._silver_run()), clock=clock)
+                "gold",
+                "fact_transactions",
+                gold.fact_transactions(lake.read("silver", "transactions", self._silver_run()), clock=clock),
+                GOLD_CLUSTER_BY["fact_transactions"],
             )
             hits = lake.publish(
-                "gold", "dim_sanction_hits", gold.dim_sanction_hits(lake.read("silver", "sanction_hits", self._silver_run()), clock=clock)
+                "gold",
+                "dim_sanction_hits",
+                gold.dim_sanction_hits(lake.read("silver", "sanction_hits", self._silver_run()), clock=clock),
+                GOLD_CLUSTER_BY["dim_sanction_hits"],
             )
             lake.publish("gold", "sanction_alerts_transactions", watchlist.alerts_on_transactions(hits, transactions))
             if with_swipes:

@@ -85,7 +85,7 @@ class Lakehouse:
         """Store this run's version of a table and return it as stored."""
         path = self._run_path(layer, table, self.run_id)
         if cluster_by:
-            write_clustered(df, path, cluster_by)
+            write_clustered(df, path, cluster_by, curve=True)
         else:
             write_table(df, path, **layout)
         return self.spark.read.schema(df.schema).parquet(path)
@@ -113,8 +113,8 @@ class Lakehouse:
         """
         path = self._run_path(layer, table, self.run_id)
         staged = self.publish("staging", table, changes)
-        write_clustered(staged.where(F.col(END).isNull()), f"{path}/state={OPEN}", cluster_by)
-        write_clustered(staged.where(F.col(END).isNotNull()), f"{path}/state={CLOSED}", cluster_by)
+        write_clustered(staged.where(F.col(END).isNull()), f"{path}/state={OPEN}", cluster_by, curve=True)
+        write_clustered(staged.where(F.col(END).isNotNull()), f"{path}/state={CLOSED}", cluster_by, curve=True)
 
     def open_rows(self, layer: str, table: str, run: str | None = None) -> DataFrame | None:
         """Current rows as of ``run`` (default: the last succeeded one other than this)."""

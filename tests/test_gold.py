@@ -111,3 +111,15 @@ def test_overtime_and_duration(spark):
     jobs = spark.createDataFrame([("bronze", 900), ("bronze", 901), ("gold", 700), ("none", 9999)], "job string, run_seconds bigint")
     found = monitoring.duration_breaches(jobs).collect()
     assert {(r.job, r.run_seconds, r.limit_seconds) for r in found} == {("bronze", 901, 900), ("gold", 700, 600)}
+
+
+def test_latest_reports_do_not_depend_on_the_deliveries(spark):
+    rows = [(f"r{i % 7}", "ingest", ["InProgress", "Failed", "Succeeded"][i % 3], at(30), at(30 - i // 2)) for i in range(40)]
+    whole = {tuple(r) for r in monitoring.latest_reports(spark.createDataFrame(rows, RUNS)).collect()}
+    assert len(whole) == 7
+    for step in (1, 5, 13):
+        stored = None
+        for low in range(0, 40, step * 4):
+            delivered = spark.createDataFrame(rows[low : low + step * 4], RUNS)
+            stored = spark.createDataFrame(monitoring.latest_reports(delivered, stored).collect(), RUNS)
+        assert {tuple(r) for r in stored.collect()} == whole

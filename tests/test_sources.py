@@ -220,3 +220,39 @@ def test_the_header_of_a_file_of_many_parts(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert out.where("a = '1' AND b = 'x'").count() == 60_000 and out.where("b = 'a'").count() == 1
+
+
+def spans(spark, path, keys):
+    """Over the files of a table, the mean share of each key's range that a file has."""
+    from pyspark.sql import functions as F
+
+    stored = spark.read.parquet(path).select("*", "_metadata.file_path")
+    files = stored.groupBy("file_path").agg(*[(F.max(k) - F.min(k)).alias(k) for k in keys]).collect()
+    whole = stored.agg(*[(F.max(k) - F.min(k)).alias(k) for k in keys]).first()
+    return [sum(f[k] for f in files) / len(files) / whole[k] for k in keys]
+
+
+def test_a_curve_narrows_every_key(spark, tmp_path):
+    df = spark.range(0, 40_000, 1, 4).selectExpr("id % 1009 AS a", "pmod(xxhash64(id), 5003) AS b", "pmod(xxhash64(id, 1), 99) AS c", "id")
+    for name, keys, curve in (("line", ["a", "b"], False), ("curve", ["a", "b"], True), ("three", ["a", "b", "c"], True)):
+        write_clustered(df, f"{tmp_path}/{name}", keys, partitions=64, curve=curve)
+        assert spark.read.parquet(f"{tmp_path}/{name}").agg({"id": "sum"}).first()[0] == sum(range(40_000))
+    line, curve, three = spans(spark, f"{tmp_path}/line", "ab"), spans(spark, f"{tmp_path}/curve", "ab"), spans(spark, f"{tmp_path}/three", "abc")
+    assert line[0] < 0.05 and line[1] > 0.9  # the second key of an order prunes nothing
+    assert max(curve) < 0.35 and max(three) < 0.55
+
+
+def test_a_curve_takes_any_type_nulls_and_one_hot_key(spark, tmp_path):
+    df = spark.range(0, 9_000, 1, 6).selectExpr(
+        "CASE WHEN id % 10 = 0 THEN NULL ELSE concat('k', id % 500) END AS k",
+        "CASE WHEN id % 7 = 0 THEN NULL ELSE timestamp'2024-01-01' + make_interval(0, 0, 0, 0, id) END AS t",
+        "cast(CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS decimal(12,2)) AS d", "date_add(date'2024-01-01', cast(id % 90 AS int)) AS day", "id",
+    )
+    write_clustered(df, f"{tmp_path}/o", ["k", "t", "d", "day"], partitions=8, curve=True)
+    back = spark.read.parquet(f"{tmp_path}/o")
+    assert back.columns == df.columns and back.exceptAll(df).count() == 0 and back.count() == 9_000
+    write_clustered(df.selectExpr("1 AS a", "2 AS b", "id"), f"{tmp_path}/hot", ["a", "b"], partitions=4, curve=True)
+    sizes = [r["count"] for r in spark.read.parquet(f"{tmp_path}/hot").selectExpr("_metadata.file_path f").groupBy("f").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 9_000
+    write_clustered(df.limit(0), f"{tmp_path}/none", ["k", "t"], curve=True)
+    assert spark.read.schema(df.schema).parquet(f"{tmp_path}/none").count() == 0

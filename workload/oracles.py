@@ -637,6 +637,10 @@ ORACLES["clustered_table"] = (
     "SELECT l_suppkey, count(*) AS lines, cast(sum(cast(l_quantity AS BIGINT)) AS BIGINT) AS quantity, cast(0 AS BIGINT) AS unordered,"
     " false AS overlaps FROM lineitem GROUP BY ALL"
 )
+ORACLES["curve_table"] = (
+    "SELECT count(*) AS lines, cast(sum(cast(l_quantity AS BIGINT)) AS BIGINT) AS quantity, true AS narrow_supplier,"
+    " true AS narrow_date FROM lineitem"
+)
 ORACLES["balanced_table"] = "SELECT o_orderstatus, count(*) AS orders, max(o_orderkey) AS last_order, false AS crumbs FROM orders GROUP BY ALL"
 
 # --- streams -----------------------------------------------------------------
