@@ -5,13 +5,15 @@ dictionaries, in order, cut both lists of ids into groups; every token of a grou
 A link's count is how many documents of the corpus hold the pair linked.
 
 Both tokenizers treat a single space between two plain characters as the beginning of a word, so a token of either ends there
-whatever surrounds it. Texts are cut at these places and a worker aligns each different chunk once; what a text has is the sum
+whatever surrounds it. So do both between a letter and a punctuation mark that no piece of B holds side by side: A parts them, and
+B only ever joins what a piece holds. Texts are cut at these places and a worker aligns each different chunk once; what a text has is the sum
 over its chunks. The test holds this against encoding whole texts.
 """
 
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -118,15 +120,30 @@ class Aligner:
         )
         # A piece that holds a word's beginning further on could cross two chunks.
         self.whole = any(re.search("[^▁]▁", p) for p in pieces)
+        self.parted = self._parted(pieces)
+        self.before = "a"  # stands before a chunk that begins with a mark, as a token of its own
+        self.first = self.b.encode(self.before)
         self.table = chunks.Table(self._aligned, self._add, self._clear)
 
+    @staticmethod
+    def _parted(pieces: list[str]) -> np.ndarray:
+        """By ASCII letter and punctuation mark (the apostrophe aside, which A keeps with some letters): whether no piece holds one
+        behind the other."""
+        held = {one[i : i + 2] for one in pieces for i in range(len(one) - 1)}
+        table = np.zeros((256, 256), bool)
+        for letter in string.ascii_letters:
+            for mark in string.punctuation.replace("'", ""):
+                table[ord(letter), ord(mark)] = letter + mark not in held
+        return table
+
     def _clear(self) -> None:
         self.groups: list[str] = []
         self.numbers, self.pairs, self.times = chunks.Lists(), chunks.Lists(), chunks.Lists()
 
     def _aligned(self, texts: list[str]) -> list[Aligned | None]:
-        """``texts`` begin with the space that both tokenizers see before a word."""
-        ids_b = self.b.encode([t[1:] for t in texts], num_threads=1)
+        """``texts`` begin with the space that both tokenizers see before a word, or with a mark behind a letter."""
+        found = self.b.encode([t[1:] if t[0] == " " else self.before + t for t in texts], num_threads=1)
+        ids_b = [b if t[0] == " " else b[len(self.first) :] for t, b in zip(texts, found)]
         return [align(t.encode(), a, b, self.side_a, self.side_b) for t, a, b in zip(texts, self.a.ids(texts), ids_b)]
 
     def _add(self, found: list[Aligned | None]) -> None:
@@ -138,11 +155,13 @@ class Aligner:
         self.times.extend([f.links.values() for f in some])
 
     def cuts(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Where chunks begin: every text that is not empty, and single spaces between plain characters within a text."""
+        """Where chunks begin: every text that is not empty, and within a text single spaces between plain characters and marks
+        behind letters."""
         begins = np.zeros(len(data) + 1, bool)
         begins[bounds[:-1]] = True
         if not self.whole and len(data) > 2:
             begins[1:-2] |= (data[1:-1] == 0x20) & _NEXT[data[2:]] & _BEFORE[data[:-2]]
+            begins[1:-1] |= self.parted[data[:-1], data[1:]]
         return np.flatnonzero(begins[:-1])
 
     def slices(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
