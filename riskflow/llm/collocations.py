@@ -105,8 +105,13 @@ def _dealt(docs: DataFrame, text: str, lang: str, key: str, shards: int) -> Data
     return docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANG)).alias("lang"), shard.alias("shard"), body.alias("text"))
 
 
-#: Rows of counts a task gathers before it adds them up and sends them on.
-GATHERED = 1_000_000
+#: Rows of counts a task gathers before it adds them up and sends them on, and rows it sends at once.
+GATHERED, SENT = 300_000, 65_536
+
+
+def _sent(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for low in range(0, rows.num_rows, SENT):
+        yield rows.slice(low, SENT)
 
 
 class Batch:
@@ -173,10 +178,10 @@ def _count_phrases(k: int, below):
                 parts.append(_summed([(lang[text] << 32 | shard[text], part.keys(at, k, numbers).view(np.int64), np.ones(len(at), np.int64))]))
                 held += len(parts[-1][0])
                 if held > GATHERED:
-                    yield rows(batch, parts)
+                    yield from _sent(rows(batch, parts))
                     parts, held = [], 0
             if parts:
-                yield rows(batch, parts)
+                yield from _sent(rows(batch, parts))
 
     return count
 
@@ -211,10 +216,10 @@ def _count_candidates(longest: int, wanted):
                     parts.append(counted.append_column("words", pa.array(np.full(len(counted), k, np.int32))))
                     held += len(counted)
                 if held > GATHERED:
-                    yield rows(batch, parts)
+                    yield from _sent(rows(batch, parts))
                     parts, held = [], 0
             if parts:
-                yield rows(batch, parts)
+                yield from _sent(rows(batch, parts))
 
     return count
 
