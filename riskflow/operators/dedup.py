@@ -33,7 +33,8 @@ def latest_per_key(
         for f in df.schema.fields
         if f.name not in {*keys, *first, *ignore} and not isinstance(f.dataType, (T.MapType, T.VariantType))
     ]
-    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in [*first, *ties]])
+    # Rows of nothing but keys are alike; a window still needs an order.
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in [*first, *ties] or keys])
     return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 

@@ -671,7 +671,7 @@ SELECT cast(o_orderkey AS VARCHAR) AS o_orderkey, cast(o_custkey AS VARCHAR) AS
 ORACLES["ingest_backfill"] = "SELECT cast(c_custkey AS VARCHAR) AS customer_id, c_mktsegment FROM customer"
 ORACLES["ingest_json_array"] = """
 SELECT cast(c_custkey AS VARCHAR) AS c_custkey, c_name,
-  '{"c_nationkey":"' || c_nationkey || '","c_mktsegment":"' || c_mktsegment || '"}' AS home FROM customer"""
+  '{"c_mktsegment":"' || c_mktsegment || '","c_nationkey":"' || c_nationkey || '"}' AS home FROM customer"""
 ORACLES["stream_dedup_batches"] = """
 SELECT event_id AS swipe_id, CASE WHEN ts < TIMESTAMP '2024-01-10' AND event_id % 10 = 0 THEN 'late' ELSE 'accepted' END AS outcome
 FROM events"""
