@@ -66,9 +66,10 @@ SAMPLE_ROWS, RANK_BITS = 8192, 8
 def _ranks(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     """The rank of each key among 2 ** RANK_BITS even ranges of its values, whatever their type; NULL is the lowest.
 
-    The ranges come from a random sample of bounded size. A rank is found by halving, in RANK_BITS comparisons.
+    The ranges come from a random sample of about SAMPLE_ROWS rows. A rank is found by halving, in RANK_BITS comparisons.
     """
-    sample = df.select(*keys).orderBy(F.rand(7)).limit(SAMPLE_ROWS).collect()
+    rows = df.count()
+    sample = df.select(*keys).sample(min(1.0, SAMPLE_ROWS / max(1, rows)), 7).collect()
     ranks = []
     for key in keys:
         values = sorted(r[key] for r in sample if r[key] is not None)

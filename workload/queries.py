@@ -567,8 +567,8 @@ def stream_dedup_batches(spark, folder):
         accepted = readers.read_table(spark, f"{root}/accepted", single.schema)
         append_late(stream(), accepted, f"{root}/late", f"{root}/cp-late", STREAM_TIMEOUT)
     late = readers.read_table(spark, f"{root}/late", rows.schema)
-    outcome = accepted.withColumn("outcome", F.lit("accepted")).unionByName(late.withColumn("outcome", F.lit("late")))
-    return outcome.select("swipe_id", "outcome")
+    outcome = lambda df, name: df.select("swipe_id", F.lit(name).alias("outcome"))
+    return outcome(accepted, "accepted").unionByName(outcome(late, "late"))
 
 
 @query
