@@ -24,12 +24,12 @@ from pyspark.sql import functions as F
 from riskflow.llm import chunks, wordhash
 from riskflow.llm.frames import stored, whole_text
 
-SUPPORT, LONGEST, TOP, SHARDS = 10, 3, 2000, 4
+SUPPORT, LONGEST, TOP, SHARDS = 10, 3, 2000, 2
 NO_LANG = "und"
 #: Percent of a candidate's occurrences inside one longer candidate from which it is dropped.
 COVERED = 50
-#: Bits of a filter; the filter is sent to all tasks.
-FILTER_BITS = 1 << 25
+#: Bits of a filter, of which every key sets two; the filter is sent to all tasks.
+FILTER_BITS = 1 << 26
 
 #: What ends a piece of text, and what parts its words.
 BREAK = np.zeros(256, bool)
@@ -81,6 +81,11 @@ class Filter:
         self.bits, self.size = bits, len(bits) * 64
 
     def has(self, keys: np.ndarray) -> np.ndarray:
+        out = self._set(keys)
+        out[out] = self._set(keys[out] >> np.uint64(32))
+        return out
+
+    def _set(self, keys: np.ndarray) -> np.ndarray:
         place = keys & np.uint64(self.size - 1)
         return (self.bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
@@ -89,9 +94,10 @@ def sent_filter(keys: DataFrame, bits: int = FILTER_BITS):
     """A broadcast Filter of the longs in the only column of ``keys``. Words of the table with any bit go through the driver: at
     most ``bits`` / 64 rows, whatever the number of keys."""
     spark, key = keys.sparkSession, F.col(keys.columns[0])
-    place = key.bitwiseAND(F.lit(bits - 1))
-    set_bits = keys.select(F.shiftright(place, 6).alias("word"), F.expr("1L").alias("_one"), place.bitwiseAND(F.lit(63)).alias("bit"))
-    rows = set_bits.groupBy("word").agg(F.bit_or(F.expr("shiftleft(_one, cast(bit as int))")).alias("bits")).toPandas()
+    places = keys.select(F.explode(F.array(key, F.shiftrightunsigned(key, 32))).alias("place"))
+    places = places.select(F.col("place").bitwiseAND(F.lit(bits - 1)).alias("place"))
+    one = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    rows = places.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(one).alias("bits")).toPandas()
     table = np.zeros(bits // 64, np.uint64)
     table[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
     return spark.sparkContext.broadcast(table)
@@ -127,7 +133,7 @@ class Batch:
 
     def slices(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, Slice]]:
         """(language's place, language's hash, shard) of each text, and their words."""
-        for first, after, data, bounds in wordhash.slices(self.text):
+        for first, after, data, bounds in wordhash.slices(self.text, wordhash.SLICE_BYTES // 2):
             lang = self.lang[first:after]
             yield lang, self.numbers[lang], self.shard[first:after], Slice(data, bounds)
 
