@@ -198,3 +198,11 @@ def test_stream_reports_expectations(spark, tmp_path):
     )
     metrics = query.recentProgress[0].observedMetrics["dq"]
     assert (metrics["total"], metrics["valid_name"], metrics["valid_list_source"], metrics["valid_entry_id"]) == (3, 2, 3, 0)
+
+
+def test_swipe_queries_show_what_the_flow_stamps():
+    from workload.oracles import ORACLES, outputs
+
+    for name in ("stream_swipes_valid",):
+        shown = ORACLES[name].split(" FROM ")[0]
+        assert [c for c in outputs("swipes") if c not in shown] == ["source_file"], name

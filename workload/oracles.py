@@ -655,10 +655,17 @@ ORACLES["stream_ingest_rescued"] = (
     " '{\"user_id\":\"' || cast(user_id AS VARCHAR) || '\"}' AS _rescued_data, 'run-1' AS adf_run_id FROM events"
 )
 _FLOW_STAMPS = {"source_file": "valid_source_file", "adf_run_id": "valid_adf_run_id", "_ingested_at": "valid_ingested_at"}
-_SWIPE_COLUMNS = [c for c in outputs("swipes") if c not in _FLOW_STAMPS]
-ORACLES["stream_swipes_valid"] = view(_SWIPE_COLUMNS, accepted("swipes"))
+_SWIPE_COLUMNS = [c for c in outputs("swipes") if c != "source_file"]
+
+
+def _stamped(rows: str) -> str:
+    """Rows with the run and the time the flow took them in, in place of the feed's."""
+    return f"(SELECT * REPLACE ('run-7' AS adf_run_id, {NOW} AS _ingested_at) FROM {rows})"
+
+
+ORACLES["stream_swipes_valid"] = view(_SWIPE_COLUMNS, _stamped(accepted("swipes")))
 ORACLES["stream_swipes_rejected"] = view(
-    [*_SWIPE_COLUMNS, "rejected_reasons"], f"(SELECT * FROM {judged('swipes')} WHERE len(rejected_reasons) > 0)"
+    [*[c for c in _SWIPE_COLUMNS if c not in _FLOW_STAMPS], "rejected_reasons"], f"(SELECT * FROM {judged('swipes')} WHERE len(rejected_reasons) > 0)"
 )
 # The flow stamps these columns itself, always with a value.
 ORACLES["stream_dq_swipes"] = metrics(

@@ -656,10 +656,6 @@ def stream_ingest_rescued(spark, folder):
     return run_stream(spark, raw.drop("ingested_at", "file_name"), "rescued")
 
 
-# What the ingest of the flow stamps itself, in place of the feed's columns.
-FLOW_STAMPS = ("source_file", "adf_run_id", "_ingested_at")
-
-
 def _swipe_flows(spark: SparkSession, folder: str) -> SwipeFlows:
     """The swipes feed through landing files, bronze and the validated table."""
     flows = SwipeFlows(spark, work_folder(spark, "swipes"), clock(), STREAM_TIMEOUT)
@@ -677,7 +673,7 @@ def _swipe_flows(spark: SparkSession, folder: str) -> SwipeFlows:
 def stream_swipes_valid(spark, folder):
     flows = _swipe_flows(spark, folder)
     flows.accept()
-    return portable(flows.read("silver_card_swipes").drop(*FLOW_STAMPS, EVENT_DAY))
+    return portable(flows.read("silver_card_swipes").drop("source_file", EVENT_DAY))
 
 
 @query
@@ -693,4 +689,4 @@ def stream_dq_swipes(spark, folder):
 def stream_swipes_rejected(spark, folder):
     flows = _swipe_flows(spark, folder)
     flows.reject()
-    return portable(flows.read("rejected_card_swipes").drop(*FLOW_STAMPS))
+    return portable(flows.read("rejected_card_swipes").drop("source_file", "adf_run_id", "_ingested_at"))
