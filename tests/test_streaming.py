@@ -203,6 +203,6 @@ def test_stream_reports_expectations(spark, tmp_path):
 def test_swipe_queries_show_what_the_flow_stamps():
     from workload.oracles import ORACLES, outputs
 
-    for name in ("stream_swipes_valid",):
+    for name in ("stream_swipes_valid", "stream_swipes_rejected"):
         shown = ORACLES[name].split(" FROM ")[0]
         assert [c for c in outputs("swipes") if c not in shown] == ["source_file"], name

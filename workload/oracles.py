@@ -665,7 +665,7 @@ def _stamped(rows: str) -> str:
 
 ORACLES["stream_swipes_valid"] = view(_SWIPE_COLUMNS, _stamped(accepted("swipes")))
 ORACLES["stream_swipes_rejected"] = view(
-    [*[c for c in _SWIPE_COLUMNS if c not in _FLOW_STAMPS], "rejected_reasons"], f"(SELECT * FROM {judged('swipes')} WHERE len(rejected_reasons) > 0)"
+    [*_SWIPE_COLUMNS, "rejected_reasons"], _stamped(f"(SELECT * FROM {judged('swipes')} WHERE len(rejected_reasons) > 0)")
 )
 # The flow stamps these columns itself, always with a value.
 ORACLES["stream_dq_swipes"] = metrics(
