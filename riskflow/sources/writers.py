@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 ROWS_PER_FILE = 10_000_000
+#: Rows of a clustered table that one task sorts.
+ROWS_PER_RANGE = 1_000_000
 
 
 def append_available_now(
@@ -107,6 +109,8 @@ def write_clustered(
     """Store a table ordered by ``keys``, so that scans can skip files and row groups; with ``curve`` along a curve through all of
     them instead, so that the later keys let scans skip as well (at most 7 keys).
 
+    ``partitions`` (by default those of a shuffle) is the least number of ranges: a task sorts one, so there are more of them where
+    they would hold over ROWS_PER_RANGE rows each.
     ``df`` should be a stored table: its keys are read once more for the bounds of the ranges. The bounds include the input
     partition a row comes from: rows of one hot key can then be cut into several ranges instead of filling one task.
     """
@@ -116,6 +120,9 @@ def write_clustered(
     placed = df.withColumn("_place", curve_place(df, keys)) if curve else df
     by = ["_place"] if curve else list(keys)
     origin = placed.withColumn("_origin", F.spark_partition_id())
+    ranges = -(-df.count() // ROWS_PER_RANGE)
+    if ranges > (partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))):
+        partitions = ranges
     ranged = origin.repartitionByRange(partitions, *by, "_origin") if partitions else origin.repartitionByRange(*by, "_origin")
     ordered = ranged.drop("_origin").sortWithinPartitions(*by, *(keys if curve else ())).drop("_place")
     ordered.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)

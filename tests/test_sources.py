@@ -256,3 +256,29 @@ def test_a_curve_takes_any_type_nulls_and_one_hot_key(spark, tmp_path):
     assert len(sizes) > 1 and max(sizes) < 9_000
     write_clustered(df.limit(0), f"{tmp_path}/none", ["k", "t"], curve=True)
     assert spark.read.schema(df.schema).parquet(f"{tmp_path}/none").count() == 0
+
+
+def test_a_task_sorts_a_bounded_range_however_few_are_asked_for(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("riskflow.sources.writers.ROWS_PER_RANGE", 100)
+    write_clustered(spark.range(2000).withColumnRenamed("id", "k"), f"{tmp_path}/t", ["k"], partitions=2)
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    sizes = [r["count"] for r in stored.groupBy("_metadata.file_path").count().collect()]
+    assert sum(sizes) == 2000 and len(sizes) > 10 and max(sizes) < 400, sizes
+
+
+def test_rows_out_of_order_are_found_in_every_block_of_a_file(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from workload import queries
+
+    monkeypatch.setattr(queries, "BLOCK_ROWS", 4)
+    # Out of order at rows 4 (the first of a block), 6 and 11.
+    keys = [1, 2, 3, 9, 4, 5, 3, 6, 7, 7, 9, 8]
+    rows = spark.createDataFrame([(i, k, 1.0) for i, k in enumerate(keys)], "i int, l_suppkey long, l_quantity double")
+    rows.coalesce(1).sortWithinPartitions("i").write.parquet(f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t").select("*", "_metadata.file_path", "_metadata.row_index", F.struct("l_suppkey").alias("at"))
+    found = queries._unordered(stored)
+    assert found.count() == len(keys)
+    assert sorted(r.row_index for r in found.where("unordered = 1").collect()) == [4, 6, 11]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(file_path" in plan and ", block" in plan

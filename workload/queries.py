@@ -18,7 +18,7 @@ from riskflow.plans.silver import ACCOUNTS, CUSTOMERS, DOMAINS, SANCTIONS, SWIPE
 from riskflow.session import work_folder
 from riskflow.sources import ingest, readers, schemas
 from riskflow.sources.lakehouse import SUCCEEDED, Lakehouse
-from riskflow.sources.writers import append_available_now, write_clustered, write_table
+from riskflow.sources.writers import ROWS_PER_RANGE, append_available_now, write_clustered, write_table
 from riskflow.streaming.flows import SwipeFlows, append_late
 from workload import feeds
 
@@ -485,6 +485,23 @@ def curve_table(spark, folder):
 SMALL_FILE = 8 * 1024 * 1024
 
 
+#: Rows of a file that are looked at together.
+BLOCK_ROWS = 65_536
+
+
+def _unordered(stored: DataFrame) -> DataFrame:
+    """Adds whether a row lies behind one of a higher key in its file. Files are looked at in blocks of rows, each with the last
+    row before it, so that no task holds a file."""
+    block = F.expr(f"row_index div {BLOCK_ROWS}")
+    last = F.pmod(F.col("row_index"), F.lit(BLOCK_ROWS)) == BLOCK_ROWS - 1
+    seen = stored.select("l_suppkey", "l_quantity", "at", "file_path", "row_index")
+    seen = seen.withColumn("block", F.explode(F.when(last, F.array(block, block + 1)).otherwise(F.array(block))))
+    tasks = max(stored.sparkSession.sparkContext.defaultParallelism, stored.count() // ROWS_PER_RANGE)
+    before = F.lag("at").over(Window.partitionBy("file_path", "block").orderBy("row_index"))
+    dealt = seen.repartition(tasks, "file_path", "block").withColumn("unordered", (before > F.col("at")).cast("bigint"))
+    return dealt.where(F.col("block") == block)
+
+
 @query
 def clustered_table(spark, folder):
     """Line items rewritten in order of supplier and date, read back: rows out of order within their file, and files whose
@@ -493,14 +510,16 @@ def clustered_table(spark, folder):
     keys = ["l_suppkey", "l_shipdate"]
     write_clustered(table(spark, folder, "lineitem"), path, keys, partitions=8)
     stored = readers.read_table(spark, path).select("*", "_metadata.file_path", "_metadata.row_index", F.struct(*keys).alias("at"))
-    before = F.lag("at").over(Window.partitionBy("file_path").orderBy("row_index"))
-    rows = stored.withColumn("unordered", (before > F.col("at")).cast("bigint"))
-    suppliers = rows.groupBy("l_suppkey").agg(
+    suppliers = _unordered(stored).groupBy("l_suppkey").agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
         F.coalesce(F.sum("unordered"), F.lit(0)).alias("unordered"),
     )
-    files = stored.groupBy("file_path").agg(F.min("at").alias("low"), F.max("at").alias("high"))
+    # The least of structs is found by sorting, so there is one struct per file and supplier only. NULL is the lowest date.
+    dates = F.when(F.count("l_shipdate") == F.count(F.lit(1)), F.min("l_shipdate")).alias("low"), F.max("l_shipdate").alias("high")
+    dated = stored.groupBy("file_path", "l_suppkey").agg(*dates)
+    edge = lambda least, c: least(F.struct("l_suppkey", F.col(c).alias("l_shipdate"))).alias(c)
+    files = dated.groupBy("file_path").agg(edge(F.min, "low"), edge(F.max, "high"))
     overlap = F.lag("high").over(Window.orderBy("low", "high")) > F.col("low")
     overlaps = files.withColumn("overlap", overlap).where("overlap").select(F.col("low.l_suppkey").alias("l_suppkey")).distinct()
     return suppliers.join(overlaps.withColumn("overlaps", F.lit(True)), "l_suppkey", "left").withColumn(
