@@ -24,6 +24,7 @@ from riskflow.operators import quality
 from riskflow.operators.dedup import latest_per_key
 from riskflow.operators.rules import CLOCK, RULES, Clock
 from riskflow.plans.silver import Domain
+from riskflow.session import keep_compiled
 from riskflow.sources import readers, schemas
 from riskflow.sources.ingest import BATCH
 from riskflow.sources.lakehouse import CLOSED, OPEN, Lakehouse
@@ -119,31 +120,34 @@ class DomainState:
     def advance(self, references: Mapping[str, DataFrame] | None = None) -> DataFrame:
         """Take in what is new; returns the newest accepted row of every key, as stored."""
         domain, lake, references = self.domain, self.lake, references or {}
+        keep_compiled(self.spark)
         raw = self.delivery()
         arrived = self._arrived(references)
         rows = domain.clean(raw.drop(BATCH), self.clock).drop(*domain.hidden)
         rejects, kept = self._before("open_rejects"), None
         if rejects is not None:
-            marked = lake.publish("staging", self._name("open"), self._due(rejects, arrived), partition_by=["_due"])
+            marked = lake.publish("staging", self._name("open"), self._due(rejects, arrived), partition_by=["_due"], balance=False)
             again = marked.where("_due").select(*rows.columns).withColumn("_silver_processed_at", self.clock.timestamp)
             rows, kept = rows.unionByName(again), marked.where("NOT _due").select(*rejects.columns)
 
         validated = domain.validate(rows, references, self.clock)
         outcome = F.when(F.size(quality.REASONS) == 0, VALID).when(is_open(domain), OPEN).otherwise(CLOSED)
-        staged = lake.publish("staging", self._name("validated"), validated.withColumn(OUTCOME, outcome), partition_by=[OUTCOME])
+        # Rows come from the files of bronze and go on as they lie; only dimension keys are shuffled, if they are many.
+        judged = validated.withColumn(OUTCOME, outcome)
+        staged = lake.publish("staging", self._name("validated"), judged, partition_by=[OUTCOME], balance=False)
         of = lambda name: staged.where(F.col(OUTCOME) == name).drop(OUTCOME)
 
-        lake.publish(STATE, self._name("closed_rejects"), quality.rejected(of(CLOSED), clock=self.clock))
+        lake.publish(STATE, self._name("closed_rejects"), quality.rejected(of(CLOSED), clock=self.clock), balance=False)
         opened = quality.rejected(of(OPEN), clock=self.clock)
         opened = opened.unionByName(kept) if kept is not None else opened
         if domain.one_reject_per_key:
             opened = latest_per_key(opened, [domain.key])
-        lake.publish(STATE, self._name("open_rejects"), opened)
+        lake.publish(STATE, self._name("open_rejects"), opened, balance=False)
 
         newest = quality.accepted(of(VALID))
         before = self._before("newest")
         newest = newest.unionByName(before) if before is not None else newest
-        newest = lake.publish(STATE, self._name("newest"), latest_per_key(newest, [domain.key]))
+        newest = lake.publish(STATE, self._name("newest"), latest_per_key(newest, [domain.key]), balance=False)
 
         last = raw.agg(F.max(BATCH)).first()[0]
         progress = [(self.last_batch() if last is None else last,)]

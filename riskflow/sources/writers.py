@@ -51,14 +51,19 @@ def for_each_batch(
     return query
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
+def write_table(
+    df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (), balance: bool = True
+) -> None:
     """Store a table in files of even size.
 
     The rebalance hint lets adaptive execution merge small and split large
-    output partitions, also where one partition value owns most rows.
+    output partitions, also where one partition value owns most rows. It moves
+    every row once more; rows that come from even files, or from a shuffle that
+    leaves no large partition, are written as they lie with ``balance=False``.
     """
-    balanced = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df.hint("rebalance")
-    balanced.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*partition_by).parquet(path)
+    if balance:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df.hint("rebalance")
+    df.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*partition_by).parquet(path)
 
 
 #: Rows sampled for the ranks of clustering keys, and bits of a rank.
