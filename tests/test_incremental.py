@@ -153,3 +153,37 @@ def test_one_reject_per_key_over_deliveries(spark, tmp_path):
     state, newest = d.run("r2")
     assert newest.count() == 0
     assert sorted((r.entry_id or "", r.name or "") for r in state.rejected().collect()) == [("", "Later"), ("SANC0001", "")]
+
+
+def test_rows_go_from_bronze_to_every_outcome_without_a_shuffle(spark, transactions, monkeypatch):
+    """Moving all rows for even files, and interpreting the rules, took most of the time of a run."""
+    d, plans = transactions, {}
+    publish = Lakehouse.publish
+
+    def seen(lake, layer, table, df, *rest, balance=True, **layout):
+        plans[table] = (balance, df._jdf.queryExecution().executedPlan().toString())
+        return publish(lake, layer, table, df, *rest, balance=balance, **layout)
+
+    monkeypatch.setattr(Lakehouse, "publish", seen)
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    known = {"customers": ["CUST000001"], "accounts": ["ACC0000001"]}
+    for i in range(2):
+        d.land([transaction(i), transaction(9 + i, customer_id="CUST000002")])
+        d.run(f"r{i}", **known)
+    for table in ("validated", "open", "closed_rejects", "open_rejects"):
+        balance, plan = plans[f"{table}_transactions"]
+        moved = [line for line in plan.splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
+        # The only rows that may move are keys of a dimension.
+        assert not balance and all("_matched_" in line or "_id" in line for line in moved), (table, moved)
+    assert not plans["newest_transactions"][0]
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_a_feed_is_dealt_to_as_many_tasks_as_asked(spark):
+    from workload import feeds
+
+    folder = "/root/testdata/sf0.001"
+    plain, dealt = (feeds.as_spark(spark, folder, feeds.TRANSACTIONS, n) for n in (None, 5))
+    held = dealt.select("transaction_id", F.spark_partition_id().alias("at")).distinct()
+    assert held.select("at").distinct().count() == 5
+    assert dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()

@@ -12,6 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskflow.session import keep_compiled
 from riskflow.sources.readers import read_table
 
 # The instant all check queries take as now.
@@ -191,9 +192,12 @@ def tables_of(text: str) -> set[str]:
     return set(re.findall(r"\{(\w+)\}", text))
 
 
-def as_spark(spark: SparkSession, folder: str, text: str) -> DataFrame:
-    """The feed as a Spark frame over the tables in ``folder``."""
-    return spark.sql(text, **{t: read_table(spark, f"{folder}/{t}.parquet") for t in tables_of(text)})
+def as_spark(spark: SparkSession, folder: str, text: str, tasks: int | None = None) -> DataFrame:
+    """The feed as a Spark frame over the tables in ``folder``. With ``tasks`` their rows are dealt to so many before the feed is
+    made of them: a file of few row groups is read by few."""
+    keep_compiled(spark)
+    tables = {t: read_table(spark, f"{folder}/{t}.parquet") for t in tables_of(text)}
+    return spark.sql(text, **{t: df.repartition(tasks, *df.columns) if tasks else df for t, df in tables.items()})
 
 
 def as_sql(text: str) -> str:

@@ -190,18 +190,30 @@ for _domain in DOMAINS.values():
     _domain_queries(_domain)
 
 
+def _move(spark: SparkSession, folder: str, to: str) -> None:
+    """Move a folder, through the file system it is on; one without rows is not there, and an empty one is made."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (folder, to))
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target.getParent())
+    if not (files.rename(source, target) if files.exists(source) else files.mkdirs(target)):
+        raise OSError(f"{folder} could not be moved to {to}")
+
+
 def _delivered(spark: SparkSession, folder: str) -> DomainState:
     """The transactions in three deliveries, dimensions growing with them; each delivery is taken in by a run of its own."""
     root, domain = work_folder(spark, "incremental"), TRANSACTIONS
     schema = readers.bronze_schema(schemas.FEEDS[domain.name])
-    raw = feed(spark, folder, feeds.TRANSACTIONS).withColumn(readers.RESCUED, F.lit(None).cast("string"))
+    dealt = feeds.as_spark(spark, folder, feeds.TRANSACTIONS, 2 * spark.sparkContext.defaultParallelism)
+    raw = dealt.withColumn(readers.RESCUED, F.lit(None).cast("string"))
     raw = raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
     delivery = F.pmod(F.xxhash64(*schema.names), F.lit(3))
     grown = lambda df, key, parts, upto: df.where(F.pmod(F.xxhash64(key), F.lit(parts)) < upto)
     customers, accounts = feed(spark, folder, feeds.KNOWN_CUSTOMERS), feed(spark, folder, feeds.KNOWN_ACCOUNTS)
+    # The feed is built once, in a folder per delivery, which is moved to bronze when its turn comes.
+    raw.withColumn("delivery", delivery).write.partitionBy("delivery").parquet(f"{root}/landed")
     for i in range(3):
         lake = Lakehouse(spark, root, f"run-{i}")
-        raw.where(delivery == i).write.parquet(f"{lake.path('bronze', domain.name)}/{ingest.BATCH}={i}")
+        _move(spark, f"{root}/landed/delivery={i}", f"{lake.path('bronze', domain.name)}/{ingest.BATCH}={i}")
         state = DomainState(lake, domain, clock())
         lake.begin("silver")
         state.advance({"customers": grown(customers, "customer_id", 2, i + 1), "accounts": grown(accounts, "account_id", 3, i + 1)})
