@@ -114,3 +114,20 @@ def test_query(spark):
     rows = [(r.text, r.lang) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     assert sorted(tuple(r) for r in QUERIES["op11_collocations"](spark, folder).collect()) == brute(rows)
     assert difference(spark, folder, QUERIES["op11_collocations"], ORACLES["op11_collocations"]) is None
+
+
+def test_a_filter_reaches_the_driver_as_arrow(spark, monkeypatch):
+    from riskflow.llm.collocations import Filter, sent_filter
+
+    keys = spark.range(1000).selectExpr("xxhash64(id) AS key")
+
+    def rows(*_):
+        raise AssertionError("a million rows would become Python objects")
+
+    for name in ("toPandas", "collect"):
+        monkeypatch.setattr(type(keys), name, rows)
+    known = Filter(sent_filter(keys, 1 << 16).value)
+    monkeypatch.undo()
+    held = keys.toPandas()["key"].to_numpy().view("uint64")
+    assert known.has(held).all() and not known.has(held + held.dtype.type(1)).all()
+    assert sent_filter(keys.limit(0), 1 << 16).value.sum() == 0
