@@ -17,6 +17,14 @@ def _smallest(both: DataFrame) -> DataFrame:
     return both.join(least, "u").withColumn("m", F.least("u", "m"))
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every vertex has one edge to a smaller one, or edges to larger ones only: then groups are told by their edges."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    each = ends.groupBy("id").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return each.agg(F.count_if((F.col("down") + F.col("up") > 1) & (F.col("down") > 0))).first()[0] == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every vertex of ``links`` (a, b: longs, not null); component is the smallest id reachable.
 
@@ -25,12 +33,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     selves = edges.filter("u = v")
     edges = edges.filter("u > v")
-    seen = None
-    while True:
-        mark = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            break
-        seen = mark
+    while not _is_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _smallest(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = _smallest(large)

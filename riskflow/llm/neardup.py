@@ -171,7 +171,7 @@ def near_duplicates(
         F.any_value("_odd").alias("odd"),
     )
     classes = stored(classes, "classes")
-    groups = components(_links(keyed, classes, shingle, percent, fold))
+    groups = _groups(keyed, classes, shingle, percent, fold)
     known = classes.join(groups.withColumnRenamed("id", "cid"), "cid", "left").select(
         "_set1", "_set2", F.coalesce("component", "cid").alias("_component")
     )
@@ -185,8 +185,8 @@ def near_duplicates(
     )
 
 
-def _links(keyed: DataFrame, classes: DataFrame, k: int, percent: int, fold: bool) -> DataFrame:
-    """Confirmed links (a, b) that connect every group."""
+def _groups(keyed: DataFrame, classes: DataFrame, k: int, percent: int, fold: bool) -> DataFrame:
+    """(id, component) of every document with a confirmed link."""
     matches = match_threshold(percent / 100)
     prefix = COORDINATES - matches + 1
     every = classes.select("cid", F.explode(F.slice("signature", 1, prefix)).alias("value"))
@@ -237,14 +237,21 @@ def _links(keyed: DataFrame, classes: DataFrame, k: int, percent: int, fold: boo
         both = pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "ta", "tb")
         return stored(both.mapInArrow(_confirmer(k, fold, percent), "a long, b long"), "confirmed")
 
-    def grouped(links: DataFrame) -> DataFrame:
+    def joined(links: DataFrame, groups: DataFrame | None) -> DataFrame:
+        """(id, component) of the groups found so far and the links found since. A group is told by its stars, which take no
+        rounds to find again."""
+        if groups is not None:
+            links = links.unionByName(groups.select(F.col("id").alias("a"), F.col("component").alias("b")))
+        return stored(components(links), "groups")
+
+    def grouped(groups: DataFrame) -> DataFrame:
         """Postings with their group, of lists that hold several groups."""
-        groups = stored(components(links), "groups").withColumnRenamed("id", "cid")
+        groups = groups.withColumnRenamed("id", "cid")
         labelled = posted.join(groups, "cid", "left").withColumn("group", F.coalesce("component", "cid")).drop("component")
         mixed = labelled.groupBy("value").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
         return stored(labelled.join(mixed.select("value"), "value"), "open-lists")
 
-    links, tested, open_lists = None, None, posted.withColumn("group", F.col("cid"))
+    groups, tested, open_lists = None, None, posted.withColumn("group", F.col("cid"))
     for turn in range(STAR_ROUNDS):
         # The most central document leads; among equals another one in each round.
         order = F.struct("own", F.xxhash64("cid", F.lit(turn)), "cid", "group", "size", "shared")
@@ -262,9 +269,8 @@ def _links(keyed: DataFrame, classes: DataFrame, k: int, percent: int, fold: boo
         best = able_pairs.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
         pairs = stored(best, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        new = confirmed(pairs)
-        links = new if links is None else links.unionByName(new)
-        open_lists = grouped(links)
+        groups = joined(confirmed(pairs), groups)
+        open_lists = grouped(groups)
 
     odd = [f"odd{i}" for i in range(ODD_BITS // 64)]
     single = classes.groupBy("cid").agg(F.any_value("odd").alias("odd"), F.count(F.lit(1)).alias("sets")).filter("sets = 1")
@@ -284,4 +290,4 @@ def _links(keyed: DataFrame, classes: DataFrame, k: int, percent: int, fold: boo
     )
     known = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     last = stored(candidates(met).join(known, ["a", "b"], "left_anti"), "pairs")
-    return links.unionByName(confirmed(last))
+    return joined(confirmed(last), groups)

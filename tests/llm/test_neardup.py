@@ -114,3 +114,17 @@ def test_query(spark):
     rows = QUERIES["op7_near_duplicates"](spark, folder).collect()
     assert {r.doc_id: r.component_id for r in rows} == brute.groups(texts, 3, 85)
     assert all(r.n_shingles == len(brute.shingles(texts[r.doc_id], 3)) for r in rows)
+
+
+def test_groups_told_by_stars_take_no_rounds(spark, monkeypatch):
+    from riskflow.llm import components as module
+
+    kept = []
+    stored = module.stored
+    monkeypatch.setattr(module, "stored", lambda df, purpose: kept.append(purpose) or stored(df, purpose))
+    links = [(5, 1), (6, 1), (1, 9), (7, 2), (3, 3), (5, 1)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {1: 1, 5: 1, 6: 1, 9: 1, 2: 2, 7: 2, 3: 3} and kept == ["links"]
+    # A triangle is no star: 6 has two smaller neighbours.
+    assert {r.component for r in components(spark.createDataFrame([(5, 1), (6, 1), (6, 5)], "a long, b long")).collect()} == {1}
+    assert len(kept) > 2
