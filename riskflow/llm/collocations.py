@@ -7,8 +7,9 @@ corpus; one more pass counts these candidates, as text, over all documents.
 
 A shard is no task: it is counted by as many tasks as its texts need. Few shards keep the local support well above one, which is
 what makes the method prune. Mining works on hashes of phrases: a collision can only add a candidate, never lose one, and
-everything that is returned was counted as text. Tasks learn which phrases are frequent from a bit filter of fixed size, where a
-stray bit only lets a phrase through that the counts then drop.
+everything that is returned was counted as text. While mining, a phrase leaves its task as two longs, a key and a count. The
+key's upper bits are a number of the language and shard; if two share it, the smaller of their supports holds. Tasks learn which
+phrases are frequent from a bit filter of fixed size, where a stray bit only lets a phrase through that the counts then drop.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ NO_LANG = "und"
 COVERED = 50
 #: Bits of a filter, of which every key sets two; the filter is sent to all tasks.
 FILTER_BITS = 1 << 26
+#: Bits of a key that are the phrase's hash; those above are its language and shard. Where a filter's second bit is read from.
+HASH_BITS = 48
+SECOND = 22
 
 #: What ends a piece of text, and what parts its words.
 BREAK = np.zeros(256, bool)
@@ -68,7 +72,8 @@ class Slice:
 
     def keys(self, at: np.ndarray, k: int, lang: np.ndarray) -> np.ndarray:
         """Hashes of the phrases of ``k`` words that begin at ``at``; ``lang``: a number per text."""
-        return wordhash.mix(wordhash.chain([self.hashes[at + j] for j in range(k)], k) ^ lang[self.text[at]])
+        long = wordhash.mix(wordhash.chain([self.hashes[at + j] for j in range(k)], k) ^ lang[self.text[at]])
+        return long & np.uint64((1 << HASH_BITS) - 1)
 
     def words(self) -> pa.Array:
         return chunks.strings(self.data, self.starts, self.ends)
@@ -82,7 +87,7 @@ class Filter:
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         out = self._set(keys)
-        out[out] = self._set(keys[out] >> np.uint64(32))
+        out[out] = self._set(keys[out] >> np.uint64(SECOND))
         return out
 
     def _set(self, keys: np.ndarray) -> np.ndarray:
@@ -94,7 +99,7 @@ def sent_filter(keys: DataFrame, bits: int = FILTER_BITS):
     """A broadcast Filter of the longs in the only column of ``keys``. Words of the table with any bit go through the driver: at
     most ``bits`` / 64 rows, whatever the number of keys; as Arrow, 16 bytes each, where Python rows would take some 300."""
     spark, key = keys.sparkSession, F.col(keys.columns[0])
-    places = keys.select(F.explode(F.array(key, F.shiftrightunsigned(key, 32))).alias("place"))
+    places = keys.select(F.explode(F.array(key, F.shiftrightunsigned(key, SECOND))).alias("place"))
     places = places.select(F.col("place").bitwiseAND(F.lit(bits - 1)).alias("place"))
     one = F.expr("shiftleft(1L, cast(place & 63 as int))")
     rows = places.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
@@ -111,8 +116,8 @@ def _dealt(docs: DataFrame, text: str, lang: str, key: str, shards: int) -> Data
     return docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANG)).alias("lang"), shard.alias("shard"), body.alias("text"))
 
 
-#: Rows of counts a task gathers before it adds them up and sends them on, and rows it sends at once.
-GATHERED, SENT = 300_000, 65_536
+#: Phrases of which a task gathers keys before it counts them, words of which it gathers text, and rows it sends at once.
+GATHERED, SPELT, SENT = 1_000_000, 1_000_000, 65_536
 
 
 def _sent(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -138,102 +143,132 @@ class Batch:
             yield lang, self.numbers[lang], self.shard[first:after], Slice(data, bounds)
 
 
-def _shard_keys(keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
-    """Keys told apart by shard."""
-    return wordhash.mix(keys + (shard.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+def _groups(lang: np.ndarray, shard: np.ndarray) -> np.ndarray:
+    """What the keys of a language (its hash) in a shard have above the phrase's hash."""
+    mixed = wordhash.mix(lang + (shard.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    return mixed >> np.uint64(HASH_BITS) << np.uint64(HASH_BITS)
 
 
-def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(group, key, n) with equal (group, key) added up."""
-    group, key, n = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((key, group))
-    group, key, n = group[order], key[order], n[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (group[1:] != group[:-1]) | (key[1:] != key[:-1])
+def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values begin, and how long they are."""
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
     heads = np.flatnonzero(new)
-    return group[heads], key[heads], np.add.reduceat(n, heads) if len(heads) else n
+    return heads, np.diff(heads, append=len(ordered))
 
 
 def _count_phrases(k: int, below):
-    """(lang, shard, key, n) of phrases of ``k`` words whose first and last k - 1 words are frequent in the shard. ``below``: the
-    filter of those; None counts every word."""
+    """(key, n) of phrases of ``k`` words whose first and last k - 1 words are frequent in the shard. ``below``: the filter of
+    those. None counts every word, as (lang, shard, key, n): lang and shard are null but in rows that hold how many words a
+    language has in a shard, with a key that has no hash."""
 
-    def phrases(part: Slice, numbers: np.ndarray, shard: np.ndarray, known: Filter | None) -> np.ndarray:
+    def phrases(part: Slice, numbers: np.ndarray, groups: np.ndarray, known: Filter | None) -> np.ndarray:
         at = part.phrases(k)
         if known is None:
             return at
         shorter = part.phrases(k - 1)
         frequent = np.zeros(len(part.starts), bool)
-        frequent[shorter] = known.has(_shard_keys(part.keys(shorter, k - 1, numbers), shard[part.text[shorter]]))
+        frequent[shorter] = known.has(wordhash.mix(part.keys(shorter, k - 1, numbers) | groups[part.text[shorter]]))
         return at[frequent[at] & frequent[at + 1]]
 
-    def rows(batch: Batch, parts: list) -> pa.RecordBatch:
-        group, key, n = _summed(parts)
-        return pa.RecordBatch.from_arrays(
-            [batch.langs.take(pa.array(group >> 32)), pa.array((group & 0xFFFFFFFF).astype(np.int32)), pa.array(key), pa.array(n)],
-            names=["lang", "shard", "key", "n"],
-        )
+    def rows(parts: list[np.ndarray]) -> pa.RecordBatch:
+        ordered = np.concatenate(parts)
+        ordered.sort()
+        heads, n = _runs(ordered)
+        key, n = pa.array(ordered[heads].view(np.int64)), pa.array(n)
+        if below is not None:
+            return pa.RecordBatch.from_arrays([key, n], names=["key", "n"])
+        none = [pa.nulls(len(n), pa.string()), pa.nulls(len(n), pa.int32())]
+        return pa.RecordBatch.from_arrays([*none, key, n], names=["lang", "shard", "key", "n"])
+
+    def sizes(batch: Batch, own: np.ndarray) -> pa.RecordBatch:
+        """``own``: number of words of each row of the batch."""
+        place, row = np.unique(batch.lang << 32 | batch.shard, return_inverse=True)
+        total = np.zeros(len(place), np.int64)
+        np.add.at(total, row, own)
+        place, total = place[total > 0], total[total > 0]
+        lang, shard = place >> 32, place & 0xFFFFFFFF
+        key = _groups(batch.numbers[lang], shard).view(np.int64)
+        columns = [batch.langs.take(pa.array(lang)).cast(pa.string()), pa.array(shard.astype(np.int32)), pa.array(key), pa.array(total)]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "shard", "key", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Filter(below.value) if below is not None else None
+        parts, held = [], 0
         for batch in map(Batch, batches):
-            parts, held = [], 0
-            for lang, numbers, shard, part in batch.slices():
-                at = phrases(part, numbers, shard, known)
-                text = part.text[at]
-                parts.append(_summed([(lang[text] << 32 | shard[text], part.keys(at, k, numbers).view(np.int64), np.ones(len(at), np.int64))]))
-                held += len(parts[-1][0])
+            own = []
+            for _, numbers, shard, part in batch.slices():
+                groups = _groups(numbers, shard)
+                at = phrases(part, numbers, groups, known)
+                parts.append(part.keys(at, k, numbers) | groups[part.text[at]])
+                own.append(np.bincount(part.text, minlength=len(shard)))
+                held += len(at)
                 if held > GATHERED:
-                    yield from _sent(rows(batch, parts))
+                    yield from _sent(rows(parts))
                     parts, held = [], 0
-            if parts:
-                yield from _sent(rows(batch, parts))
+            if known is None and own:
+                yield from _sent(sizes(batch, np.concatenate(own)))
+        if parts:
+            yield from _sent(rows(parts))
 
     return count
 
 
-def _count_candidates(longest: int, wanted):
-    """(lang, phrase, words, n) of the candidates of 1 .. ``longest`` words, as text."""
+def _joined(code: np.ndarray, top: int, more: np.ndarray, size: int) -> tuple[np.ndarray, int]:
+    """(one number for each pair of numbers below ``top`` and ``size``, what they are below)."""
+    if top * size >= 1 << 63:
+        values, code = np.unique(code, return_inverse=True)
+        top = len(values)
+    return code * size + more, top * size
 
-    def rows(batch: Batch, parts: list[pa.Table]) -> pa.RecordBatch:
-        summed = pa.concat_tables(parts).group_by(["lang", "phrase", "words"], use_threads=False).aggregate([("n", "sum")])
-        column = lambda name: summed[name].combine_chunks()
-        return pa.RecordBatch.from_arrays(
-            [batch.langs.take(column("lang")), column("phrase").cast(pa.string()), column("words"), column("n_sum")],
-            names=["lang", "phrase", "words", "n"],
-        )
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_candidates(longest: int, wanted):
+    """(lang, phrase, n) of the candidates of 1 .. ``longest`` words, as text. Words are numbered by their text, phrases counted by
+    the numbers of their words, and only what is sent is spelt out."""
+
+    def rows(batch: Batch, words: list[pa.Array], lang: np.ndarray, places: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute as pc
 
-        known, space = Filter(wanted.value), pa.scalar(" ", pa.large_string())
+        coded = pa.chunked_array(words).combine_chunks().dictionary_encode()
+        word, spelt, space = coded.indices.to_numpy().astype(np.int64), coded.dictionary, pa.scalar(" ", pa.large_string())
+        for k, parts in enumerate(places, 1):
+            at = np.concatenate(parts)
+            code, top = lang[at], len(batch.langs)
+            for j in range(k):
+                code, top = _joined(code, top, word[at + j], len(spelt))
+            order = np.argsort(code)
+            heads, n = _runs(code[order])
+            at = at[order[heads]]
+            each = [spelt.take(pa.array(word[at + j])) for j in range(k)]
+            phrase = pc.binary_join_element_wise(*each, space) if k > 1 else each[0]
+            columns = [batch.langs.take(pa.array(lang[at])).cast(pa.string()), phrase.cast(pa.string()), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Filter(wanted.value)
         for batch in map(Batch, batches):
-            parts, held = [], 0
+            words, langs, places, held = [], [], [[] for _ in range(longest)], 0
             for lang, numbers, _, part in batch.slices():
-                words = part.words()
                 for k in range(1, longest + 1):
                     at = part.phrases(k)
-                    at = at[known.has(part.keys(at, k, numbers))]
-                    spelt = [words.take(pa.array(at + j)) for j in range(k)]
-                    phrase = pc.binary_join_element_wise(*spelt, space) if k > 1 else spelt[0]
-                    table = pa.table({"lang": pa.array(lang[part.text[at]]), "phrase": phrase})
-                    counted = table.group_by(["lang", "phrase"], use_threads=False).aggregate([([], "count_all")])
-                    counted = counted.rename_columns(["lang", "phrase", "n"])
-                    parts.append(counted.append_column("words", pa.array(np.full(len(counted), k, np.int32))))
-                    held += len(counted)
-                if held > GATHERED:
-                    yield from _sent(rows(batch, parts))
-                    parts, held = [], 0
-            if parts:
-                yield from _sent(rows(batch, parts))
+                    places[k - 1].append(at[known.has(part.keys(at, k, numbers))] + held)
+                words.append(part.words())
+                langs.append(lang[part.text])
+                held += len(part.starts)
+                if held > SPELT:
+                    for counted in rows(batch, words, np.concatenate(langs), places):
+                        yield from _sent(counted)
+                    words, langs, places, held = [], [], [[] for _ in range(longest)], 0
+            if words:
+                for counted in rows(batch, words, np.concatenate(langs), places):
+                    yield from _sent(counted)
 
     return count
 
 
-def _to_shard_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys = batch.column(0).to_numpy().view(np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array(_shard_keys(keys, batch.column(1).to_numpy()).view(np.int64))], names=["key"])
+        yield pa.RecordBatch.from_arrays([pa.array(wordhash.mix(batch.column(0).to_numpy().view(np.uint64)).view(np.int64))], names=["key"])
 
 
 def candidates(docs: DataFrame, text: str, lang: str, key: str, support: int, longest: int, shards: int) -> tuple[DataFrame, DataFrame]:
@@ -242,27 +277,32 @@ def candidates(docs: DataFrame, text: str, lang: str, key: str, support: int, lo
     dealt = _dealt(docs, text, lang, key, shards)
 
     def counts(k: int, below) -> DataFrame:
-        rows = dealt.mapInArrow(_count_phrases(k, below), "lang string, shard int, key long, n long")
-        return rows.groupBy("lang", "shard", "key").agg(F.sum("n").alias("n"))
+        by = ["key"] if k > 1 else ["lang", "shard", "key"]
+        rows = dealt.mapInArrow(_count_phrases(k, below), ("" if k > 1 else "lang string, shard int, ") + "key long, n long")
+        return rows.groupBy(*by).agg(F.sum("n").alias("n"))
 
     def sent(frequent: DataFrame):
-        return sent_filter(frequent.select("key", "shard").mapInArrow(_to_shard_keys, "key long"))
+        return sent_filter(frequent.mapInArrow(_mixed, "key long"))
 
+    group = F.shiftrightunsigned("key", HASH_BITS).alias("group")
     local = stored(counts(1, None), "words")
-    sizes = local.groupBy("lang", "shard").agg(F.sum("n").alias("own"))
-    totals = stored(local.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
+    sizes = local.where("lang IS NOT NULL").select("lang", group, F.col("n").alias("own"))
+    totals = stored(sizes.groupBy("lang").agg(F.sum("own").alias("total")), "totals")
     # ceil(support * own / total), in whole numbers
     need = F.expr(f"(CAST({support} AS DECIMAL(20, 0)) * own + total - 1) div total")
-    needs = stored(sizes.join(totals, "lang").select("lang", "shard", F.greatest(need, F.lit(1)).alias("need")), "needs")
-    frequent = lambda df: df.join(needs, ["lang", "shard"]).where("n >= need").select("shard", "key")
-    found = [frequent(local)]
+    needs = sizes.join(totals, "lang").select("group", F.greatest(need, F.lit(1)).alias("need"))
+    needs = stored(needs.groupBy("group").agg(F.min("need").alias("need")), "needs")
+    frequent = lambda df: df.select("key", "n", group).join(needs, "group").where("n >= need").select("key")
+    found = [frequent(local.where("lang IS NULL"))]
     for k in range(2, longest + 1):
         found.append(stored(frequent(counts(k, sent(found[-1]))), f"frequent-{k}"))
-    union = found[0].select("key")
+    union = found[0]
     for more in found[1:]:
-        union = union.unionByName(more.select("key"))
-    spelt = dealt.mapInArrow(_count_candidates(longest, sent_filter(union)), "lang string, phrase string, words int, n long")
-    exact = spelt.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("a")).where(F.col("a") >= support)
+        union = union.unionByName(more)
+    union = union.select(F.col("key").bitwiseAND(F.lit((1 << HASH_BITS) - 1)).alias("key"))
+    spelt = dealt.mapInArrow(_count_candidates(longest, sent_filter(union)), "lang string, phrase string, n long")
+    exact = spelt.groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= support)
+    exact = exact.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("words"), "a")
     exact = stored(exact, "candidates")
     words = exact.where("words = 1").join(totals, "lang").select("lang", "phrase", "a", "total")
     return words, exact.where("words > 1")

@@ -131,3 +131,78 @@ def test_a_filter_reaches_the_driver_as_arrow(spark, monkeypatch):
     held = keys.toPandas()["key"].to_numpy().view("uint64")
     assert known.has(held).all() and not known.has(held + held.dtype.type(1)).all()
     assert sent_filter(keys.limit(0), 1 << 16).value.sum() == 0
+
+
+def batch_of(rows, shards=2):
+    import pyarrow as pa
+
+    texts_, langs = zip(*rows)
+    shard = pa.array([i % shards for i in range(len(rows))], pa.int32())
+    return pa.record_batch([pa.array(langs), shard, pa.array(texts_)], names=["lang", "shard", "text"])
+
+
+def all_set():
+    """A broadcast filter that lets everything through."""
+    import types
+
+    import numpy as np
+
+    return types.SimpleNamespace(value=np.full(1, 2**64 - 1, np.uint64))
+
+
+def test_a_phrase_leaves_its_task_as_two_longs():
+    rows = [(t, lang or "und") for t, lang in texts(5)]
+    half = len(rows) // 2
+    for k in (2, 3):
+        sent = list(collocations._count_phrases(k, all_set())(iter([batch_of(rows[:half]), batch_of(rows[half:])])))
+        want = Counter()
+        for i, (text, lang) in enumerate(rows):
+            for piece in re.split("[.,;:!?\n\x0b\x0c\r]", text.translate(FOLDED)):
+                words = re.findall("[^ \t]+", piece)
+                want.update((lang, (i % half) % 2, *words[j : j + k]) for j in range(len(words) - k + 1))
+        assert [b.schema.names for b in sent] == [["key", "n"]]
+        assert sorted(sent[0]["n"].to_pylist()) == sorted(want.values()) and sent[0].nbytes == 16 * len(want)
+
+
+def test_only_what_is_sent_is_spelt(monkeypatch):
+    """Every occurrence used to be joined into a string; now each distinct phrase of a task is, whatever the number of slices."""
+    import pyarrow.compute as pc
+
+    rows = [(t * 400, lang or "und") for t, lang in texts(6, docs=12)]
+    spelt, join = [], pc.binary_join_element_wise
+    monkeypatch.setattr(pc, "binary_join_element_wise", lambda *a, **b: spelt.append(len(a[0])) or join(*a, **b))
+    sent = [r for b in collocations._count_candidates(3, all_set())(iter([batch_of(rows)])) for r in b.to_pylist()]
+    assert sum(spelt) == sum(" " in r["phrase"] for r in sent)
+    assert len({(r["lang"], r["phrase"]) for r in sent}) == len(sent)
+    want = Counter()
+    for text, lang in rows:
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", text.translate(FOLDED)):
+            words = re.findall("[^ \t]+", piece)
+            want.update((lang, " ".join(words[j : j + k])) for k in (1, 2, 3) for j in range(len(words) - k + 1))
+    assert {(r["lang"], r["phrase"]): r["n"] for r in sent} == want
+
+
+def test_numbers_of_words_beyond_64_bits_stay_apart():
+    import numpy as np
+
+    size = 1 << 31
+    columns = np.array([[0, 0, 0, 0], [size - 1, 0, 0, 7], [0, 0, 0, 0], [size - 1, 0, 0, 8], [0, size - 1, 0, 0]], np.int64)
+    code, top = np.zeros(len(columns), np.int64), 3
+    for column in columns.T:
+        code, top = collocations._joined(code, top, column, size)
+    assert len(np.unique(code)) == 4 and code[0] == code[2] and code.min() >= 0
+
+
+def test_languages_that_share_a_number(spark):
+    """Two languages with the same upper bits of their keys; the support is that of the smaller need, and no phrase is lost."""
+    import numpy as np
+
+    met = {}
+    for i in range(5000):
+        group = int(collocations._groups(np.array([collocations._number(f"l{i}")]), np.array([0]))[0])
+        if group in met:
+            break
+        met[group] = f"l{i}"
+    rows = [(t, met[group] if lang == "en" else f"l{i}") for t, lang in texts(9, docs=200)]
+    assert len({r[1] for r in rows}) == 2
+    assert found(spark, rows) == brute(rows)
