@@ -9,7 +9,7 @@ A shard is no task: it is counted by as many tasks as its texts need. Few shards
 what makes the method prune. Mining works on hashes of phrases: a collision can only add a candidate, never lose one, and
 everything that is returned was counted as text. While mining, a phrase leaves its task as two longs, a key and a count. The
 key's upper bits are a number of the language and shard; if two share it, the smaller of their supports holds. Tasks learn which
-phrases are frequent from a bit filter of fixed size, where a stray bit only lets a phrase through that the counts then drop.
+phrases are frequent from a bit filter of bounded size, where a stray bit only lets a phrase through that the counts then drop.
 """
 
 from __future__ import annotations
@@ -29,11 +29,10 @@ SUPPORT, LONGEST, TOP, SHARDS = 10, 3, 2000, 2
 NO_LANG = "und"
 #: Percent of a candidate's occurrences inside one longer candidate from which it is dropped.
 COVERED = 50
-#: Bits of a filter, of which every key sets two; the filter is sent to all tasks.
-FILTER_BITS = 1 << 26
-#: Bits of a key that are the phrase's hash; those above are its language and shard. Where a filter's second bit is read from.
+#: Bits of a filter, at least, at most, and for each key, which sets two; the filter is sent to all tasks.
+FILTER_BITS, MOST_BITS, KEY_BITS = 1 << 26, 1 << 29, 16
+#: Bits of a key that are the phrase's hash; those above are its language and shard.
 HASH_BITS = 48
-SECOND = 22
 
 #: What ends a piece of text, and what parts its words.
 BREAK = np.zeros(256, bool)
@@ -87,7 +86,7 @@ class Filter:
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         out = self._set(keys)
-        out[out] = self._set(keys[out] >> np.uint64(SECOND))
+        out[out] = self._set(keys[out] >> np.uint64(32))
         return out
 
     def _set(self, keys: np.ndarray) -> np.ndarray:
@@ -95,16 +94,19 @@ class Filter:
         return (self.bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-def sent_filter(keys: DataFrame, bits: int = FILTER_BITS):
-    """A broadcast Filter of the longs in the only column of ``keys``. Words of the table with any bit go through the driver: at
-    most ``bits`` / 64 rows, whatever the number of keys; as Arrow, 16 bytes each, where Python rows would take some 300."""
+def sent_filter(keys: DataFrame, most: int = MOST_BITS):
+    """A broadcast Filter of the longs in the only column of ``keys``, which grows with them up to ``most`` bits. Words of the table
+    with any bit go through the driver: at most ``most`` / 64 rows, whatever the number of keys; as Arrow, 16 bytes each, where
+    Python rows would take some 300."""
     spark, key = keys.sparkSession, F.col(keys.columns[0])
-    places = keys.select(F.explode(F.array(key, F.shiftrightunsigned(key, SECOND))).alias("place"))
+    bits = min(most, max(FILTER_BITS, 1 << (KEY_BITS * keys.count()).bit_length()))
+    places = keys.select(F.explode(F.array(key, F.shiftrightunsigned(key, 32))).alias("place"))
     places = places.select(F.col("place").bitwiseAND(F.lit(bits - 1)).alias("place"))
     one = F.expr("shiftleft(1L, cast(place & 63 as int))")
     rows = places.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
     table = np.zeros(bits // 64, np.uint64)
-    table[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    for part in rows.to_batches():
+        table[part.column(0).to_numpy()] = part.column(1).to_numpy().view(np.uint64)
     return spark.sparkContext.broadcast(table)
 
 
@@ -251,7 +253,7 @@ def _count_candidates(longest: int, wanted):
             for lang, numbers, _, part in batch.slices():
                 for k in range(1, longest + 1):
                     at = part.phrases(k)
-                    places[k - 1].append(at[known.has(part.keys(at, k, numbers))] + held)
+                    places[k - 1].append(at[known.has(wordhash.mix(part.keys(at, k, numbers)))] + held)
                 words.append(part.words())
                 langs.append(lang[part.text])
                 held += len(part.starts)
@@ -267,6 +269,7 @@ def _count_candidates(longest: int, wanted):
 
 
 def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys as filters hold them, random in all their bits."""
     for batch in batches:
         yield pa.RecordBatch.from_arrays([pa.array(wordhash.mix(batch.column(0).to_numpy().view(np.uint64)).view(np.int64))], names=["key"])
 
@@ -293,14 +296,14 @@ def candidates(docs: DataFrame, text: str, lang: str, key: str, support: int, lo
     needs = sizes.join(totals, "lang").select("group", F.greatest(need, F.lit(1)).alias("need"))
     needs = stored(needs.groupBy("group").agg(F.min("need").alias("need")), "needs")
     frequent = lambda df: df.select("key", "n", group).join(needs, "group").where("n >= need").select("key")
-    found = [frequent(local.where("lang IS NULL"))]
+    found = [stored(frequent(local.where("lang IS NULL")), "frequent-1")]
     for k in range(2, longest + 1):
         found.append(stored(frequent(counts(k, sent(found[-1]))), f"frequent-{k}"))
     union = found[0]
     for more in found[1:]:
         union = union.unionByName(more)
     union = union.select(F.col("key").bitwiseAND(F.lit((1 << HASH_BITS) - 1)).alias("key"))
-    spelt = dealt.mapInArrow(_count_candidates(longest, sent_filter(union)), "lang string, phrase string, n long")
+    spelt = dealt.mapInArrow(_count_candidates(longest, sent(union)), "lang string, phrase string, n long")
     exact = spelt.groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= support)
     exact = exact.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("words"), "a")
     exact = stored(exact, "candidates")

@@ -206,3 +206,15 @@ def test_languages_that_share_a_number(spark):
     rows = [(t, met[group] if lang == "en" else f"l{i}") for t, lang in texts(9, docs=200)]
     assert len({r[1] for r in rows}) == 2
     assert found(spark, rows) == brute(rows)
+
+
+def test_a_filter_grows_with_its_keys(spark, monkeypatch):
+    """A filter of fixed size let every phrase through once the corpus had filled it."""
+    monkeypatch.setattr(collocations, "FILTER_BITS", 1 << 10)
+    keys = spark.range(20_000).selectExpr("xxhash64(id) AS key")
+    known = collocations.Filter(collocations.sent_filter(keys).value)
+    other = spark.range(20_000, 40_000).selectExpr("xxhash64(id) AS key").toPandas()["key"].to_numpy().view("uint64")
+    assert known.has(keys.toPandas()["key"].to_numpy().view("uint64")).all()
+    assert known.has(other).mean() < 0.05
+    assert known.size == 1 << 19 and len(collocations.sent_filter(keys.limit(0)).value) == 16
+    assert len(collocations.sent_filter(keys, 1 << 12).value) == 64
